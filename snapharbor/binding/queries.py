@@ -247,7 +247,7 @@ def slicer(b):
     return ms.slicer(
         b.overview(started=False),
         {
-            "brand": ["FRANCE", "GERMANY", "CHINA"],
+            "brand": ["NATION_1", "NATION_2", "NATION_12"],
             "vehicle_type": ["F", "O"],
             "registration_year": [1996, 1999],
         },
@@ -1235,47 +1235,44 @@ def scan_raw_json(b):
 
 
 def _arrivals(b):
-    """Conversation turns as payloads: text seen before is a duplicate payload."""
-    return b.table("conversations").select(
-        F.lit("turns").alias("dataset"),
+    """Documents as arriving payloads: a text seen before is a duplicate payload."""
+    return b.table("documents").select(
+        F.col("lang").alias("dataset"),
         F.sha2("text", 256).alias("payload_sha256"),
-        F.concat_ws("/", "conv_id", "turn").alias("raw_path"),
-        F.length("text").alias("row_count"),
-        F.concat(F.lit("run_"), (F.col("conv_id") % 5).cast("string")).alias(
-            "first_ingestion_id"
-        ),
-        F.col("conv_id").alias("conv_id"),
-        F.col("turn").alias("turn"),
+        F.concat(F.lit("doc/"), F.col("doc_id").cast("string")).alias("raw_path"),
+        F.col("n_chars").alias("row_count"),
+        F.concat(F.lit("run_"), F.col("source")).alias("first_ingestion_id"),
+        "doc_id",
     )
 
 
 def _ledger(b):
-    """Payloads of the user turns are known already."""
-    known = b.table("conversations").where(F.col("role") == "user")
+    """What a first source left in the ledger."""
+    known = b.table("documents").where(F.col("source") == "src0")
     return known.groupBy(
-        F.lit("turns").alias("dataset"), F.sha2("text", 256).alias("payload_sha256")
+        F.col("lang").alias("dataset"), F.sha2("text", 256).alias("payload_sha256")
     ).agg(
         F.lit("known").alias("raw_path"),
-        F.max(F.length("text")).alias("row_count"),
+        F.max("n_chars").alias("row_count"),
         F.lit("run_0").alias("first_ingestion_id"),
     )
 
 
 @query
 def payload_ledger_insert(b):
-    _, flagged = payloads.ledger_insert(_ledger(b), _arrivals(b), ["conv_id", "turn"])
-    return flagged.select("conv_id", "turn", "payload_sha256", "duplicate")
+    _, flagged = payloads.ledger_insert(_ledger(b), _arrivals(b), ["doc_id"])
+    return flagged.select("doc_id", "dataset", "payload_sha256", "duplicate")
 
 
 @query
 def payload_ledger_table(b):
-    ledger, _ = payloads.ledger_insert(_ledger(b), _arrivals(b), ["conv_id", "turn"])
+    ledger, _ = payloads.ledger_insert(_ledger(b), _arrivals(b), ["doc_id"])
     return ledger
 
 
 @query
 def duplicate_payload_count(b):
-    _, flagged = payloads.ledger_insert(_ledger(b), _arrivals(b), ["conv_id", "turn"])
+    _, flagged = payloads.ledger_insert(_ledger(b), _arrivals(b), ["doc_id"])
     return payloads.duplicate_payload_count(flagged, "first_ingestion_id")
 
 

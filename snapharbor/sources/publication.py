@@ -1,8 +1,8 @@
 """Publication of a complete set of relations as Parquet.
 
-A set is written to a folder of its own, and one small pointer file then names it.
-Readers follow the pointer, so they see the old set or the new one, never a mix, on
-file systems with or without an atomic folder rename.
+A set is written to a folder of its own; creating one empty marker file then commits
+it. Readers take the newest marker, so they see the old set or the new one, never a
+mix, on file systems with or without an atomic folder rename.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from snapharbor.spec import PUBLISHED_RELATIONS
 
-POINTER = "_CURRENT"
+MARKER = "_COMMITTED-"
 SET_PREFIX = "set-"
 
 
@@ -49,73 +49,54 @@ def publish_set(
     """Publish all required relations or leave the published set as it was."""
     publish_precheck(tables, required)
     spark = next(iter(tables.values())).sparkSession
-    name = f"{SET_PREFIX}{uuid.uuid4().hex}"
+    previous = current_set(spark, root)
+    number = int(previous.split("-")[0]) + 1 if previous else 1
+    name = f"{number:010d}-{uuid.uuid4().hex}"
+    folder = f"{root}/{SET_PREFIX}{name}"
     try:
-        for relation in sorted(required):
-            write_zstd_parquet(tables[relation], f"{root}/{name}", relation)
-        previous = current_set(spark, root)
-        _point_to(spark, root, name)
+        paths = [write_zstd_parquet(tables[r], folder, r) for r in sorted(required)]
+        _commit(spark, root, name)
     except BaseException:
-        _delete(spark, f"{root}/{name}")
+        _delete(spark, folder)
         raise
-    clear_published(spark, root, keep=[name, previous] if previous else [name])
-    return [relation_path(f"{root}/{name}", r) for r in sorted(required)]
+    clear_published(spark, root, keep=[n for n in (name, previous) if n])
+    return paths
 
 
 def current_set(spark: SparkSession, root: str) -> str | None:
     """Name of the published set, None before the first publication."""
-    fs, path = _fs(spark, f"{root}/{POINTER}")
-    if not fs.exists(path):
-        return None
-    stream = fs.open(path)
-    try:
-        return stream.readLine().strip()
-    finally:
-        stream.close()
+    names = [n.removeprefix(MARKER) for n in _names(spark, root) if n.startswith(MARKER)]
+    return max(names, default=None)
 
 
 def scan_published(spark: SparkSession, root: str, relation: str) -> DataFrame:
     name = current_set(spark, root)
     if name is None:
         raise FileNotFoundError(f"nothing is published under {root}")
-    return spark.read.parquet(relation_path(f"{root}/{name}", relation))
+    return spark.read.parquet(relation_path(f"{root}/{SET_PREFIX}{name}", relation))
 
 
 def clear_published(spark: SparkSession, root: str, keep: list[str] | None = None) -> None:
-    """Remove sets that are not in ``keep``; with none, also the pointer.
+    """Remove all sets but those in ``keep``, half-written ones included.
 
-    The set before the current one is normally kept, so that a reader that opened it
-    can finish.
+    Markers go first, so that no reader follows one to a set that is being removed.
+    The set before the current one is normally kept for readers that have opened it.
     """
+    kept = set(keep or [])
+    for prefix in (MARKER, SET_PREFIX):
+        for name in _names(spark, root):
+            if name.startswith(prefix) and name.removeprefix(prefix) not in kept:
+                _delete(spark, f"{root}/{name}")
+
+
+def _commit(spark: SparkSession, root: str, name: str) -> None:
+    fs, marker = _fs(spark, f"{root}/{MARKER}{name}")
+    fs.create(marker, False).close()
+
+
+def _names(spark: SparkSession, root: str) -> list[str]:
     fs, path = _fs(spark, root)
-    if not fs.exists(path):
-        return
-    if not keep:
-        _delete(spark, f"{root}/{POINTER}")
-    for status in fs.listStatus(path):
-        name = status.getPath().getName()
-        if name.startswith(SET_PREFIX) and name not in (keep or []):
-            fs.delete(status.getPath(), True)
-
-
-def _point_to(spark: SparkSession, root: str, name: str) -> None:
-    """Replace the pointer in one step: write beside it, rename over it."""
-    jvm = spark._jvm
-    fs, temporary = _fs(spark, f"{root}/{POINTER}.{name}")
-    stream = fs.create(temporary, True)
-    stream.writeBytes(name + "\n")
-    stream.close()
-    target = jvm.org.apache.hadoop.fs.Path(f"{root}/{POINTER}")
-    conf = spark._jsc.hadoopConfiguration()
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-        target.getFileSystem(conf).getUri(), conf
-    )
-    overwrite = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-    options = spark.sparkContext._gateway.new_array(overwrite.getClass(), 1)
-    options[0] = overwrite
-    context.rename(
-        context.makeQualified(temporary), context.makeQualified(target), options
-    )
+    return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
 
 
 def _fs(spark: SparkSession, location: str):
