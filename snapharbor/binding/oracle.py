@@ -242,10 +242,10 @@ def _gate(check: str) -> str:
     return f'SELECT * FROM gate WHERE "check" = \'{check}\''
 
 
-def _scan(patterns: dict[str, str]) -> str:
+def _scan(patterns: dict[str, tuple]) -> str:
     tests = [
         f"SELECT doc_id, '{label}' AS label FROM documents WHERE regexp_matches(text, '{p}')"
-        for label, p in patterns.items()
+        for label, (p, _) in patterns.items()
     ]
     return "\nUNION ALL ".join(tests)
 

@@ -7,7 +7,6 @@ order names the ingestion run.
 from __future__ import annotations
 
 from dataclasses import replace
-from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +14,10 @@ from pyspark.sql import functions as F
 from snapharbor.functions.keys import salted_sha256
 from snapharbor.operators.upsert import keep_last
 from snapharbor.plans import models as m
-from snapharbor.session import configure
-from snapharbor.spec import VEHICLE_SPEC
+from snapharbor.plans.workflow import run_snapshot
+from snapharbor.session import configure, materialize, scratch_path
+from snapharbor.sources.publication import scan_published
+from snapharbor.spec import PUBLISHED_RELATIONS, VEHICLE_SPEC
 
 SALT = "fixture-salt"
 SPEC = replace(VEHICLE_SPEC, salt=SALT)
@@ -75,23 +76,18 @@ class StarBinding:
 
     def lines(self) -> DataFrame:
         """Line items, one per (order, line number)."""
-        columns = [
-            "l_orderkey",
-            "l_linenumber",
+        order = [
             "l_shipdate",
             "l_partkey",
             "l_suppkey",
             "l_quantity",
             "l_extendedprice",
             "l_returnflag",
-            "l_linestatus",
-            "l_discount",
-            "l_tax",
         ]
         return keep_last(
-            self.table("lineitem").select(*columns),
+            self.table("lineitem"),
             ["l_orderkey", "l_linenumber"],
-            [],
+            [F.col(c) for c in order],
         )
 
     def fuels(self, lineage: bool = True) -> DataFrame:
@@ -180,11 +176,9 @@ class StarBinding:
         return m.type_profile(self.fuels(lineage=False), SPEC)
 
     def wide(self, attributes: bool = True, started: bool = True) -> DataFrame:
-        return m.wide_snapshot(
-            self.stg_vehicles(attributes),
-            self.profile(),
-            self.stg_runs() if started else None,
-        )
+        """Vehicle snapshots; runs are stored first, as the run table is a stored one."""
+        runs = materialize(self.stg_runs(), "runs") if started else None
+        return m.wide_snapshot(self.stg_vehicles(attributes), self.profile(), runs)
 
     def overview(self, attributes: bool = True, started: bool = True) -> DataFrame:
         """Overview mart, narrower by the columns that are left out."""
@@ -195,15 +189,23 @@ class StarBinding:
 
     def fuel_fact(self) -> DataFrame:
         parents = m.fact_parents(self.wide(attributes=False, started=False), SPEC)
-        return m.fact_vehicle_fuel(self.stg_fuels(), parents, SPEC)
+        return m.fact_vehicle_fuel(m.fuel_parents(self.stg_fuels(), parents), SPEC)
 
     def metrics(self) -> DataFrame:
-        return m.mart_ev_metrics(self.stg_fuels(), self.wide(started=False), SPEC)
+        return m.mart_ev_metrics(
+            m.wide_fuels(self.stg_fuels(), self.wide(started=False), SPEC)
+        )
 
-    @cached_property
     def models(self) -> dict[str, DataFrame]:
         return m.build_models(self.staging(), SPEC)
 
+    def published(self) -> dict[str, DataFrame]:
+        """The published set, built from stored staging tables."""
+        root = scratch_path(self.spark, "published")
+        staged = {"vehicles": self.vehicles(), "fuels": self.fuels()}
+        run_snapshot(self.spark, staged, self.runs(), root, SPEC)
+        return {r: scan_published(self.spark, root, r) for r in PUBLISHED_RELATIONS}
+
     # --- raw text ----------------------------------------------------------------
 
     def raw_vehicles(self) -> DataFrame:

@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Credential and path patterns of the repository audit.
+# Credential and path patterns of the repository audit, each with
+# literals of which any match must contain one.
 AUDIT_PATTERNS = {
-    "GitHub token": r"\b(?:ghp_|github_pat_)[A-Za-z0-9_]+",
-    "AWS access key": r"\bAKIA[0-9A-Z]{16}\b",
-    "private key": r"-----BEGIN (?:RSA |EC |OPENSSH )?PRIVATE KEY-----",
-    "absolute Windows path": r"(^|[^A-Za-z])[A-Za-z]:[\\/]",
-    "absolute user-home path": r"/(?:home|Users)/[^/\s]+(?:/|\\)",
+    "GitHub token": (r"\b(?:ghp_|github_pat_)[A-Za-z0-9_]+", ("ghp_", "github_pat_")),
+    "AWS access key": (r"\bAKIA[0-9A-Z]{16}\b", ("AKIA",)),
+    "private key": (r"-----BEGIN (?:RSA |EC |OPENSSH )?PRIVATE KEY-----", ("-----BEGIN ",)),
+    "absolute Windows path": (r"(^|[^A-Za-z])[A-Za-z]:[\\/]", (":\\", ":/")),
+    "absolute user-home path": (r"/(?:home|Users)/[^/\s]+(?:/|\\)", ("/home/", "/Users/")),
 }
 # Fixed value: paths that must not be published.
 PROHIBITED_PATH = (
@@ -29,12 +31,26 @@ PROHIBITED_PATH = (
 
 
 def scan_patterns(
-    df: DataFrame, id_col: str, text_col: str, patterns: dict[str, str] | None = None
+    df: DataFrame,
+    id_col: str,
+    text_col: str,
+    patterns: dict[str, tuple[str, tuple[str, ...]]] | None = None,
 ) -> DataFrame:
-    """(id, label) for every pattern found anywhere in the whole text; no exchange."""
+    """(id, label) for every pattern found anywhere in the whole text; no exchange.
+
+    A pattern is tried only on texts that hold one of its literals.
+    """
+    text = F.col(text_col)
+
+    def found(pattern: str, literals: tuple[str, ...]) -> Column:
+        hit = text.rlike(pattern)
+        if not literals:
+            return hit
+        return reduce(or_, [F.contains(text, F.lit(x)) for x in literals]) & hit
+
     hits = F.array(
         *[
-            F.when(F.col(text_col).rlike(pattern), F.lit(label))
+            F.when(found(*pattern), F.lit(label))
             for label, pattern in (patterns or AUDIT_PATTERNS).items()
         ]
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from snapharbor.operators.joins import drop_ids
 
@@ -22,26 +23,24 @@ def upsert_by_key(
     ``dedupe="last"`` keeps the row that sorts last by ``order``.
     """
     if dedupe == "last":
-        incoming = keep_last(incoming, keys, order or [])
+        if not order:
+            raise ValueError("dedupe='last' needs an order")
+        incoming = keep_last(incoming, keys, order)
     elif dedupe != "none":
         raise ValueError("dedupe must be 'none' or 'last'")
     return drop_ids(target, incoming, keys).unionByName(incoming)
 
 
 def keep_last(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """One row per key: the largest by ``order``, then by the remaining columns.
+    """One row per key: the last in ``order``, NULL sorting first.
 
-    A maximum over a struct aggregates before the shuffle, so the copies of a hot
-    key are reduced where they are read.
+    Spark applies a ``row_number`` limit before the shuffle as well as after it, so
+    the copies of a hot key are reduced to one per task where they are read. Columns
+    outside ``keys`` and ``order`` are read only if the caller uses them.
     """
-    rest = [c for c in df.columns if c not in keys]
-    ranked = F.struct(
-        *[o.alias(f"_o{i}") for i, o in enumerate(order)], *[F.col(c) for c in rest]
-    )
-    best = df.groupBy(*keys).agg(F.max(ranked).alias("_best"))
-    return best.select(
-        *[F.col(c) if c in keys else F.col(f"_best.{c}").alias(c) for c in df.columns]
-    )
+    newest_first = Window.partitionBy(*keys).orderBy(*[o.desc_nulls_last() for o in order])
+    ranked = df.withColumn("_rank", F.row_number().over(newest_first))
+    return ranked.where(F.col("_rank") == 1).drop("_rank")
 
 
 def resolve_latest(log: DataFrame, keys: list[str], version: str) -> DataFrame:

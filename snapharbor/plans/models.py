@@ -279,16 +279,19 @@ def fact_parents(wide: DataFrame, spec: SnapshotSpec) -> DataFrame:
     return _cut(wide, ["vehicle_key", "snapshot_ingestion_id", "vehicle_snapshot_key"], spec)
 
 
-def fact_vehicle_fuel(
-    fuels: DataFrame, snapshot: DataFrame, spec: SnapshotSpec
-) -> DataFrame:
-    """Fuel rows of the vehicles and ingestions in the snapshot fact."""
+def fuel_parents(fuels: DataFrame, snapshot: DataFrame) -> DataFrame:
+    """Fuel rows of the vehicles and ingestions in the snapshot fact, with its key."""
     parents = snapshot.select(
         F.col("vehicle_key").alias("vehicle_id_hash"),
         F.col("snapshot_ingestion_id").alias("ingestion_id"),
         "vehicle_snapshot_key",
     )
-    return fuels.join(parents, ["vehicle_id_hash", "ingestion_id"]).select(
+    return fuels.join(parents, ["vehicle_id_hash", "ingestion_id"])
+
+
+def fact_vehicle_fuel(fuel_rows: DataFrame, spec: SnapshotSpec) -> DataFrame:
+    """The fuel fact, cut from fuel rows that carry their snapshot key."""
+    return fuel_rows.select(
         fuel_fact_key(spec).alias("vehicle_fuel_fact_key"),
         "vehicle_snapshot_key",
         F.col("vehicle_id_hash").alias("vehicle_key"),
@@ -311,21 +314,24 @@ def mart_ev_overview(wide: DataFrame, spec: SnapshotSpec) -> DataFrame:
     return _cut(wide, [c for c in OVERVIEW_COLUMNS if c in available], spec)
 
 
-def mart_ev_metrics(fuels: DataFrame, wide: DataFrame, spec: SnapshotSpec) -> DataFrame:
+def wide_fuels(fuels: DataFrame, wide: DataFrame, spec: SnapshotSpec) -> DataFrame:
+    """Fuel rows with the key and the metric attributes of their vehicle snapshot."""
+    names = ["brand", "model", "registration_year", "powertrain_category"]
+    parents = _cut(
+        wide, ["vehicle_key", "snapshot_ingestion_id", "vehicle_snapshot_key", *names], spec
+    ).withColumnsRenamed(
+        {"vehicle_key": "vehicle_id_hash", "snapshot_ingestion_id": "ingestion_id"}
+    )
+    return fuels.join(parents, ["vehicle_id_hash", "ingestion_id"])
+
+
+def mart_ev_metrics(fuel_rows: DataFrame) -> DataFrame:
     """Distinct vehicles and mean reported measures per metric key.
 
     The distinct count first reduces to (keys, vehicle), which the join's partitioning
     by vehicle already provides; only the reduced groups are shuffled.
     """
-    names = ["brand", "model", "registration_year", "powertrain_category"]
-    parents = _cut(wide, ["vehicle_key", "snapshot_ingestion_id", *names], spec).select(
-        F.col("vehicle_key").alias("vehicle_id_hash"),
-        F.col("snapshot_ingestion_id").alias("ingestion_id"),
-        *names,
-    )
-    return aggregate_metrics(
-        fuels.join(parents, ["vehicle_id_hash", "ingestion_id"]), "vehicle_id_hash"
-    )
+    return aggregate_metrics(fuel_rows, "vehicle_id_hash")
 
 
 def aggregate_metrics(rows: DataFrame, vehicle: str) -> DataFrame:
@@ -407,9 +413,8 @@ def build_models(
     out["dim_registration_date"] = dim_registration_date(out["stg_vehicles"])
     out["dim_powertrain"] = dim_powertrain(out["int_vehicle_fuel_profile"], spec)
     out["fact_vehicle_snapshot"] = fact_vehicle_snapshot(wide, spec)
-    out["fact_vehicle_fuel"] = fact_vehicle_fuel(
-        out["stg_fuels"], out["fact_vehicle_snapshot"], spec
-    )
+    fuel_rows = keep(wide_fuels(out["stg_fuels"], wide, spec), "wide_fuels")
+    out["fact_vehicle_fuel"] = fact_vehicle_fuel(fuel_rows, spec)
     out["mart_ev_overview"] = mart_ev_overview(wide, spec)
-    out["mart_ev_metrics"] = mart_ev_metrics(out["stg_fuels"], wide, spec)
+    out["mart_ev_metrics"] = mart_ev_metrics(fuel_rows)
     return out
