@@ -941,7 +941,7 @@ def default_text(b):
 
 @query
 def parse_compact_date(b):
-    return b.raw_vehicles().select(
+    return b.raw_vehicles(attributes=False).select(
         text.strip(F.col(ID)).alias("id"),
         text.parse_compact_date(F.col("datum_eerste_toelating")).alias("registration_date"),
     )
@@ -964,7 +964,7 @@ def parse_int_default(b):
 @query
 def derive_year(b):
     day = text.parse_compact_date(F.col("datum_eerste_toelating"))
-    return b.raw_vehicles().select(
+    return b.raw_vehicles(attributes=False).select(
         text.strip(F.col(ID)).alias("id"), F.year(day).alias("registration_year")
     )
 
@@ -1147,7 +1147,7 @@ def _datasets(b):
         .otherwise(F.col("o_orderkey").cast("string"))
         .alias(ID),
     )
-    vehicles = b.raw_vehicles().select(ID)
+    vehicles = b.raw_vehicles(attributes=False).select(ID)
     fuels = b.raw_fuels().select(ID)
     return anchors, vehicles, fuels
 
@@ -1404,7 +1404,10 @@ def scan_published_parquet(b):
 
 @query
 def output_inventory(b):
-    return tables.output_inventory(b.models(), PUBLISHED_RELATIONS)
+    root = scratch_path(b.spark, "staging")
+    tables.write_staging(b.staging(), root)
+    models = m.build_models(tables.scan_staging(b.spark, root), SPEC, write=True)
+    return tables.output_inventory(models, PUBLISHED_RELATIONS)
 
 
 # === streaming ===================================================================

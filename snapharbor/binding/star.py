@@ -50,17 +50,20 @@ class StarBinding:
 
     # --- staging -----------------------------------------------------------------
 
+    def orders(self, attributes: bool) -> DataFrame:
+        """Orders, with nation and market segment of the customer if wanted."""
+        orders = self.table("orders")
+        if not attributes:
+            return orders
+        customers = self.table("customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+        nations = self.table("nation").select("n_nationkey", "n_name")
+        return orders.join(
+            customers, F.col("o_custkey") == F.col("c_custkey"), "left"
+        ).join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+
     def vehicles(self, attributes: bool = True) -> DataFrame:
         """Staged vehicles; without ``attributes`` the customer join is left out."""
-        orders = self.table("orders")
-        if attributes:
-            customers = self.table("customer").select(
-                "c_custkey", "c_nationkey", "c_mktsegment"
-            )
-            nations = self.table("nation").select("n_nationkey", "n_name")
-            orders = orders.join(
-                customers, orders.o_custkey == customers.c_custkey, "left"
-            ).join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        orders = self.orders(attributes)
         named = [F.col("n_name").alias("brand"), F.col("c_mktsegment").alias("model")]
         day = F.to_date("o_orderdate")
         return orders.select(
@@ -196,9 +199,6 @@ class StarBinding:
             m.wide_fuels(self.stg_fuels(), self.wide(started=False), SPEC)
         )
 
-    def models(self) -> dict[str, DataFrame]:
-        return m.build_models(self.staging(), SPEC)
-
     def published(self) -> dict[str, DataFrame]:
         """The published set, built from stored staging tables."""
         root = scratch_path(self.spark, "published")
@@ -208,24 +208,22 @@ class StarBinding:
 
     # --- raw text ----------------------------------------------------------------
 
-    def raw_vehicles(self) -> DataFrame:
+    def raw_vehicles(self, attributes: bool = True) -> DataFrame:
         """Orders as untidy text: padding, blanks, wrong dates."""
-        customers = self.table("customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-        nations = self.table("nation").select("n_nationkey", "n_name")
-        orders = self.table("orders")
-        rows = orders.join(customers, orders.o_custkey == customers.c_custkey, "left").join(
-            nations, F.col("c_nationkey") == F.col("n_nationkey"), "left"
-        )
+        rows = self.orders(attributes)
         key = F.col("o_orderkey")
         day = F.date_format("o_orderdate", "yyyyMMdd")
-        return rows.select(
-            F.when(key % 50 == 0, "  ")
-            .otherwise(F.concat(F.lit(" "), key.cast("string"), F.lit("\t")))
-            .alias("kenteken"),
+        named = [
             F.concat(F.lit("  "), F.lower("n_name"), F.lit(" ")).alias("merk"),
             F.when(key % 10 == 3, " ").otherwise(F.col("c_mktsegment")).alias(
                 "handelsbenaming"
             ),
+        ]
+        return rows.select(
+            F.when(key % 50 == 0, "  ")
+            .otherwise(F.concat(F.lit(" "), key.cast("string"), F.lit("\t")))
+            .alias("kenteken"),
+            *(named if attributes else []),
             F.when(key % 9 == 0, "20231399")
             .when(key % 9 == 1, "")
             .when(key % 9 == 2, None)

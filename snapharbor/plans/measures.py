@@ -10,6 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from snapharbor.functions.calendar import calendar_parts
 
@@ -116,24 +117,28 @@ def powertrain_share(
     by: tuple[str, ...] = ("powertrain_category",),
     filters: dict[str, list] | None = None,
 ) -> DataFrame:
-    """Vehicles over the vehicles counted with the powertrain filter taken away."""
+    """Vehicles over the vehicles counted with the powertrain filter taken away.
+
+    Rows are counted once per (other groups, category); numerator and denominator are
+    sums of those cells. A window over them holds one row per category.
+    """
     lifted = "powertrain_category"
     filters = filters or {}
     others = [c for c in by if c != lifted]
     kept = {c: v for c, v in filters.items() if c != lifted}
-    part = slicer(overview, filters).groupBy(*by).agg(_vehicles().alias("vehicles"))
-    whole = slicer(overview, kept)
-    if not others:
-        total = whole.agg(_vehicles().alias("n")).scalar()
-        return part.select(*by, "vehicles", F.try_divide("vehicles", total).alias("share"))
-    totals = whole.groupBy(*[F.col(c).alias(f"_{c}") for c in others]).agg(
-        _vehicles().alias("_n")
+    chosen = F.col(lifted).isin(*filters[lifted]) if lifted in filters else F.lit(True)
+    cells = slicer(overview, kept).groupBy(*others, lifted).agg(_vehicles().alias("_n"))
+    if lifted in by:
+        whole = F.sum("_n").over(Window.partitionBy(*others))
+        shares = cells.select(
+            *by, F.col("_n").alias("vehicles"), F.try_divide("_n", whole).alias("share")
+        )
+        return shares.where(chosen)
+    sums = cells.groupBy(*others).agg(
+        F.sum(F.when(chosen, F.col("_n"))).alias("vehicles"), F.sum("_n").alias("_whole")
     )
-    same = F.lit(True)
-    for c in others:
-        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    return part.join(totals, same).select(
-        *by, "vehicles", F.try_divide("vehicles", "_n").alias("share")
+    return sums.where(F.col("vehicles").isNotNull()).select(
+        *others, "vehicles", F.try_divide("vehicles", "_whole").alias("share")
     )
 
 

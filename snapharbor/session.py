@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,3 +57,13 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     path = scratch_path(df.sparkSession, tag)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def run_together(jobs: list[Callable[[], object]], at_once: int = 4) -> list:
+    """Run independent Spark jobs side by side, so small ones fill idle slots.
+
+    All jobs end before the first failure is raised.
+    """
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        futures = [pool.submit(job) for job in jobs]
+    return [f.result() for f in futures]

@@ -8,9 +8,11 @@ mix, on file systems with or without an atomic folder rename.
 from __future__ import annotations
 
 import uuid
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
+from snapharbor.session import run_together
 from snapharbor.spec import PUBLISHED_RELATIONS
 
 MARKER = "_COMMITTED-"
@@ -54,7 +56,9 @@ def publish_set(
     name = f"{number:010d}-{uuid.uuid4().hex}"
     folder = f"{root}/{SET_PREFIX}{name}"
     try:
-        paths = [write_zstd_parquet(tables[r], folder, r) for r in sorted(required)]
+        paths = run_together(
+            [partial(write_zstd_parquet, tables[r], folder, r) for r in sorted(required)]
+        )
         _commit(spark, root, name)
     except BaseException:
         _delete(spark, folder)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from snapharbor.session import run_together
 from snapharbor.spec import INGESTION_RUNS, STAGED_FUELS, STAGED_VEHICLES
 
 STAGING_TABLES = {
@@ -25,9 +26,12 @@ def scan_staging(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 
 def write_staging(tables: dict[str, DataFrame], root: str) -> None:
-    for name, df in tables.items():
+    def write(name: str) -> None:
+        df = tables[name]
         df.write.mode("overwrite").option("compression", "zstd").parquet(f"{root}/{name}")
 
+    run_together([partial(write, name) for name in tables])
+
 
 def bind_rows(spark: SparkSession, rows: list, schema) -> DataFrame:
     """In-memory rows as a relation, for fixtures."""
