@@ -1438,10 +1438,10 @@ def _page_payloads(b):
 
 def _ingested(b, pages_per_batch):
     landing = scratch_path(b.spark, "raw")
-    log, checkpoint = scratch_path(b.spark, "log"), scratch_path(b.spark, "stream")
+    log = scratch_path(b.spark, "log")
     payloads.land_raw_pages(_page_payloads(b), landing)
     ingest.stream_page_ingest(
-        b.spark, landing, log, checkpoint, SPEC, "run_x", pages_per_batch
+        b.spark, landing, log, SPEC, "run_x", pages_per_batch
     ).awaitTermination()
     return ingest.settle(b.spark, log)
 

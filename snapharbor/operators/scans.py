@@ -68,6 +68,8 @@ def scan_plaintext_values(
     parts = []
     for relation, df in outputs.items():
         texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+        if not texts:
+            continue
         cells = F.explode(
             F.array(
                 *[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in texts]
