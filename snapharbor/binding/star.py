@@ -17,6 +17,7 @@ from snapharbor.plans import models as m
 from snapharbor.plans.workflow import run_snapshot
 from snapharbor.session import configure, materialize, scratch_path
 from snapharbor.sources.publication import scan_published
+from snapharbor.sources.tables import scan_staging, write_staging
 from snapharbor.spec import PUBLISHED_RELATIONS, VEHICLE_SPEC
 
 SALT = "fixture-salt"
@@ -199,11 +200,27 @@ class StarBinding:
             m.wide_fuels(self.stg_fuels(), self.wide(started=False), SPEC)
         )
 
+    def snapshot_staging(self) -> dict[str, DataFrame]:
+        """Staging as a snapshot holds it: only vehicles with a wanted fuel."""
+        ids = self.profile().select("vehicle_id_hash")
+        return {
+            "vehicles": self.vehicles().join(ids, "vehicle_id_hash", "left_semi"),
+            "fuels": self.fuels().join(ids, "vehicle_id_hash", "left_semi"),
+            "ingestion_runs": self.runs(),
+        }
+
+    def stored_models(self) -> dict[str, DataFrame]:
+        """Models over stored staging tables."""
+        root = scratch_path(self.spark, "staging")
+        write_staging(self.snapshot_staging(), root)
+        return m.build_models(scan_staging(self.spark, root), SPEC, write=True)
+
     def published(self) -> dict[str, DataFrame]:
-        """The published set, built from stored staging tables."""
+        """The published set of a checked snapshot run."""
         root = scratch_path(self.spark, "published")
-        staged = {"vehicles": self.vehicles(), "fuels": self.fuels()}
-        run_snapshot(self.spark, staged, self.runs(), root, SPEC)
+        staged = self.snapshot_staging()
+        runs = staged.pop("ingestion_runs")
+        run_snapshot(self.spark, staged, runs, root, SPEC)
         return {r: scan_published(self.spark, root, r) for r in PUBLISHED_RELATIONS}
 
     # --- raw text ----------------------------------------------------------------

@@ -11,6 +11,7 @@ from snapharbor.operators.matching import complete_ids, complete_rows
 from snapharbor.operators.paging import snapshot_cap
 from snapharbor.operators.quality import DataQualityError, raise_on_violations
 from snapharbor.operators.upsert import require_rows
+from snapharbor.plans.contracts import model_checks
 from snapharbor.plans.models import build_models
 from snapharbor.plans.normalize import normalize_fuels, normalize_vehicles
 from snapharbor.session import configure, scratch_path
@@ -67,7 +68,7 @@ def transform_only(
     publish_root: str,
     spec: SnapshotSpec,
 ) -> SnapshotResult:
-    """Gate existing staging tables, build the models and publish the set.
+    """Gate existing staging tables, build and test the models, publish the set.
 
     Whatever fails, the set published before stays in place.
     """
@@ -78,6 +79,7 @@ def transform_only(
     require_rows(staging["vehicles"], "the snapshot holds no vehicle")
     checks = raise_on_violations(staging_gate(staging["vehicles"], staging["fuels"]))
     models = build_models(staging, spec, write=True)
+    checks |= raise_on_violations(model_checks(models, spec))
     paths = publish_set(models, publish_root)
     published = {
         r: spark.read.parquet(p) for r, p in zip(sorted(PUBLISHED_RELATIONS), paths)

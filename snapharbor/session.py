@@ -32,15 +32,19 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_own_roots: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder shared by driver and executors, as named in spark.checkpoint.dir.
 
-    Only a session without that setting (a local test) gets a temporary folder.
+    Only a session without any checkpoint folder (a local test) gets a temporary one.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="snapharbor-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _own_roots.get(context.applicationId) or tempfile.mkdtemp(prefix="snapharbor-")
+        _own_roots[context.applicationId] = root
     return root.rstrip("/")
 
 
