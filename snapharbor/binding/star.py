@@ -202,7 +202,7 @@ class StarBinding:
 
     def snapshot_staging(self) -> dict[str, DataFrame]:
         """Staging as a snapshot holds it: only vehicles with a wanted fuel."""
-        ids = self.profile().select("vehicle_id_hash")
+        ids = materialize(self.profile().select("vehicle_id_hash"), "profile_ids")
         return {
             "vehicles": self.vehicles().join(ids, "vehicle_id_hash", "left_semi"),
             "fuels": self.fuels().join(ids, "vehicle_id_hash", "left_semi"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 100_000
@@ -42,6 +42,24 @@ def lookup_join(
     return facts.join(lookup, on, how)
 
 
+def join_reduced(
+    rows: DataFrame, reduced: DataFrame, keys: list[str], how: str = "inner"
+) -> DataFrame:
+    """Join rows, whose keys may be hot, with a side that was aggregated by those keys.
+
+    Spark would join on the partitioning the aggregate left behind, and AQE cannot
+    split such a join. The second key is a function of the first ones: it changes no
+    result, but both sides are now shuffled for the join, so a hot key is split. The
+    price is one more exchange of the reduced side.
+    """
+    spread = F.xxhash64(*keys)
+    return (
+        rows.withColumn("_spread", spread)
+        .join(reduced.withColumn("_spread", spread), [*keys, "_spread"], how)
+        .drop("_spread")
+    )
+
+
 def keep_ids(df: DataFrame, ids: DataFrame, key: str | list[str]) -> DataFrame:
     """Rows of ``df`` whose key occurs in ``ids``.
 
@@ -49,14 +67,10 @@ def keep_ids(df: DataFrame, ids: DataFrame, key: str | list[str]) -> DataFrame:
     shuffle, so a key repeated many times there never lands whole in one task.
     """
     keys = [key] if isinstance(key, str) else key
-    return df.join(ids.select(*keys).distinct(), keys, "left_semi")
+    return join_reduced(df, ids.select(*keys).distinct(), keys, "left_semi")
 
 
 def drop_ids(df: DataFrame, ids: DataFrame, key: str | list[str]) -> DataFrame:
     """Rows of ``df`` whose key does not occur in ``ids`` (a NULL key never occurs)."""
     keys = [key] if isinstance(key, str) else key
-    return df.join(ids.select(*keys).distinct(), keys, "left_anti")
-
-
-def row_count(df: DataFrame, name: str) -> Column | DataFrame:
-    return df.agg(F.count(F.lit(1)).alias(name))
+    return join_reduced(df, ids.select(*keys).distinct(), keys, "left_anti")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapharbor.operators.joins import drop_ids
+from snapharbor.operators.joins import drop_ids, join_reduced
 from snapharbor.operators.paging import global_position
 from snapharbor.spec import check_page_size
 
@@ -30,7 +30,7 @@ def detail_pages(
     starts = placed.groupBy(batch_col).agg(F.min("_pos").alias("_start"))
     offset = F.col("_pos") - F.col("_start")
     return (
-        placed.join(starts, batch_col)
+        join_reduced(placed, starts, [batch_col])
         .withColumn("chunk", F.floor(offset / page_size))
         .withColumn("pos", offset % page_size)
         .drop("_pos", "_start")
@@ -74,7 +74,7 @@ def ledger_insert(
     )
     opening = unseen.select(*key, F.col("_first.arrival").alias("_opening"))
     flagged = (
-        incoming.join(opening, key, "left")
+        join_reduced(incoming, opening, key, "left")
         .withColumn(
             "duplicate", F.coalesce(F.col("_opening") != arrival, F.lit(True))
         )

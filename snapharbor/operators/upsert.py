@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from snapharbor.operators.joins import drop_ids
+from snapharbor.operators.joins import drop_ids, join_reduced
 
 
 class EmptySnapshotError(ValueError):
@@ -51,11 +51,10 @@ def resolve_latest(log: DataFrame, keys: list[str], version: str) -> DataFrame:
     once costs one pass, where rewriting the table per version costs one each.
     """
     newest = log.groupBy(*keys).agg(F.max(version).alias("_newest"))
-    superseded = F.col(f"l.{version}") < F.col("n._newest")
-    for key in keys:
-        superseded = (F.col(f"l.{key}") == F.col(f"n.{key}")) & superseded
-    # A NULL key equals nothing, so such rows are never replaced.
-    return log.alias("l").join(newest.alias("n"), superseded, "left_anti").drop(version)
+    # A NULL key equals nothing, so such rows find no newest version and stay.
+    found = join_reduced(log, newest, keys, "left")
+    superseded = F.coalesce(F.col(version) < F.col("_newest"), F.lit(False))
+    return found.where(~superseded).select(*[c for c in log.columns if c != version])
 
 
 def require_rows(df: DataFrame, message: str) -> DataFrame:

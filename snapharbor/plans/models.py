@@ -229,7 +229,7 @@ def wide_snapshot(
     """One row per classified vehicle with attributes, profile and run start.
 
     Vehicles and profiles meet on the vehicle key, by which the profile is already
-    partitioned. The run start is looked up, so vehicles do not move to their run
+    partitioned; both sides hold one row per vehicle. The run start is looked up, so vehicles do not move to their run
     (which may be the same one for all of them). Without ``runs`` there is no start.
     """
     rows = vehicles.join(profile, "vehicle_id_hash")
@@ -328,8 +328,8 @@ def wide_fuels(fuels: DataFrame, wide: DataFrame, spec: SnapshotSpec) -> DataFra
 def mart_ev_metrics(fuel_rows: DataFrame) -> DataFrame:
     """Distinct vehicles and mean reported measures per metric key.
 
-    The distinct count first reduces to (keys, vehicle), which the join's partitioning
-    by vehicle already provides; only the reduced groups are shuffled.
+    The distinct count reduces to (keys, vehicle) where rows are read; a group that
+    holds many of the rows is therefore counted by many tasks.
     """
     return aggregate_metrics(fuel_rows, "vehicle_id_hash")
 

@@ -79,8 +79,11 @@ def transform_only(
     require_rows(staging["vehicles"], "the snapshot holds no vehicle")
     checks = raise_on_violations(staging_gate(staging["vehicles"], staging["fuels"]))
     models = build_models(staging, spec, write=True)
-    checks |= raise_on_violations(model_checks(models, spec))
-    paths = publish_set(models, publish_root)
+
+    def test_models(written: dict[str, DataFrame]) -> None:
+        checks.update(raise_on_violations(model_checks({**models, **written}, spec)))
+
+    paths = publish_set(models, publish_root, check=test_models)
     published = {
         r: spark.read.parquet(p) for r, p in zip(sorted(PUBLISHED_RELATIONS), paths)
     }

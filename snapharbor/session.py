@@ -18,9 +18,9 @@ RUNTIME_SETTINGS = {
     # when the split costs one more exchange further up.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Facts stay hash-partitioned by vehicle; a join on (vehicle, ingestion) may use
-    # that partitioning instead of shuffling the larger side a second time.
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # A join must shuffle by all of its keys. Joining on a partitioning left over from an
+    # aggregate would save an exchange but could not be split.
+    "spark.sql.requireAllClusterKeysForCoPartition": "true",
 }
 
 
