@@ -509,7 +509,7 @@ def _sql() -> dict[str, str]:
         "gate_empty": "empty_vehicle_staging",
     }.items():
         o[key] = _gate(check)
-    o["gate_plain_columns"] = """SELECT "check", 1 AS violations FROM gate
+    o["gate_plain_columns"] = """SELECT "check", CAST(1 AS BIGINT) AS violations FROM gate
         WHERE "check" = 'plain_identifier_columns'"""
     o["scan_patterns"] = _scan({**AUDIT_PATTERNS, **DOCUMENT_PATTERNS})
     o["scan_plaintext_values"] = """SELECT 'leaky_lines' AS relation, 'note' AS "column",

@@ -28,6 +28,12 @@ def run_of(ts: Column) -> Column:
     return F.concat(F.lit("run_"), F.year(ts).cast("string"))
 
 
+def hashed(key: str) -> Column:
+    """Order keys are primary keys, so never NULL."""
+    text = F.col(key).cast("string")
+    return salted_sha256(text, SALT, required=True).alias("vehicle_id_hash")
+
+
 def fuel_name() -> Column:
     """Return flag and line status as one of four fuel names."""
     flag = F.col("l_returnflag")
@@ -68,7 +74,7 @@ class StarBinding:
         named = [F.col("n_name").alias("brand"), F.col("c_mktsegment").alias("model")]
         day = F.to_date("o_orderdate")
         return orders.select(
-            salted_sha256(F.col("o_orderkey").cast("string"), SALT).alias("vehicle_id_hash"),
+            hashed("o_orderkey"),
             *(named if attributes else []),
             day.alias("registration_date"),
             F.year(day).alias("registration_year"),
@@ -105,7 +111,7 @@ class StarBinding:
             lines = lines.join(runs, "l_orderkey")
         quantity = F.col("l_quantity")
         return lines.select(
-            salted_sha256(F.col("l_orderkey").cast("string"), SALT).alias("vehicle_id_hash"),
+            hashed("l_orderkey"),
             F.col("l_linenumber").alias("fuel_sequence"),
             fuel_name().alias("fuel_type"),
             F.when(F.col("l_linestatus") == "F", "Euro 6").alias("emission_code"),
@@ -180,8 +186,8 @@ class StarBinding:
         return m.type_profile(self.fuels(lineage=False), SPEC)
 
     def wide(self, attributes: bool = True, started: bool = True) -> DataFrame:
-        """Vehicle snapshots; runs are stored first, as the run table is a stored one."""
-        runs = materialize(self.stg_runs(), "runs") if started else None
+        """Vehicle snapshots, with their run start if wanted."""
+        runs = self.stg_runs() if started else None
         return m.wide_snapshot(self.stg_vehicles(attributes), self.profile(), runs)
 
     def overview(self, attributes: bool = True, started: bool = True) -> DataFrame:

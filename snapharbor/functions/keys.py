@@ -6,9 +6,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def salted_sha256(col: Column, salt: str) -> Column:
-    """Lower-case hex SHA-256 of ``salt:id``; one identifier keeps one key per salt."""
-    return F.sha2(F.concat(F.lit(f"{salt}:"), col), 256)
+def salted_sha256(col: Column, salt: str, required: bool = False) -> Column:
+    """Lower-case hex SHA-256 of ``salt:id``; one identifier keeps one key per salt.
+
+    A NULL identifier gives NULL. With ``required`` the caller vouches that there is
+    none: the optimizer then knows the key is not NULL either, and joins do not hash
+    every row a second time to test it.
+    """
+    prefix = F.lit(f"{salt}:")
+    text = F.concat_ws("", prefix, col) if required else F.concat(prefix, col)
+    return F.sha2(text, 256)
 
 
 def md5_key(*parts: Column, separator: str = "|", null_token: str | None = None) -> Column:

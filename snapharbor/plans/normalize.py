@@ -40,7 +40,9 @@ def normalize_vehicles(
     field = {name: F.col(raw_name) for name, raw_name in spec.vehicle_fields.items()}
     registered = parse_compact_date(field["registration_date"])
     return drop_blank_id(raw, spec.raw_id).select(
-        salted_sha256(strip(F.col(spec.raw_id)), spec.salt).alias("vehicle_id_hash"),
+        salted_sha256(strip(F.col(spec.raw_id)), spec.salt, required=True).alias(
+            "vehicle_id_hash"
+        ),
         clean_upper(field["brand"]).alias("brand"),
         clean_upper(field["model"]).alias("model"),
         registered.alias("registration_date"),
@@ -62,7 +64,9 @@ def normalize_fuels(
     """Staged fuel rows; rows without an identifier are dropped."""
     field = {name: F.col(raw_name) for name, raw_name in spec.fuel_fields.items()}
     return drop_blank_id(raw, spec.raw_id).select(
-        salted_sha256(strip(F.col(spec.raw_id)), spec.salt).alias("vehicle_id_hash"),
+        salted_sha256(strip(F.col(spec.raw_id)), spec.salt, required=True).alias(
+            "vehicle_id_hash"
+        ),
         parse_int_default(field["fuel_sequence"], spec.default_sequence).alias(
             "fuel_sequence"
         ),

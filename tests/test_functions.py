@@ -66,6 +66,12 @@ def test_salted_hash_is_stable(spark):
     assert got != apply(spark, ["AB12"], lambda c: keys.salted_sha256(c, "t"))[0]
 
 
+def test_salted_hash_of_null(spark):
+    assert apply(spark, [None], lambda c: keys.salted_sha256(c, "s")) == [None]
+    required = apply(spark, ["AB12"], lambda c: keys.salted_sha256(c, "s", required=True))
+    assert required == apply(spark, ["AB12"], lambda c: keys.salted_sha256(c, "s"))
+
+
 def test_md5_keys_and_null(spark):
     df = spark.createDataFrame([("a", None), ("a", "<unknown>"), ("a|b", "c")], "x string, y string")
     plain = [r[0] for r in df.select(keys.md5_key(F.col("x"), F.col("y"))).collect()]

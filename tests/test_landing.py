@@ -180,6 +180,19 @@ def test_snapshot_run_publishes_checked_models(spark, raw, runs, spec, tmp_path)
     assert publication.scan_published(spark, root, "dim_vehicle").count() == 2
 
 
+def test_failing_model_test_blocks_publication(spark, staging, spec, tmp_path):
+    """A vehicle without an electric or hydrogen fuel breaks the row-count test."""
+    root = str(tmp_path / "pub")
+    plain = staging["fuels"].withColumn(
+        "fuel_type",
+        F.when(F.col("fuel_type") == "Elektriciteit", "Benzine").otherwise(F.col("fuel_type")),
+    )
+    with pytest.raises(DataQualityError, match="fact_snapshot_rowcount"):
+        transform_only(spark, {**staging, "fuels": plain}, root, spec)
+    assert publication.current_set(spark, root) is None
+    assert os.listdir(root) == [] if os.path.isdir(root) else True
+
+
 def test_transform_rejects_bad_staging(spark, staging, spec, tmp_path):
     root = str(tmp_path / "pub")
     bad = {**staging, "vehicles": staging["vehicles"].drop("brand")}
