@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from snapharbor.llm.components import components
 from snapharbor.llm.shared import batch, chunks, prepare, stored
-from snapharbor.llm.textbytes import Words, mix, ngrams, shingle_set, signed
+from snapharbor.llm.textbytes import Shingles, mix, signed
 
 # Distinct n-grams counted at a time in a task, and the count from which one is reported.
 COUNT_BLOCK = 1 << 22
@@ -40,13 +40,16 @@ COMMON_ROWS = 200_000
 # Bits of the filter that thins the documents whose sets are needed.
 FILTER_BITS = 22
 
-SET_ROWS = pa.schema([("kind", pa.int32()), ("id", pa.int64()), ("n", pa.int64()), ("sig", pa.int64())])
+SET_ROWS = pa.schema(
+    [("kind", pa.int32()), ("id", pa.int64()), ("n", pa.int64()), ("sig", pa.int64()), ("bits", pa.binary())]
+)
 ENTRY_ROWS = pa.schema([("s", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("pos", pa.int32())])
 LIST_ROWS = pa.schema(
     [("kind", pa.int32()), ("s", pa.int64()), ("x", pa.int64()), ("n", pa.int32())]
     + [("y", pa.int64()), ("m", pa.int32()), ("pos", pa.int32())]
 )
 NODE_SETS = pa.schema([("node", pa.int64()), ("grams", pa.binary())])
+PAIR_ROWS = pa.schema([(c, pa.int64()) for c in ("x", "y", "x_slot", "y_slot")])
 LINK_ROWS = pa.schema([("x", pa.int64()), ("y", pa.int64())])
 
 
@@ -67,11 +70,30 @@ class Rule:
         return n - -(-self.num * n // self.den) + 1
 
 
-def signature(grams: np.ndarray) -> int:
-    """64 bits that tell sets apart (order-free)."""
+def outline(grams: np.ndarray) -> bytes:
+    """A bit per n-gram, two to four times as many bits as n-grams, a power of two."""
+    size = max(64, 1 << int(2 * len(grams) - 1).bit_length())
+    flags = np.zeros(size, bool)
+    flags[grams & np.uint64(size - 1)] = True
+    return np.packbits(flags, bitorder="little").tobytes()
+
+
+def most_shared(a: bytes, n: int, b: bytes, m: int) -> int:
+    """An upper bound of the overlap of two sets: an n-gram whose bit the other set lacks is
+    not shared. The longer outline is folded to the length of the shorter one."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    if len(x) > len(y):
+        x = np.bitwise_or.reduce(x.reshape(-1, len(y)), axis=0)
+    elif len(y) > len(x):
+        y = np.bitwise_or.reduce(y.reshape(-1, len(x)), axis=0)
+    return min(n - int(np.bitwise_count(x & ~y).sum()), m - int(np.bitwise_count(y & ~x).sum()))
+
+
+def slot_of(node, doc_id) -> np.ndarray:
+    """The filter bit of a set's representative: the row with its smallest id."""
     with np.errstate(over="ignore"):
-        total = mix(grams ^ np.uint64(0xA0761D6478BD642F)).sum(dtype=np.uint64)
-        return int(signed(mix(np.array([total + np.uint64(len(grams))], np.uint64)))[0])
+        key = np.asarray(node, np.int64).view(np.uint64) + mix(np.asarray(doc_id, np.int64).view(np.uint64))
+    return (mix(key) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -80,32 +102,30 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def _row_sets(rows: pa.RecordBatch, words: int) -> Iterator[tuple[int, np.ndarray]]:
-    found = Words(rows.column("text"))
-    for i in range(found.rows):
-        yield i, shingle_set(found.hashes[found.first[i] : found.first[i + 1]], words)
-
-
 def _describe(words: int):
-    """(0, id, set size, signature) per document and (1, n-gram, count, 0) per common n-gram."""
+    """(0, id, set size, signature, outline) per document, the outline at a set's first
+    document in the task, and (1, n-gram, count, 0, null) per common n-gram."""
 
     def report(kept: list[np.ndarray]) -> pa.RecordBatch:
         grams, count = np.unique(np.concatenate(kept), return_counts=True)
         often = count >= COUNT_LEAST
         grams, count = signed(grams[often]), count[often]
-        return batch(SET_ROWS, np.ones(len(grams), np.int32), grams, count, np.zeros(len(grams), np.int64))
+        one = np.ones(len(grams), np.int32)
+        return batch(SET_ROWS, one, grams, count, np.zeros(len(grams), np.int64), [None] * len(grams))
 
     def run(batches):
-        kept, size = [], 0
+        kept, size, seen = [], 0, set()
         for rows in chunks(batches, 1 << 21, "text"):
-            sizes, sigs = [], []
-            for _, grams in _row_sets(rows, words):
-                sizes.append(len(grams))
-                sigs.append(signature(grams) if len(grams) else 0)
-                kept.append(grams)
-                size += len(grams)
-            zero = np.zeros(len(sizes), np.int32)
-            yield batch(SET_ROWS, zero, rows.column("id"), sizes, sigs)
+            found = Shingles(rows.column("text"), words)
+            outlines: list[bytes | None] = []
+            for i, sig in enumerate(found.signature.tolist()):
+                new = found.sizes[i] > 0 and sig not in seen
+                seen.add(sig)
+                outlines.append(outline(found.row(i)) if new else None)
+            kept.append(found.grams)
+            size += len(found.grams)
+            zero = np.zeros(rows.num_rows, np.int32)
+            yield batch(SET_ROWS, zero, rows.column("id"), found.sizes, found.signature, outlines)
             if size >= COUNT_BLOCK:
                 yield report(kept)
                 kept, size = [], 0
@@ -119,30 +139,33 @@ def _entries(rule: Rule, common):
     """Prefix entries of each distinct set."""
 
     def run(batches):
-        grams_common, rank = common.value
+        grams_common, count_common = common.value
         seen: set[int] = set()
         for rows in chunks(batches, 1 << 21, "text"):
-            out: list[tuple[np.ndarray, int, int]] = []
-            for _, grams in _row_sets(rows, rule.words):
-                if not len(grams):
-                    continue
-                node = signature(grams)
-                if node in seen:
+            found = Shingles(rows.column("text"), rule.words)
+            order = np.zeros(len(found.grams), np.int64)
+            if len(grams_common):
+                at = np.minimum(np.searchsorted(grams_common, found.grams), len(grams_common) - 1)
+                order = np.where(grams_common[at] == found.grams, count_common[at], 0)
+            out: list[np.ndarray] = []
+            nodes, sizes = [], []
+            for i, node in enumerate(found.signature.tolist()):
+                if not found.sizes[i] or node in seen:
                     continue
                 seen.add(node)
-                take = rule.prefix(len(grams))
-                if len(grams_common):
-                    at = np.minimum(np.searchsorted(grams_common, grams), len(grams_common) - 1)
-                    order = np.where(grams_common[at] == grams, rank[at], 0)
-                    grams = grams[np.argsort(order, kind="stable")] if order.any() else grams
-                out.append((grams[:take], node, len(grams)))
+                grams, late = found.row(i), order[found.ends[i] : found.ends[i + 1]]
+                if late.any():
+                    grams = grams[np.argsort(late, kind="stable")]
+                out.append(grams[: rule.prefix(len(grams))])
+                nodes.append(node)
+                sizes.append(len(grams))
             if out:
-                lengths = np.array([len(g) for g, _, _ in out])
+                lengths = np.array([len(g) for g in out])
                 yield batch(
                     ENTRY_ROWS,
-                    signed(np.concatenate([g for g, _, _ in out])),
-                    np.repeat(np.array([x for _, x, _ in out], np.int64), lengths),
-                    np.repeat(np.array([n for _, _, n in out], np.int32), lengths),
+                    signed(np.concatenate(out)),
+                    np.repeat(np.array(nodes, np.int64), lengths),
+                    np.repeat(np.array(sizes, np.int32), lengths),
                     np.concatenate([np.arange(k, dtype=np.int32) for k in lengths]),
                 )
 
@@ -210,25 +233,39 @@ def _lists(rule: Rule):
 
 
 def _needed_sets(words: int, bits):
-    """Whole sets of the nodes that pass the filter."""
+    """Whole sets of the representatives that pass the filter."""
 
     def run(batches):
         flags = bits.value
-        seen: set[int] = set()
         for rows in chunks(batches, 1 << 21, "text"):
-            nodes, sets = [], []
-            for _, grams in _row_sets(rows, words):
-                if not len(grams):
-                    continue
-                node = signature(grams)
-                slot = node & ((1 << FILTER_BITS) - 1)
-                if not (int(flags[slot >> 6]) >> (slot & 63)) & 1 or node in seen:
-                    continue
-                seen.add(node)
-                nodes.append(node)
-                sets.append(grams.tobytes())
-            if nodes:
-                yield batch(NODE_SETS, nodes, sets)
+            found = Shingles(rows.column("text"), words)
+            ids = rows.column("id").fill_null(0).to_numpy(zero_copy_only=False)
+            slot = slot_of(found.signature, ids)
+            passed = (flags[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1)
+            wanted = np.flatnonzero((passed == 1) & (found.sizes > 0))
+            yield batch(NODE_SETS, found.signature[wanted], [found.row(i).tobytes() for i in wanted])
+
+    return run
+
+
+def _possible(rule: Rule):
+    """Pairs whose outlines do not rule the link out."""
+
+    def run(batches):
+        for rows in batches:
+            n, m = (rows.column(c).to_numpy() for c in ("n", "m"))
+            a, b = rows.column("a"), rows.column("b")
+            ok = np.array(
+                [
+                    most_shared(a[i].as_buffer(), int(n[i]), b[i].as_buffer(), int(m[i])) * (rule.num + rule.den)
+                    >= int(n[i] + m[i]) * rule.num
+                    for i in range(rows.num_rows)
+                ],
+                bool,
+            )
+            kept = rows.filter(pa.array(ok))
+            slots = [slot_of(kept.column(c).to_numpy(), kept.column(f"{c}_id").to_numpy()) for c in ("x", "y")]
+            yield batch(PAIR_ROWS, kept.column("x"), kept.column("y"), *slots)
 
     return run
 
@@ -254,14 +291,19 @@ def _checked(rule: Rule):
     return run
 
 
-def _links(texts: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
-    """Check pairs (x, y) on whole sets; only sets of nodes in a pair are moved."""
+def _links(texts: DataFrame, nodes: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs (x, n, y, m) that link. Outlines rule most of the others out; what is left is
+    checked on whole sets, and only sets of such pairs are moved."""
     spark = texts.sparkSession
-    mask = (1 << FILTER_BITS) - 1
-    slot = F.explode(F.array("x", "y")).alias("node")
+
+    def of(c: str, value: str, name: str):
+        return nodes.select(F.col("sig").alias(c), F.coalesce("id", F.lit(0)).alias(f"{c}_id"), F.col(value).alias(name))
+
+    outlined = pairs.join(of("x", "bits", "a"), "x").join(of("y", "bits", "b"), "y")
+    outlined = outlined.select("x", "y", "n", "m", "a", "b", "x_id", "y_id")
+    pairs = stored(outlined.mapInArrow(_possible(rule), _ddl(PAIR_ROWS)), "possible")
     words = (
-        pairs.select(slot)
-        .select(F.col("node").bitwiseAND(F.lit(mask)).alias("slot"))
+        pairs.select(F.explode(F.array("x_slot", "y_slot")).alias("slot"))
         .groupBy(F.shiftright("slot", 6).alias("word"))
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("bits"))
         .collect()  # at most 2**FILTER_BITS / 64 rows
@@ -270,9 +312,7 @@ def _links(texts: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
     for row in words:
         flags[row.word] = np.int64(row.bits).view(np.uint64)
     bits = spark.sparkContext.broadcast(flags)
-    sets = stored(texts.select("text").mapInArrow(_needed_sets(rule.words, bits), _ddl(NODE_SETS)), "sets")
-    # Tasks may repeat the set of a text that has copies elsewhere: one is as good as another.
-    sets = stored(sets.groupBy("node").agg(F.any_value("grams").alias("grams")), "set-of-node")
+    sets = stored(texts.mapInArrow(_needed_sets(rule.words, bits), _ddl(NODE_SETS)), "sets")
     joined = (
         pairs.select("x", "y")
         .join(sets.select(F.col("node").alias("x"), F.col("grams").alias("a")), "x")
@@ -303,7 +343,7 @@ def shingle_classes(
     spark = prepare(docs.sparkSession)
     texts = _texts(docs, id_col, text_col)
     described = stored(texts.mapInArrow(_describe(words), _ddl(SET_ROWS)), "described")
-    sets = described.where("kind = 0").select(F.col("id"), "n", "sig")
+    sets = described.where("kind = 0").select("id", "n", "sig", "bits")
     top = (
         described.where("kind = 1")
         .groupBy("id")
@@ -324,17 +364,21 @@ def shingle_classes(
         .mapInArrow(_lists(rule), _ddl(LIST_ROWS)),
         "lists",
     )
-    # Pairs that stand side by side in half of the shorter prefix are most likely links.
-    likely_from = F.least("n", "m") * F.lit((rule.den - rule.num) / rule.den / 2)
+    nodes = stored(
+        sets.where("n > 0").groupBy("sig").agg(F.min("id").alias("id"), F.any_value("bits", True).alias("bits")),
+        "nodes",
+    )
+    # Pairs that stand side by side in a quarter of the shorter prefix are most likely links.
+    likely_from = F.least("n", "m") * F.lit((rule.den - rule.num) / rule.den / 4)
     likely = stored(
         lists.where("kind = 1")
         .groupBy("x", "y", "n", "m")
         .agg(F.count(F.lit(1)).alias("c"))
         .where(F.col("c") >= likely_from)
-        .select("x", "y"),
+        .select("x", "n", "y", "m"),
         "likely",
     )
-    found = _links(texts, likely, rule)
+    found = _links(texts, nodes, likely, rule)
     class_of = stored(components(found), "classes")
 
     entries = lists.where("kind = 0").select("s", F.col("x").alias("node"), "n", "pos")
@@ -374,17 +418,15 @@ def shingle_classes(
         met.groupBy("x", "y", "n", "m")
         .agg(F.count(F.lit(1)).alias("c"), F.max("px").alias("px"), F.max("py").alias("py"))
         .where(still * (rule.num + rule.den) >= (F.col("n").cast("long") + F.col("m")) * rule.num)
-        .select("x", "y"),
+        .select("x", "n", "y", "m"),
         "pairs",
     )
-    more = _links(texts, pairs, rule)
+    more = _links(texts, nodes, pairs, rule)
     links = class_of.select(F.col("node").alias("x"), F.col("root").alias("y")).unionByName(more)
     classes = stored(components(links), "classes")
 
-    least = stored(sets.where("n > 0").groupBy("sig").agg(F.min("id").alias("id")), "least")
-    rooted = least.join(classes.withColumnRenamed("node", "sig"), "sig", "left").withColumn(
-        "root", F.coalesce("root", "sig")
-    )
+    rooted = nodes.select("sig", "id").join(classes.withColumnRenamed("node", "sig"), "sig", "left")
+    rooted = rooted.withColumn("root", F.coalesce("root", "sig"))
     by_root = rooted.groupBy("root").agg(F.min("id").alias("component_id"))
     member = stored(rooted.select("sig", "root").join(by_root, "root").select("sig", "component_id"), "member")
     out = sets.withColumn("sig", F.when(F.col("n") > 0, F.col("sig"))).join(member, "sig", "left")
@@ -404,11 +446,18 @@ def keep_first(
 ) -> DataFrame:
     """The rows of ``docs`` without near-copies: of each class, the row with the smallest id.
 
-    All columns stay. Of rows that share the kept id, the one with the smallest text stays.
-    Rows without words are kept, as is every row whose id is null: it names no document.
+    All columns stay. Rows without words are kept, as is every row whose id is null: it names no
+    document. Of rows with equal id and text one stays; ids that name different texts are not
+    resolved further, rows under one kept id stay together.
     """
-    classes = shingle_classes(docs, words, threshold, id_col, text_col)
-    kept = classes.where(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
-    kept = stored(kept.select(F.col(id_col).alias("_kept")), "kept")
-    rows = docs.join(kept, docs[id_col].cast("bigint") == F.col("_kept"), "left_semi")
-    return rows.unionByName(docs.where(docs[id_col].isNull()))
+    classes = stored(shingle_classes(docs, words, threshold, id_col, text_col), "classes")
+    ids = classes.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id"))
+    ids = stored(
+        ids.agg(F.count(F.lit(1)).alias("_rows"), F.max((F.col(id_col) == F.col("component_id")).cast("int")).alias("_kept")),
+        "kept",
+    )
+    doc_id = docs[id_col].cast("bigint")
+    gone = ids.where("_kept = 0 or _rows > 1")
+    once = docs.join(gone, doc_id == F.col("_id"), "left_anti")
+    repeated = docs.join(ids.where("_kept = 1 and _rows > 1"), doc_id == F.col("_id"), "left_semi")
+    return once.unionByName(repeated.dropDuplicates([id_col, text_col]))

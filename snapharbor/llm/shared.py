@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import pickle
 import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,8 +18,11 @@ from snapharbor.session import configure, materialize
 # to be installed there.
 cloudpickle.register_pickle_by_value(sys.modules["snapharbor.llm"])
 
-# Rows handed to Python at a time: texts may be long, so batches are small.
-BATCH_ROWS = 512
+# What is handed to Python at a time: texts may be long, so batches are small.
+BATCH_SETTINGS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,8 +31,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def prepare(spark: SparkSession) -> SparkSession:
     configure(spark)
-    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") != str(BATCH_ROWS):
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    for key, value in BATCH_SETTINGS.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
     return spark
 
 
@@ -38,6 +43,15 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return materialize(df, f"llm-{tag}")
 
 
+def shipped(spark: SparkSession, value: object) -> Broadcast:
+    """A broadcast of a value whose class is defined in this package: see ``opened``."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def opened(value: Broadcast):
+    return pickle.loads(value.value)
+
+
 def fold_of(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as decimal text, modulo ``folds``."""
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(folds)

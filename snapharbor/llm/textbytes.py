@@ -13,24 +13,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_BASE = np.uint64(0x9E3779B97F4A7C15)
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
+# Masks for the first 0 to 8 bytes of a little-endian 64-bit value.
+_FIRST = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
-_powers = np.ones(1, np.uint64)
-
-
-def _powers_to(n: int) -> np.ndarray:
-    global _powers
-    if len(_powers) < n:
-        size = max(n, 1024)
-        with np.errstate(over="ignore"):
-            _powers = np.cumprod(
-                np.concatenate([np.ones(1, np.uint64), np.full(size, _BASE, np.uint64)])
-            )
-    return _powers
+_SIZE = np.uint64(0x9E3779B97F4A7C15)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -69,13 +59,30 @@ def slices(column: pa.Array, target: int = 1 << 21) -> Iterator[tuple[int, int]]
         yield start, len(lengths)
 
 
+def word_hashes(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte strings at ``starts``, eight bytes at a time."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eights = np.lib.stride_tricks.as_strided(padded.view(np.uint8)[:8].view("<u8"), (len(data) + 1,), (1,))
+    with np.errstate(over="ignore"):
+        h = mix((eights[starts] & _FIRST[np.minimum(sizes, 8)]) ^ (sizes.astype(np.uint64) * _SIZE))
+        at, done = np.flatnonzero(sizes > 8), 8
+        while len(at):
+            rest = np.minimum(sizes[at] - done, 8)
+            h[at] = mix(h[at] * _STEP + (eights[starts[at] + done] & _FIRST[rest]))
+            done += 8
+            at = at[sizes[at] > done]
+    return h
+
+
 class Words:
     """Words of some texts: ``hashes`` in text order, row i's are [first[i], first[i+1])."""
 
-    def __init__(self, column: pa.Array, fold: bool = True):
+    def __init__(self, column: pa.Array, fold: bool = True, marks: bool = False):
+        """With ``marks``, ASCII punctuation and control characters part words too."""
         data, offsets = text_bytes(column)
-        rows = len(offsets) - 1
-        solid = ~_SPACE[data]
+        self.rows = len(offsets) - 1
+        # 0x20 and 0x09-0x0D; the subtraction wraps around for smaller bytes
+        solid = _LETTER[data] if marks else (data != 0x20) & ((data - np.uint8(9)) > np.uint8(4))
         begins = solid.copy()
         begins[1:] &= ~solid[:-1]
         edges = offsets[1:-1]
@@ -87,20 +94,9 @@ class Words:
         finishes[edges - 1] = solid[edges - 1]
         self.ends = np.flatnonzero(finishes) + 1
         self.first = np.searchsorted(self.starts, offsets)
-        self.rows = rows
         self.offsets = offsets
         self.data = _LOWER[data] if fold else data
-        sizes = self.ends - self.starts
-        if len(sizes):
-            power = _powers_to(int(sizes.max()))
-            letters = np.flatnonzero(solid)
-            place = letters - np.repeat(self.starts, sizes)
-            with np.errstate(over="ignore"):
-                terms = (self.data[letters].astype(np.uint64) + np.uint64(1)) * power[place]
-                sums = np.add.reduceat(terms, np.cumsum(sizes) - sizes)
-            self.hashes = mix(sums)
-        else:
-            self.hashes = np.zeros(0, np.uint64)
+        self.hashes = word_hashes(self.data, self.starts, self.ends - self.starts)
 
     def row_of_word(self) -> np.ndarray:
         return np.repeat(np.arange(self.rows), np.diff(self.first))
@@ -121,11 +117,45 @@ def ngrams(hashes: np.ndarray, n: int) -> np.ndarray:
     return mix(total + np.uint64(n))
 
 
-def shingle_set(hashes: np.ndarray, n: int) -> np.ndarray:
-    """Sorted distinct n-word shingles; of fewer words, the whole sequence is the one."""
-    if len(hashes) == 0:
-        return hashes
-    return np.unique(ngrams(hashes, min(n, len(hashes))))
+class Shingles:
+    """Sorted distinct n-word shingles of some texts: row i's are grams[ends[i]:ends[i+1]].
+
+    A text with fewer than n words, but one at least, has all its words as its only shingle.
+    ``signature`` is 64 bits that tell sets apart.
+    """
+
+    def __init__(self, column: pa.Array, n: int):
+        found = Words(column)
+        count = np.diff(found.first)
+        sizes = np.where(count >= n, count - n + 1, (count > 0).astype(np.int64))
+        row = found.row_of_word()
+        grams = np.zeros(int(sizes.sum()), np.uint64)
+        long_row = np.repeat(count >= n, sizes)
+        windows = ngrams(found.hashes, n)
+        if len(windows):
+            grams[long_row] = windows[row[n - 1 :] == row[: len(windows)]]
+        short = np.flatnonzero((count > 0) & (count < n))
+        grams[~long_row] = [ngrams(found.hashes[found.first[i] : found.first[i + 1]], int(count[i]))[0] for i in short]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()):
+            grams[a:b].sort()
+        new = np.ones(len(grams), bool)
+        new[1:] = grams[1:] != grams[:-1]
+        new[ends[:-1][sizes > 0]] = True
+        self.grams = grams[new]
+        self.sizes = np.zeros(found.rows, np.int64)
+        self.signature = np.zeros(found.rows, np.int64)
+        full = sizes > 0
+        if full.any():
+            self.sizes[full] = np.add.reduceat(new.astype(np.int64), ends[:-1][full])
+        self.ends = np.concatenate([[0], np.cumsum(self.sizes)])
+        if full.any():
+            with np.errstate(over="ignore"):
+                sums = np.add.reduceat(mix(self.grams ^ _SIZE), self.ends[:-1][full])
+                self.signature[full] = signed(mix(sums + self.sizes[full].astype(np.uint64)))
+
+    def row(self, i: int) -> np.ndarray:
+        return self.grams[self.ends[i] : self.ends[i + 1]]
 
 
 def signed(h: np.ndarray) -> np.ndarray:
