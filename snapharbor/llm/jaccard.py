@@ -25,7 +25,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapharbor.llm.components import components
@@ -44,6 +44,7 @@ SET_ROWS = pa.schema(
     [("kind", pa.int32()), ("id", pa.int64()), ("n", pa.int64()), ("sig", pa.int64()), ("bits", pa.binary())]
 )
 ENTRY_ROWS = pa.schema([("s", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("pos", pa.int32())])
+LIST_ORDER = ["s", "class", "pos", "n", "node"]
 LIST_ROWS = pa.schema(
     [("kind", pa.int32()), ("s", pa.int64()), ("x", pa.int64()), ("n", pa.int32())]
     + [("y", pa.int64()), ("m", pa.int32()), ("pos", pa.int32())]
@@ -172,62 +173,65 @@ def _entries(rule: Rule, common):
     return run
 
 
+def size_class(n: Column, rule: Rule) -> Column:
+    """Sizes within a factor of the threshold; sets that link are in one class or in two neighbours."""
+    return F.floor(F.log(n.cast("double")) / F.lit(-float(np.log(rule.num / rule.den)) or 1.0)).cast("int")
+
+
 def _lists(rule: Rule):
-    """Entries sorted by (s, n, node): those of n-grams that two nodes share (kind 0), and
-    for each the pair with the one before it and with the leader of its size class (kind 1)."""
-    step = np.log(rule.den / rule.num) if rule.num < rule.den else 1.0
+    """Entries in ``LIST_ORDER``: those of n-grams that two nodes share (kind 0), and pairs
+    (kind 1) of each entry with the one before it and with the leader of its size class, and of leaders of
+    neighbouring classes. A leader has the fewest rarer n-grams: of copies, the one with the fewest
+    changes, which most others link with."""
 
     def emit(kind, s, x, n, y, m, pos):
         return batch(LIST_ROWS, np.full(len(s), kind, np.int32), s, x, n, y, m, pos)
 
     def run(batches):
-        held = None  # last row of the batch before: (s, node, n, pos, whether shared)
-        lead = None  # its leader: (node, n, size class)
+        held = None  # last entry of the batch before, whether it is shared, its leader and the one before
         for rows in batches:
             if not rows.num_rows:
                 continue
-            s, node, n, pos = (rows.column(c).to_numpy(zero_copy_only=False) for c in ENTRY_ROWS.names)
+            cols = [rows.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in LIST_ORDER]
             if held is not None:
-                s, node = np.concatenate([[held[0]], s]), np.concatenate([[held[1]], node])
-                n, pos = np.concatenate([[held[2]], n]), np.concatenate([[held[3]], pos])
+                cols = [np.concatenate([[h], c]) for h, c in zip(held[0], cols)]
+            s, size_, pos, n, node = cols
             same = np.ones(len(s), bool)  # copies of an entry that other tasks found
             same[1:] = (s[1:] != s[:-1]) | (node[1:] != node[:-1])
-            s, node, n, pos = (a[same].astype(t) for a, t in zip((s, node, n, pos), (np.int64, np.int64, np.int32, np.int32)))
-            size_class = np.floor(np.log(n) / step).astype(np.int64)
+            s, size_, pos, n, node = (c[same] for c in cols)
             joined = np.zeros(len(s), bool)
             joined[1:] = s[1:] == s[:-1]
-            starts = np.ones(len(s), bool)
-            starts[1:] = ~joined[1:] | (size_class[1:] != size_class[:-1])
-            first = np.maximum.accumulate(np.where(starts, np.arange(len(s)), 0))
-            lead_node, lead_n = node[first], n[first]
-            if held is not None and lead is not None:
-                mine = (first == 0) & (size_class[0] == lead[2])
-                lead_node, lead_n = np.where(mine, lead[0], lead_node), np.where(mine, lead[1], lead_n).astype(np.int32)
+            starts = ~joined
+            starts[1:] |= size_[1:] != size_[:-1]
+            at = np.arange(len(s))
+            first = np.maximum.accumulate(np.where(starts, at, 0))
+            lead, lead_n = node[first], n[first]
+            if held is not None:  # the first class goes on from the batch before
+                lead, lead_n = np.where(first == 0, held[2][0], lead), np.where(first == 0, held[2][1], lead_n)
             shared = joined.copy()
             shared[:-1] |= joined[1:]
             if held is not None:
-                shared[0] |= held[4]
-            new = np.ones(len(s), bool)  # the held row has been paired already
-            new[0] = held is None
+                shared[0] |= held[1]
             keep = shared.copy()
-            keep[-1] = False  # the last row goes out with the next batch
+            keep[-1] = False  # the last entry goes out with the next batch
             yield emit(0, s[keep], node[keep], n[keep], node[keep], n[keep], pos[keep])
-            before = np.flatnonzero(joined)
-            by_lead = np.flatnonzero(joined & new & (lead_node != node))
-            left = np.concatenate([node[before - 1], lead_node[by_lead]])
-            left_n = np.concatenate([n[before - 1], lead_n[by_lead]])
-            right, right_n = np.concatenate([node[before], node[by_lead]]), np.concatenate([n[before], n[by_lead]])
-            small, large = np.minimum(left_n, right_n), np.maximum(left_n, right_n)
-            ok = small.astype(np.int64) * rule.den >= large.astype(np.int64) * rule.num
-            swap = left > right
-            x, y = np.where(swap, right, left)[ok], np.where(swap, left, right)[ok]
-            x_n, y_n = np.where(swap, right_n, left_n)[ok], np.where(swap, left_n, right_n)[ok]
-            yield emit(1, np.zeros(len(x), np.int64), x, x_n, y, y_n, np.zeros(len(x), np.int32))
-            held = (s[-1], node[-1], n[-1], pos[-1], bool(shared[-1]))
-            lead = (lead_node[-1], lead_n[-1], size_class[-1])
-        if held is not None and held[4]:
-            s, node, n, pos = (np.array([v]) for v in held[:4])
-            yield emit(0, s, node, n.astype(np.int32), node, n.astype(np.int32), pos.astype(np.int32))
+            after = np.flatnonzero(joined)
+            led = after[(lead[after] != node[after]) & (lead[after] != node[after - 1])]
+            heads = np.flatnonzero(starts & joined)
+            left = [(node[after - 1], n[after - 1]), (lead[led], lead_n[led]), (lead[heads - 1], lead_n[heads - 1])]
+            right = [(node[after], n[after]), (node[led], n[led]), (node[heads], n[heads])]
+            a, a_n = (np.concatenate(c) for c in zip(*left))
+            b, b_n = (np.concatenate(c) for c in zip(*right))
+            ok = (np.minimum(a_n, b_n) * rule.den >= np.maximum(a_n, b_n) * rule.num) & (a != b)
+            swap = a > b
+            x, y = np.where(swap, b, a)[ok], np.where(swap, a, b)[ok]
+            x_n, y_n = np.where(swap, b_n, a_n)[ok], np.where(swap, a_n, b_n)[ok]
+            zero = np.zeros(len(x), np.int64)
+            yield emit(1, zero, x, x_n, y, y_n, zero)
+            held = ([c[-1] for c in (s, size_, pos, n, node)], bool(shared[-1]), (lead[-1], lead_n[-1]))
+        if held is not None and held[1]:
+            s, _, pos, n, node = (np.array([v]) for v in held[0])
+            yield emit(0, s, node, n, node, n, pos)
 
     return run
 
@@ -358,11 +362,9 @@ def shingle_classes(
     common = spark.sparkContext.broadcast((grams[by_gram], rank[by_gram]))
 
     entries = texts.select("text").mapInArrow(_entries(rule, common), _ddl(ENTRY_ROWS))
+    ordered = entries.repartition("s").withColumn("class", size_class(F.col("n"), rule))
     lists = stored(
-        entries.repartition("s")
-        .sortWithinPartitions("s", "n", "node")
-        .mapInArrow(_lists(rule), _ddl(LIST_ROWS)),
-        "lists",
+        ordered.sortWithinPartitions(*LIST_ORDER).mapInArrow(_lists(rule), _ddl(LIST_ROWS)), "lists"
     )
     nodes = stored(
         sets.where("n > 0").groupBy("sig").agg(F.min("id").alias("id"), F.any_value("bits", True).alias("bits")),
@@ -397,16 +399,24 @@ def shingle_classes(
         .select("s", "main")
     )
     mixed = stored(mixed, "mixed").withColumn("k", F.xxhash64("s"))
+    # Entries of a node before this one that other classes have too. The others before it are not in
+    # any set of another class that has this n-gram: its prefix would hold them.
+    earlier = F.row_number().over(Window.partitionBy("node").orderBy("pos")) - 1
     open_lists = stored(
-        labelled.withColumn("k", F.xxhash64("s")).join(mixed, ["s", "k"]).drop("k"), "open-lists"
+        labelled.withColumn("k", F.xxhash64("s")).join(mixed, ["s", "k"]).drop("k").withColumn("earlier", earlier),
+        "open-lists",
     )
-    left = open_lists.where("root <> main").select(*(F.col(c).alias(f"l_{c}") for c in ("s", "node", "n", "pos", "root")))
-    right = open_lists.select(*(F.col(c).alias(f"r_{c}") for c in ("s", "node", "n", "pos", "root", "main")))
+    columns = ("s", "node", "n", "pos", "root", "earlier")
+    left = open_lists.where("root <> main").select(*(F.col(c).alias(f"l_{c}") for c in columns))
+    right = open_lists.select(*(F.col(c).alias(f"r_{c}") for c in (*columns, "main")))
+    # before, with and after this n-gram
+    reach = F.least("l_earlier", "r_earlier").cast("long") + F.least(F.expr("l_n - l_pos"), F.expr("r_n - r_pos"))
     met = left.join(right, F.col("l_s") == F.col("r_s")).where(
         (F.col("l_root") != F.col("r_root"))
         # two small classes meet twice: count them once
         & ((F.col("r_root") == F.col("r_main")) | (F.col("l_node") < F.col("r_node")))
         & (F.least("l_n", "r_n").cast("long") * rule.den >= F.greatest("l_n", "r_n").cast("long") * rule.num)
+        & (reach * (rule.num + rule.den) >= (F.col("l_n").cast("long") + F.col("r_n")) * rule.num)
     )
     swap = F.col("l_node") > F.col("r_node")
     met = met.select(
@@ -457,7 +467,8 @@ def keep_first(
         "kept",
     )
     doc_id = docs[id_col].cast("bigint")
-    gone = ids.where("_kept = 0 or _rows > 1")
-    once = docs.join(gone, doc_id == F.col("_id"), "left_anti")
-    repeated = docs.join(ids.where("_kept = 1 and _rows > 1"), doc_id == F.col("_id"), "left_semi")
+    gone = ids.where("_kept = 0 or _rows > 1").select("_id")
+    once = docs.join(gone, doc_id == gone["_id"], "left_anti")
+    again = ids.where("_kept = 1 and _rows > 1").select("_id")
+    repeated = docs.join(again, doc_id == again["_id"], "left_semi")
     return once.unionByName(repeated.dropDuplicates([id_col, text_col]))
