@@ -207,6 +207,7 @@ def mentions(text: str) -> list[tuple[int, int, str]]:
                 kind = f"{part}_{gender}_{script_of(w.group())}"
                 found.append((m.start("name") + w.start(), m.start("name") + w.end(), kind))
                 names.setdefault(w.group(), kind)
+                names.setdefault(w.group().upper(), kind)
         elif kind == "phone" and not 7 <= len(re.sub(r"\D", "", m["phone"])) <= 12:
             continue
         else:
