@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapharbor.llm.components import components
-from snapharbor.llm.shared import batch, chunks, prepare, stored
+from snapharbor.llm.shared import batch, chunks, most_frequent, prepare, stored
 from snapharbor.llm.textbytes import Shingles, mix, signed
 
 # Distinct n-grams counted at a time in a task, and the count from which one is reported.
@@ -348,14 +348,8 @@ def shingle_classes(
     texts = _texts(docs, id_col, text_col)
     described = stored(texts.mapInArrow(_describe(words), _ddl(SET_ROWS)), "described")
     sets = described.where("kind = 0").select("id", "n", "sig", "bits")
-    top = (
-        described.where("kind = 1")
-        .groupBy("id")
-        .agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "id")
-        .limit(COMMON_ROWS)
-        .collect()
-    )
+    often = stored(described.where("kind = 1").groupBy("id").agg(F.sum("n").alias("n")), "often")
+    top = most_frequent(often, "n", COMMON_ROWS)
     grams = np.array([r.id for r in top], np.int64).view(np.uint64)
     by_gram = np.argsort(grams)
     rank = np.array([r.n for r in top], np.int64)

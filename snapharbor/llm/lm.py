@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapharbor.llm import gru
-from snapharbor.llm.shared import batch, chunks, fold_of, opened, prepare, shipped, stored
+from snapharbor.llm.shared import batch, chunks, fold_of, most_frequent, opened, prepare, shipped, stored
 from snapharbor.llm.textbytes import Words, signed
 
 FOLDS, HELD_OUT = 7, 2
@@ -127,7 +127,8 @@ def lexicon(counts: DataFrame, known: int, frequent_rows: int = FREQUENT_ROWS) -
         F.count(F.lit(1)),
         F.coalesce(F.sum(F.when(F.col("w") == END, F.col("c"))), F.lit(0)),
     ).first()
-    top = counts.where(F.col("w") != END).orderBy(F.desc("c"), "w").limit(frequent_rows).collect()
+    top = most_frequent(counts.where(F.col("w") != END), "c", frequent_rows)
+    top.sort(key=lambda r: (-r["c"], r["w"]))
     words = np.array([r["w"] for r in top], np.int64).view(np.uint64)
     count = np.array([r["c"] for r in top], np.int64)
     known = min(known, gru.CLASS_SIZE * -(-(len(words) + 1) // gru.CLASS_SIZE))
@@ -206,7 +207,7 @@ def _score(shared, hidden: int):
         plus_one = np.log10(lex.count + 1.0)
         all_total, rare_total = np.log10(lex.total + lex.distinct + 1.0), np.log10(float(lex.rare_total))
         key = TaskContext.get().partitionId() << 33
-        for rows in chunks(batches, 1 << 23, "text"):
+        for rows in chunks(batches, 1 << 24, "text"):
             found, place, stream, first, size = _encode(rows, finder, lex)
             owner = found.row_of_word()
             many = rows.num_rows

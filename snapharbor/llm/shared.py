@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import Broadcast, cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from snapharbor.llm.textbytes import slices
@@ -52,6 +52,23 @@ def opened(value: Broadcast):
     return pickle.loads(value.value)
 
 
+def most_frequent(counts: DataFrame, count: str, rows: int) -> list[Row]:
+    """The rows of ``counts`` above the least count that leaves ``rows`` of them at most.
+
+    Counts are first counted by 64ths of their power of two, some thousand buckets at most, so
+    that no task sends more to the driver than what is kept.
+    """
+    bucket = F.floor(F.log2(count) * 64).cast("int")
+    sizes = counts.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()
+    total, least = 0, None
+    for r in sorted(sizes, key=lambda r: -r["b"]):
+        total += r["n"]
+        if total > rows:
+            break
+        least = r["b"]
+    return [] if least is None else counts.where(bucket >= least).collect()
+
+
 def fold_of(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as decimal text, modulo ``folds``."""
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(folds)
