@@ -515,8 +515,14 @@ def _sql() -> dict[str, str]:
     o["scan_plaintext_values"] = """SELECT 'leaky_lines' AS relation, 'note' AS "column",
             count(*) AS rows
         FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders)"""
+    o["scan_paths"] = """SELECT doc_id, path FROM (
+            SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'x/data/' ELSE 'x/metadata/' END
+                || source || ['.md', '.parquet', '.LOG', '.py', '/.env'][doc_id % 5 + 1] AS path
+            FROM documents)
+        WHERE path LIKE '%/data/%' OR path LIKE '%.parquet' OR path ILIKE '%.log'
+           OR path LIKE '%/.env'"""
     o["verify_expected"] = """SELECT 'lineitem' AS finding, count(*) AS violations
-        FROM lineitem"""
+        FROM lineitem UNION ALL SELECT 'filled_fuels', 1"""
     # --- joins ---
     o["join_inner_one_key"] = """SELECT vid AS vehicle_id_hash, vtype AS vehicle_type,
         n AS fuel_record_count FROM snap"""
@@ -651,10 +657,8 @@ def _sql() -> dict[str, str]:
         WHERE CAST(l_orderkey AS VARCHAR) IN (SELECT id FROM apage WHERE page = 0)"""
     o["offset_page"] = """SELECT o_orderkey, o_orderdate FROM orders
         ORDER BY o_orderdate, o_orderkey LIMIT 200 OFFSET 500"""
-    o["offset_page_deep"] = """SELECT l_orderkey, l_linenumber, l_shipdate,
-            row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber) - 1
-                AS position
-        FROM line1 QUALIFY position >= 30000 AND position < 31000"""
+    o["offset_page_deep"] = """SELECT l_orderkey, l_linenumber, l_shipdate FROM line1
+        ORDER BY l_shipdate, l_orderkey, l_linenumber LIMIT 1000 OFFSET 3000"""
     o["snapshot_cap"] = "SELECT vid AS vehicle_id_hash FROM cat ORDER BY vid LIMIT 10000"
     o["page_order_guard"] = """SELECT page, pos, id, prev_id,
             CASE WHEN pos = 0 THEN 'not_advanced' ELSE 'not_increasing' END AS violation
@@ -662,7 +666,7 @@ def _sql() -> dict[str, str]:
                      CAST(o_orderkey % 1000 AS BIGINT) AS pos,
                      CAST(o_orderkey AS VARCHAR) AS id,
                      lag(CAST(o_orderkey AS VARCHAR)) OVER (ORDER BY o_orderkey) AS prev_id
-              FROM orders) WHERE id <= prev_id"""
+              FROM orders WHERE o_orderkey // 1000 % 7 <> 3) WHERE id <= prev_id"""
     o["page_order_guard_clean"] = """SELECT page, pos, id, id AS prev_id, '' AS violation
         FROM apage WHERE page < 0"""
     o["complete_ids"] = "SELECT page, id AS kenteken FROM idstate WHERE complete"
@@ -678,8 +682,12 @@ def _sql() -> dict[str, str]:
         CAST(sum(matched) AS BIGINT) AS matched_vehicles FROM counters"""
     o["page_digest"] = """SELECT 'orders' AS dataset, page,
         CAST(row_count AS INTEGER) AS row_count, digest AS payload_sha256 FROM odigest"""
-    o["land_raw_page"] = "SELECT 'orders' AS dataset, page, digest FROM odigest"
-    o["raw_integrity_scan"] = "SELECT digest, true AS ok FROM odigest"
+    o["land_raw_page"] = """SELECT 'orders' AS dataset, page, digest, false AS duplicate
+        FROM odigest"""
+    o["raw_integrity_scan"] = """SELECT digest, page <> 0 AS ok FROM odigest
+        UNION ALL SELECT digest, false FROM odigest WHERE page = 0"""
+    o["scan_raw_pages"] = """SELECT page, pos, k AS o_orderkey, s AS o_orderstatus,
+        p AS o_orderpriority FROM opage"""
     o["scan_raw_json"] = """SELECT pos, k AS o_orderkey, s AS o_orderstatus,
         p AS o_orderpriority FROM opage"""
     o["payload_ledger_insert"] = """SELECT doc_id, lang AS dataset,
@@ -690,7 +698,7 @@ def _sql() -> dict[str, str]:
             'run_' || source FROM arrive WHERE NOT dup"""
     o["duplicate_payload_count"] = """SELECT 'run_' || source AS first_ingestion_id,
         count(*) FILTER (dup) AS duplicate_payloads FROM arrive GROUP BY 1"""
-    o["resume_cursor"] = "SELECT max(CAST(l_orderkey AS VARCHAR)) AS cursor FROM lineitem"
+    o["resume_cursor"] = "SELECT max(id) AS cursor FROM apage WHERE page < 5"
     # --- runs ---
     o["run_metrics"] = """SELECT ingestion_id,
             matched_vehicles + fuel_rows AS processed_rows,
@@ -699,11 +707,18 @@ def _sql() -> dict[str, str]:
                 AS wall_clock_elapsed_seconds,
             round(processed_rows_per_second, 3) AS processed_rows_per_second FROM runs"""
     o["run_upsert"] = """SELECT ingestion_id, CASE WHEN resumed
-            THEN 'interrupted' ELSE status END AS status, vehicle_rows FROM runs"""
-    o["run_schema_evolve"] = """SELECT ingestion_id, 'legacy_sample' AS ingestion_mode,
+            THEN 'interrupted' ELSE status END AS status, vehicle_rows FROM runs
+        UNION ALL SELECT 'new_' || ingestion_id, 'running', vehicle_rows FROM runs
+            WHERE resumed"""
+    o["run_schema_evolve"] = """SELECT ingestion_id,
+            CASE WHEN odd THEN 'resumable_snapshot' ELSE 'legacy_sample' END
+                AS ingestion_mode,
             CAST(nullif(sample_limit, 0) AS BIGINT) AS requested_limit,
-            active_duration_seconds, processed_rows_per_second, false AS resumed,
-            0 AS resume_count, CAST(0 AS BIGINT) AS matched_vehicles FROM runs"""
+            CASE WHEN odd THEN 1.5 ELSE active_duration_seconds END::DOUBLE
+                AS active_duration_seconds,
+            processed_rows_per_second, false AS resumed,
+            0 AS resume_count, CAST(0 AS BIGINT) AS matched_vehicles
+        FROM (SELECT *, CAST(right(ingestion_id, 4) AS INTEGER) % 2 = 1 AS odd FROM runs)"""
     # --- sources and sinks ---
     o["scan_staging"] = """SELECT 'vehicles' AS relation, count(*) AS rows FROM veh
         UNION ALL SELECT 'fuels', count(*) FROM fur
@@ -712,20 +727,24 @@ def _sql() -> dict[str, str]:
     o["filtered_source_scan"] = """SELECT l_orderkey, l_linenumber, l_returnflag
         FROM lineitem WHERE l_returnflag IN ('A', 'N') AND l_orderkey > 1000"""
     cells = [
-        *[("vehicles", c, e, "veh") for c, e in {
-            "vehicle_id_hash": "vid", "registration_date": "rdate",
-            "registration_year": "ryear", "primary_colour": "colour",
-            "secondary_colour": "NULL", "vehicle_type": "vtype", "ingestion_id": "run",
+        *[("vehicles", c, e, t, "veh") for c, (e, t) in {
+            "vehicle_id_hash": ("vid", "string"), "brand": ("brand", "string"),
+            "model": ("model", "string"), "registration_date": ("rdate", "date"),
+            "registration_year": ("ryear", "int"), "primary_colour": ("colour", "string"),
+            "secondary_colour": ("NULL", "string"), "vehicle_type": ("vtype", "string"),
+            "ingestion_id": ("run", "string"),
         }.items()],
-        *[("fuels", c, e, "fu") for c, e in {
-            "vehicle_id_hash": "vid", "fuel_sequence": "seq", "fuel_type": "ftype",
-            "emission_code": "emission", "co2_combined_g_km": "co2",
-            "net_max_power_kw": "kw", "hybrid_class": "hybrid",
+        *[("fuels", c, e, t, "fur") for c, (e, t) in {
+            "vehicle_id_hash": ("vid", "string"), "fuel_sequence": ("seq", "int"),
+            "fuel_type": ("ftype", "string"), "emission_code": ("emission", "string"),
+            "co2_combined_g_km": ("co2", "double"), "net_max_power_kw": ("kw", "double"),
+            "hybrid_class": ("hybrid", "string"), "ingestion_id": ("run", "string"),
         }.items()],
     ]
     o["catalog_scan"] = "\nUNION ALL ".join(
-        f"SELECT '{t}' AS relation, '{c}' AS column_name, count({e}) AS n FROM {src}"
-        for t, c, e, src in cells
+        f"SELECT '{t}' AS relation, '{c}' AS column_name, '{kind}' AS data_type, count({e}) AS n"
+        f" FROM {src}"
+        for t, c, e, kind, src in cells
     )
     o["write_zstd_parquet"] = o["mart_ev_metrics"]
     o["describe_parquet"] = "\nUNION ALL ".join(
@@ -768,6 +787,28 @@ def _sql() -> dict[str, str]:
         WHERE vehicle_id_hash IN ({complete})"""
     o["stream_bounded_page"] = f"""SELECT * FROM ({o['normalize_vehicles']})
         WHERE vehicle_id_hash IN ({complete})"""
+    o["stream_second_snapshot"] = f"""SELECT * FROM ({o['normalize_vehicles']})
+        WHERE vehicle_id_hash IN (SELECT sha256('{SALT}:' || id) FROM apage
+            WHERE page = 0 AND id IN (SELECT id FROM rawv) AND id IN (SELECT id FROM rawf))"""
+    o["stream_rerun"] = f"""SELECT 'vehicles' AS relation, count(*) AS rows
+            FROM ({o['stream_bounded_page']})
+        UNION ALL SELECT 'fuels', count(*) FROM ({o['stream_page_ingest']})
+        UNION ALL SELECT 'new_payloads', 0 UNION ALL SELECT 'pages_not_duplicate', 0"""
+    anchored = "(SELECT l_orderkey FROM line1 WHERE l_returnflag IN ('A', 'N'))"
+    fueled = f"SELECT * FROM line1 WHERE l_orderkey IN {anchored}"
+    o["snapshot_job"] = f"""SELECT * FROM (
+        WITH v AS (SELECT o_orderkey, n_name, c_mktsegment, o_orderdate FROM orders
+                LEFT JOIN customer ON o_custkey = c_custkey
+                LEFT JOIN nation ON c_nationkey = n_nationkey WHERE o_orderkey IN {anchored}),
+            f AS ({fueled})
+        SELECT 'matched_vehicles' AS name, count(*) AS rows FROM v
+        UNION ALL SELECT 'fuel_rows', count(*) FROM f
+        UNION ALL SELECT 'source_rows_received', 2 * (SELECT count(*) FROM v) + count(*) FROM f
+        UNION ALL SELECT 'rejected_rows', 0
+        UNION ALL SELECT 'dim_vehicle', count(*) FROM v
+        UNION ALL SELECT 'fact_vehicle_snapshot', count(*) FROM v
+        UNION ALL SELECT 'fact_vehicle_fuel', count(*) FROM f
+        UNION ALL SELECT 'mart_ev_overview', count(*) FROM v)"""
     return {name: _with(body) for name, body in o.items()}
 
 

@@ -138,6 +138,3 @@ def classification_violations(profile: DataFrame, expected) -> DataFrame:
     """Profiles whose stored category differs from the recomputed one."""
     return profile.where(F.col("powertrain_category") != expected)
 
-
-def union_all(parts: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)

@@ -42,17 +42,36 @@ def lookup_join(
     return facts.join(lookup, on, how)
 
 
+def common_types(rows: DataFrame, reduced: DataFrame, keys: list[str]) -> dict[str, str]:
+    """The type in which Spark compares each key that the two sides store differently.
+
+    Text against anything else is refused: which side is converted would decide the result.
+    """
+    left, right = dict(rows.dtypes), dict(reduced.dtypes)
+    found = {}
+    for key in keys:
+        pair = (left[key], right[key])
+        if pair[0] == pair[1]:
+            continue
+        if "string" in pair:
+            raise TypeError(f"join key {key} is {pair[0]} on one side and {pair[1]} on the other")
+        both = [F.lit(None).cast(t) for t in pair]
+        found[key] = rows.sparkSession.range(0).select(F.coalesce(*both)).dtypes[0][1]
+    return found
+
+
 def join_reduced(
     rows: DataFrame, reduced: DataFrame, keys: list[str], how: str = "inner"
 ) -> DataFrame:
     """Join rows, whose keys may be hot, with a side that was aggregated by those keys.
 
     Spark would join on the partitioning the aggregate left behind, and AQE cannot
-    split such a join. The second key is a function of the first ones: it changes no
-    result, but both sides are now shuffled for the join, so a hot key is split. The
-    price is one more exchange of the reduced side.
+    split such a join. The second key is a function of the first ones, taken in the type
+    in which they are compared: it changes no result, but both sides are now shuffled for
+    the join, so a hot key is split. The price is one more exchange of the reduced side.
     """
-    spread = F.xxhash64(*keys)
+    types = common_types(rows, reduced, keys)
+    spread = F.xxhash64(*[F.col(k).cast(types[k]) if k in types else F.col(k) for k in keys])
     return (
         rows.withColumn("_spread", spread)
         .join(reduced.withColumn("_spread", spread), [*keys, "_spread"], how)

@@ -4,19 +4,34 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from snapharbor.functions.text import not_blank, strip
 from snapharbor.session import materialize
 from snapharbor.spec import check_page_size
 
-# Beyond this depth a top-k heap per task is dearer than numbering the rows.
-HEAP_ROWS = 100_000
+# Input bytes that one range of a global order should hold.
+RANGE_BYTES = 256 * 1024 * 1024
+UNKNOWN_BYTES = 1 << 60
+MOST_RANGES = 100_000
 # Rows per chunk in the order check; only one summary row per chunk is compared.
 CHUNK_ROWS = 10_000
 _ROW_BITS = (1 << 33) - 1
 
 
+def range_count(df: DataFrame) -> int:
+    """Ranges for a global order: by the size of the inputs, at least the shuffle default.
+
+    In-memory inputs are of unknown size, which Spark states as a huge one; they add nothing.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    size = sum(s for s in sizes if s < UNKNOWN_BYTES)
+    default = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(max(default, -(-size // RANGE_BYTES)), MOST_RANGES)
+
+
 def global_position(df: DataFrame, *order: Column, name: str = "position") -> DataFrame:
     """Add the 0-based position of each row in the total order.
 
@@ -26,8 +41,7 @@ def global_position(df: DataFrame, *order: Column, name: str = "position") -> Da
     are materialised once, because sampling the ranges a second time could choose
     other boundaries.
     """
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = range_count(df)
     numbered = (
         df.withColumn("_tie", F.monotonically_increasing_id())
         .repartitionByRange(parts, *order, "_tie")
@@ -51,21 +65,25 @@ def global_position(df: DataFrame, *order: Column, name: str = "position") -> Da
     )
 
 
-def first_rows(df: DataFrame, order: list[Column], n: int) -> DataFrame:
-    """The first ``n`` rows in the given order."""
-    if n <= HEAP_ROWS:
-        return df.orderBy(*order).limit(n)
-    return global_position(df, *order, name="_pos").where(F.col("_pos") < n).drop("_pos")
+def total_order(df: DataFrame, order: list[Column]) -> list[Column]:
+    """``order`` with all other columns behind it, so that only equal rows tie."""
+    sortable = [f.name for f in df.schema if not isinstance(f.dataType, T.MapType)]
+    return [*order, *[F.col(c) for c in sortable]]
 
 
 def offset_page(df: DataFrame, order: list[Column], offset: int, limit: int) -> DataFrame:
-    """LIMIT/OFFSET page. A deep page is cut by position instead of a heap."""
-    if offset + limit <= HEAP_ROWS:
-        return df.orderBy(*order).offset(offset).limit(limit)
-    placed = global_position(df, *order, name="_pos")
-    return placed.where(
-        (F.col("_pos") >= offset) & (F.col("_pos") < offset + limit)
-    ).drop("_pos")
+    """LIMIT/OFFSET page in order, cut by position: no task holds the rows before it.
+
+    Rows that tie in ``order`` go by their other columns, so a page is the same every time.
+    """
+    placed = global_position(df, *total_order(df, order), name="_pos")
+    page = placed.where((F.col("_pos") >= offset) & (F.col("_pos") < offset + limit))
+    return page.orderBy("_pos").drop("_pos")
+
+
+def first_rows(df: DataFrame, order: list[Column], n: int) -> DataFrame:
+    """The first ``n`` rows in the given order."""
+    return offset_page(df, order, 0, n)
 
 
 def anchor_ids(df: DataFrame, id_col: str, type_col: str, wanted: tuple[str, ...]) -> DataFrame:
@@ -122,9 +140,25 @@ def snapshot_cap(accepted: DataFrame, id_col: str, limit: int | None) -> DataFra
     return first_rows(ids, [F.col(id_col)], limit) if limit else ids
 
 
-def resume_cursor(pages: DataFrame, id_col: str) -> DataFrame:
-    """Last id of the last page that has one."""
-    return pages.where(not_blank(F.col(id_col))).agg(F.max(strip(F.col(id_col))).alias("cursor"))
+def resume_cursor(
+    pages: DataFrame, commits: DataFrame, id_col: str, page_col: str = "page"
+) -> DataFrame:
+    """Id after which a broken-off run goes on; NULL if it must begin anew.
+
+    ``pages`` holds (page, id), ``commits`` (page, committed, digest, landed_digest). A
+    page counts if it was committed and the payload that lies in raw storage still has
+    the digest it was committed with. The run goes on behind the last page before the
+    first one that does not count; later pages are fetched again.
+    """
+    counts = F.col("committed") & F.col("digest").eqNullSafe(F.col("landed_digest"))
+    sound = F.coalesce(counts & F.col("digest").isNotNull(), F.lit(False))
+    gap = commits.where(~sound).agg(F.min(page_col).alias("gap")).scalar()
+    known = commits.where(sound).select(F.col(page_col)).distinct()
+    usable = pages.where(not_blank(F.col(id_col))).join(known, page_col, "left_semi")
+    before = usable.where(gap.isNull() | (F.col(page_col) < gap))
+    return before.agg(
+        F.max_by(strip(F.col(id_col)), F.struct(page_col, strip(F.col(id_col)))).alias("cursor")
+    )
 
 
 def page_order_guard(
@@ -133,9 +167,10 @@ def page_order_guard(
     """Ids that break the keyset contract.
 
     ``not_increasing``: not above the id before it in its page. ``not_advanced``: the
-    first id of a page is not above the last id of the page before. Neighbours are
-    compared inside fixed-size chunks, then chunk ends, then page ends, so an
-    oversized page spreads over many tasks.
+    first id of a page is not above the last id of the last earlier page that has one,
+    whatever pages are missing or empty between them. Neighbours are compared inside
+    fixed-size chunks, then chunk ends, then page ends in blocks of pages, then block
+    ends, so an oversized page or a long run spreads over many tasks.
     """
     ident = strip(F.col(id_col))
     rows = pages.where(not_blank(F.col(id_col))).select(
@@ -162,10 +197,19 @@ def page_order_guard(
         F.min_by("id", "chunk").alias("id"),
         F.max_by("last_id", "chunk").alias("last_id"),
     )
-    earlier = ends.select(
-        (F.col("page") + 1).alias("page"), F.col("last_id").alias("prev_id")
+    ends = ends.withColumn("block", F.floor(F.col("page") / CHUNK_ROWS))
+    in_block = Window.partitionBy("block").orderBy("page")
+    neighbours = ends.withColumn("prev_id", F.lag("last_id").over(in_block))
+    block_ends = ends.groupBy("block").agg(F.max_by("last_id", "page").alias("last_id"))
+    # One row per block of pages that has an id.
+    earlier = block_ends.select(
+        "block", F.lag("last_id").over(Window.orderBy("block")).alias("before_block")
+    )
+    pages_apart = (
+        neighbours.join(F.broadcast(earlier), "block")
+        .withColumn("prev_id", F.coalesce("prev_id", "before_block"))
+        .where(F.col("id") <= F.col("prev_id"))
     )
-    pages_apart = ends.join(earlier, "page").where(F.col("id") <= F.col("prev_id"))
     shape = ["page", "pos", "id", "prev_id"]
     return (
         inside.select(*shape, F.lit("not_increasing").alias("violation"))

@@ -87,19 +87,3 @@ def duplicate_payload_count(flagged: DataFrame, run_col: str) -> DataFrame:
     return flagged.groupBy(run_col).agg(
         F.sum(F.col("duplicate").cast("long")).alias("duplicate_payloads")
     )
-
-
-def land_raw_pages(payloads: DataFrame, root: str) -> None:
-    """Write each payload to ``root/dataset=…/page=…/digest=…``, one file per payload.
-
-    Pass only payloads the ledger does not hold. The text sink ends a file with one
-    newline, which is not payload.
-    """
-    (
-        payloads.select(
-            "dataset", "page", F.col("payload_sha256").alias("digest"), "payload"
-        )
-        .write.partitionBy("dataset", "page", "digest")
-        .mode("append")
-        .text(root)
-    )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -112,9 +113,14 @@ def dq_below(df: DataFrame, bounds: dict[str, tuple[Column, float]]) -> DataFram
 
 
 def verify_expected(
-    actual: DataFrame, expected: DataFrame, counts: dict[str, tuple[DataFrame, int]]
+    actual: DataFrame,
+    expected: DataFrame,
+    counts: dict[str, tuple[DataFrame, int]],
+    with_nulls: dict[str, tuple[DataFrame, list[str]]] | None = None,
 ) -> DataFrame:
-    """(finding, violations): differing rows and relations with an unexpected size."""
+    """(finding, violations): differing rows, relations with an unexpected size, and
+    relations in which no row misses all of its optional measures: there, missing
+    values were turned into numbers."""
     findings = [
         multiset_diff(expected, actual.select(*expected.columns))
         .agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("violations"))
@@ -123,6 +129,10 @@ def verify_expected(
     for name, (df, wanted) in counts.items():
         gap = F.abs(F.count(F.lit(1)) - F.lit(wanted)).alias("violations")
         findings.append(df.agg(gap).select(F.lit(name).alias("finding"), "violations"))
+    for name, (df, measures) in (with_nulls or {}).items():
+        empty = reduce(and_, [F.col(c).isNull() for c in measures])
+        none_left = (F.count(F.when(empty, F.lit(1))) == 0).cast("long").alias("violations")
+        findings.append(df.agg(none_left).select(F.lit(name).alias("finding"), "violations"))
     return reduce(DataFrame.unionByName, findings).where(F.col("violations") > 0)
 
 

@@ -57,6 +57,11 @@ def scan_patterns(
     return df.select(id_col, F.explode(F.array_compact(hits)).alias("label"))
 
 
+def scan_paths(df: DataFrame, path_col: str) -> DataFrame:
+    """Rows whose path must not be published; no exchange."""
+    return df.where(F.col(path_col).rlike(PROHIBITED_PATH))
+
+
 def scan_plaintext_values(
     outputs: dict[str, DataFrame], raw_ids: DataFrame, id_col: str
 ) -> DataFrame:

@@ -55,6 +55,14 @@ def measures() -> dict[str, Measure]:
     }
 
 
+def check_filters(filters: dict[str, list] | None, *tables: DataFrame) -> dict[str, list]:
+    """The filters, if each of them is a column of one of the tables."""
+    unknown = [c for c in filters or {} if not any(c in t.columns for t in tables)]
+    if unknown:
+        raise ValueError(f"no table has the filters {unknown}")
+    return filters or {}
+
+
 def slicer(df: DataFrame, filters: dict[str, list]) -> DataFrame:
     """Rows whose columns hold one of the chosen values; other columns are ignored."""
     for column, values in filters.items():
@@ -94,7 +102,7 @@ def measure(
     tables = {known[n].table for n in names}
     if len(tables) != 1:
         raise ValueError("evaluate overview and fuel measures separately")
-    filters = filters or {}
+    filters = check_filters(filters, overview, fuel)
     aggs = [known[n].column.alias(n) for n in names]
     groups = list(by)
     if tables == {"overview"}:
@@ -123,7 +131,7 @@ def powertrain_share(
     sums of those cells. A window over them holds one row per category.
     """
     lifted = "powertrain_category"
-    filters = filters or {}
+    filters = check_filters(filters, overview)
     others = [c for c in by if c != lifted]
     kept = {c: v for c, v in filters.items() if c != lifted}
     chosen = F.col(lifted).isin(*filters[lifted]) if lifted in filters else F.lit(True)

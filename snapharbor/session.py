@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -33,23 +34,53 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 _own_roots: dict[str, str] = {}
+_used: set[str] = set()
 
 
 def scratch_root(spark: SparkSession) -> str:
     """Folder shared by driver and executors, as named in spark.checkpoint.dir.
 
-    Only a session without any checkpoint folder (a local test) gets a temporary one.
+    Only a local session without any checkpoint folder (a test) gets a temporary one:
+    on a cluster, executors would write to disks of their own.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
+        master = context.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = _own_roots.get(context.applicationId) or tempfile.mkdtemp(prefix="snapharbor-")
         _own_roots[context.applicationId] = root
     return root.rstrip("/")
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """Where this application keeps what it writes between steps."""
+    return f"{scratch_root(spark)}/snapharbor/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, tag: str) -> str:
-    return f"{scratch_root(spark)}/snapharbor/{tag}-{uuid.uuid4().hex}"
+    folder = scratch_folder(spark)
+    if folder not in _used:
+        _used.add(folder)
+        atexit.register(_clear_at_exit, spark, folder)
+    return f"{folder}/{tag}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application has written between steps.
+
+    A frame that was built on it can no longer be read. It also happens when the driver
+    ends; a long session calls it between jobs.
+    """
+    folder = scratch_folder(spark)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _clear_at_exit(spark: SparkSession, folder: str) -> None:
+    if spark.sparkContext._jsc is not None and folder == scratch_folder(spark):
+        clear_scratch(spark)
 
 
 def materialize(df: DataFrame, tag: str) -> DataFrame:

@@ -7,6 +7,7 @@ mix, on file systems with or without an atomic folder rename.
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
 from functools import partial
@@ -18,6 +19,8 @@ from snapharbor.spec import PUBLISHED_RELATIONS
 
 MARKER = "_COMMITTED-"
 SET_PREFIX = "set-"
+# A set without a marker may still be in the making for this long.
+LEASE_SECONDS = 7 * 24 * 3600
 
 
 class IncompletePublicationError(ValueError):
@@ -67,11 +70,11 @@ def publish_set(
         )
         if check is not None:
             check({r: spark.read.parquet(p) for r, p in zip(sorted(required), paths)})
-        _commit(spark, root, name)
+        _commit(spark, root, name, paths)
     except BaseException:
         _delete(spark, folder)
         raise
-    clear_published(spark, root, keep=[n for n in (name, previous) if n])
+    sweep_published(spark, root, oldest_kept=min(n for n in (name, previous) if n))
     return paths
 
 
@@ -88,24 +91,53 @@ def scan_published(spark: SparkSession, root: str, relation: str) -> DataFrame:
     return spark.read.parquet(relation_path(f"{root}/{SET_PREFIX}{name}", relation))
 
 
-def clear_published(spark: SparkSession, root: str, keep: list[str] | None = None) -> None:
-    """Remove all sets but those in ``keep``, half-written ones included.
+def sweep_published(
+    spark: SparkSession, root: str, oldest_kept: str, lease_seconds: float = LEASE_SECONDS
+) -> None:
+    """Remove committed sets older than ``oldest_kept``, and uncommitted ones past their lease.
 
-    Markers go first, so that no reader follows one to a set that is being removed.
-    The set before the current one is normally kept for readers that have opened it.
+    Another writer's set stays, whether it was committed after this one or is still
+    being written. Markers go first, so that no reader follows one to a set that is being
+    removed; the set before the current one is kept for readers that have opened it.
     """
-    kept = set(keep or [])
+    names = _names(spark, root)
+    committed = {n.removeprefix(MARKER) for n in names if n.startswith(MARKER)}
+    for name in sorted(n for n in committed if n < oldest_kept):
+        _delete(spark, f"{root}/{MARKER}{name}")
+        _delete(spark, f"{root}/{SET_PREFIX}{name}")
+    for name in names:
+        if name.startswith(SET_PREFIX) and name.removeprefix(SET_PREFIX) not in committed:
+            if _age(spark, f"{root}/{name}") > lease_seconds:
+                _delete(spark, f"{root}/{name}")
+
+
+def clear_published(spark: SparkSession, root: str) -> None:
+    """Remove all sets, half-written ones included: nothing is published any more."""
     for prefix in (MARKER, SET_PREFIX):
         for name in _names(spark, root):
-            if name.startswith(prefix) and name.removeprefix(prefix) not in kept:
+            if name.startswith(prefix):
                 _delete(spark, f"{root}/{name}")
 
 
-def _commit(spark: SparkSession, root: str, name: str) -> None:
+def _commit(spark: SparkSession, root: str, name: str, paths: list[str]) -> None:
+    """Create the marker of a set whose relations are all there."""
+    for path in paths:
+        fs, done = _fs(spark, f"{path}/_SUCCESS")
+        if not fs.exists(done):
+            raise IncompletePublicationError(f"{path} is gone or was not written to its end")
     fs, marker = _fs(spark, f"{root}/{MARKER}{name}")
     fs.create(marker, False).close()
 
 
+def _age(spark: SparkSession, location: str) -> float:
+    """Seconds since something was last written under a folder's first two levels."""
+    fs, path = _fs(spark, location)
+    last = fs.getFileStatus(path).getModificationTime()
+    for child in fs.listStatus(path):
+        last = max(last, child.getModificationTime())
+    return time.time() - last / 1000
+
+
 def _names(spark: SparkSession, root: str) -> list[str]:
     fs, path = _fs(spark, root)
     return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []

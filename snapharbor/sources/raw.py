@@ -1,4 +1,10 @@
-"""Raw page files: reading, projecting and checking them."""
+"""Raw pages: storing payloads, reading, projecting and checking them.
+
+A raw folder has two tables. ``payloads`` holds each distinct payload once, as a row of
+Parquet in the partition of the run that brought it first. ``manifest`` holds, per run, a
+row for every page that arrived, with the digest of its payload. A run is what its
+manifest says, so it neither sees pages of other runs nor loses unchanged ones.
+"""
 
 from __future__ import annotations
 
@@ -6,16 +12,94 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapharbor.spec import text_schema
+from snapharbor.operators.payloads import ledger_insert
+from snapharbor.session import materialize
+from snapharbor.spec import MANIFEST, PAYLOADS, text_schema
+
+# Pages that one manifest file names, and a micro-batch of the stream takes, at most.
+PAGES_PER_FILE = 1_000
+
+
+def payload_path(root: str) -> str:
+    return f"{root}/payloads"
+
+
+def manifest_path(root: str, run: str) -> str:
+    return f"{root}/manifest/run={run}"
+
 
+def stored_payloads(spark: SparkSession, root: str) -> DataFrame:
+    """All stored payloads; none before the first run."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(payload_path(root))
+    if not location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location):
+        return spark.createDataFrame([], PAYLOADS)
+    return spark.read.schema(PAYLOADS).parquet(payload_path(root))
 
-def scan_raw_json(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+
+def payload_ledger(spark: SparkSession, root: str) -> DataFrame:
+    """(dataset, payload_sha256, stored_in) of every payload seen so far; reads no payload."""
+    return stored_payloads(spark, root).select("dataset", "payload_sha256", "stored_in")
+
+
+def land_raw_pages(
+    pages: DataFrame, root: str, run: str, arrival: int = 0, pages_per_file: int = PAGES_PER_FILE
+) -> None:
+    """Store the payloads that no run has brought yet, and name all pages in the manifest.
+
+    ``pages`` has (dataset, page, chunk, payload_sha256, row_count, payload). A resumed run
+    lands its further pages with a higher ``arrival``; of a page that arrived again the
+    last arrival counts.
+    """
+    spark = pages.sparkSession
+    pages = pages.withColumn("stored_in", F.lit(run))
+    ledger = materialize(payload_ledger(spark, root), "ledger")
+    _, flagged = ledger_insert(ledger, pages, ["page", "chunk"])
+    flagged = materialize(flagged, "arrivals")
+    fresh = flagged.where(~F.col("duplicate")).select(*PAYLOADS.names)
+    fresh.write.partitionBy("stored_in", "dataset").mode("append").parquet(payload_path(root))
+    known = ledger.select("dataset", "payload_sha256", F.col("stored_in").alias("_first"))
+    named = flagged.join(known, ["dataset", "payload_sha256"], "left").select(
+        "dataset",
+        F.col("page").cast("long").alias("page"),
+        F.col("chunk").cast("long").alias("chunk"),
+        F.lit(arrival).cast("long").alias("arrival"),
+        "payload_sha256",
+        F.col("row_count").cast("long").alias("row_count"),
+        F.coalesce("_first", "stored_in").alias("stored_in"),
+        "duplicate",
+    )
+    named.write.option("maxRecordsPerFile", pages_per_file).mode("append").parquet(
+        manifest_path(root, run)
+    )
+
+
+def read_manifest(spark: SparkSession, root: str, run: str) -> DataFrame:
+    return spark.read.schema(MANIFEST).parquet(manifest_path(root, run))
+
+
+def with_payload(manifest: DataFrame, payloads: DataFrame) -> DataFrame:
+    """Manifest rows with their payload. Only partitions of the runs named are read."""
+    rows = payloads.select("stored_in", "dataset", "payload_sha256", "payload")
+    return manifest.join(rows, ["stored_in", "dataset", "payload_sha256"])
+
+
+def scan_pages(spark: SparkSession, root: str, run: str, dataset: str, columns: list[str]) -> DataFrame:
+    """Rows of one dataset as a run holds it, with page and position."""
+    named = read_manifest(spark, root, run).where(F.col("dataset") == dataset)
+    pages = with_payload(named, stored_payloads(spark, root)).select("page", "chunk", "payload")
+    return explode_pages(pages, "payload", columns)
+
+
+def scan_raw_json(
+    spark: SparkSession, path: str, columns: list[str], wholetext: bool = True
+) -> DataFrame:
     """Rows of page files, each one JSON array of objects, with file and position.
 
     Values are read as text. A file that is not an array of objects fails the read.
-    Files are pages, so the size of one is bounded by the page size.
+    Files are pages, so the size of one is bounded by the page size. Without
+    ``wholetext`` every line of a file is a page.
     """
-    pages = spark.read.text(path, wholetext=True).select(
+    pages = spark.read.text(path, wholetext=wholetext).select(
         F.input_file_name().alias("file"), F.btrim("value", F.lit(" \t\r\n")).alias("body")
     )
     return explode_pages(pages, "body", columns)
@@ -28,6 +112,11 @@ def explode_pages(pages: DataFrame, body: str, columns: list[str]) -> DataFrame:
     checked = F.when(F.col(body).rlike(r"^\[\s*(\{|\]$)"), rows).otherwise(
         F.raise_error(F.lit("a raw page is not a JSON array of objects")).cast(schema)
     )
+    # An element that is null would come out as a row of NULLs.
+    whole = F.coalesce(F.forall(checked, lambda x: x.isNotNull()), F.lit(True))
+    checked = F.when(whole, checked).otherwise(
+        F.raise_error(F.lit("a raw page is not an array of objects: it holds null")).cast(schema)
+    )
     keep = [c for c in pages.columns if c != body]
     return pages.select(*keep, F.posexplode(checked).alias("pos", "row")).select(
         *keep, "pos", "row.*"
@@ -35,25 +124,15 @@ def explode_pages(pages: DataFrame, body: str, columns: list[str]) -> DataFrame:
 
 
 def raw_integrity_scan(spark: SparkSession, root: str) -> DataFrame:
-    """(path, digest, ok) for each landed page: its bytes must match its digest."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.txt")
-        .load(root)
-    )
-    # The text sink ends each file with one newline.
-    body = F.expr("substring(content, 1, length(content) - 1)")
-    digest = F.regexp_extract("path", "digest=([^/]*)/", 1)
-    return files.select(
-        "path",
-        digest.alias("digest"),
-        (F.sha2(body, 256) == digest).alias("ok"),
+    """(dataset, digest, ok) of each stored payload: all its bytes must give its digest."""
+    sound = F.sha2("payload", 256).eqNullSafe(F.col("payload_sha256"))
+    return stored_payloads(spark, root).select(
+        "dataset", F.col("payload_sha256").alias("digest"), sound.alias("ok")
     )
 
 
 def missing_pages(landed: DataFrame, expected: DataFrame) -> DataFrame:
-    """Expected digests without a sound file."""
+    """Expected digests without a sound payload."""
     sound = landed.where("ok").select(F.col("digest").alias("payload_sha256"))
     return expected.join(sound.distinct(), "payload_sha256", "left_anti")
 

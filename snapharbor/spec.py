@@ -34,6 +34,10 @@ class SnapshotSpec:
     def raw_vehicle_columns(self) -> list[str]:
         return [self.raw_id, *self.vehicle_fields.values()]
 
+    @property
+    def raw_sequence(self) -> str:
+        return self.fuel_fields["fuel_sequence"]
+
     @property
     def raw_fuel_columns(self) -> list[str]:
         return [self.raw_id, *self.fuel_fields.values()]
@@ -150,13 +154,27 @@ INGESTION_RUNS = T.StructType(
     ]
 )
 
-INGESTED_PAYLOADS = T.StructType(
+# One arrival of a page in a run; ``stored_in`` is the run that stored its payload first.
+MANIFEST = T.StructType(
     [
         T.StructField("dataset", T.StringType()),
+        T.StructField("page", T.LongType()),
+        T.StructField("chunk", T.LongType()),
+        T.StructField("arrival", T.LongType()),
+        T.StructField("payload_sha256", T.StringType()),
+        T.StructField("row_count", T.LongType()),
+        T.StructField("stored_in", T.StringType()),
+        T.StructField("duplicate", T.BooleanType()),
+    ]
+)
+
+# A stored payload; its partition is the run that stored it.
+PAYLOADS = T.StructType(
+    [
         T.StructField("payload_sha256", T.StringType()),
-        T.StructField("raw_path", T.StringType()),
-        T.StructField("ingested_at", T.TimestampType()),
-        T.StructField("row_count", T.IntegerType()),
-        T.StructField("first_ingestion_id", T.StringType()),
+        T.StructField("row_count", T.LongType()),
+        T.StructField("payload", T.StringType()),
+        T.StructField("stored_in", T.StringType()),
+        T.StructField("dataset", T.StringType()),
     ]
 )

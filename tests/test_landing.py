@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from snapharbor.operators import payloads
 from snapharbor.operators import runs as run_ops
+from snapharbor.plans import ingestion
 from snapharbor.plans.workflow import run_snapshot, stage_snapshot, transform_only
 from snapharbor.operators.quality import DataQualityError
 from snapharbor.operators.upsert import EmptySnapshotError
@@ -64,19 +65,18 @@ def test_ledger_flags_repeats(spark):
 
 def test_landed_pages_are_checked(spark, tmp_path):
     root = str(tmp_path / "raw")
-    digests = payloads.page_digest(pages(spark), ["dataset", "page"], "pos", FIELDS).cache()
-    payloads.land_raw_pages(digests, root)
-    rows = raw_source.scan_raw_json(spark, f"{root}/*/*/*", FIELDS)
+    digests = payloads.page_digest(pages(spark), ["dataset", "page"], "pos", FIELDS)
+    digests = digests.withColumn("chunk", F.lit(0)).cache()
+    raw_source.land_raw_pages(digests, root, "run-1")
+    rows = raw_source.scan_pages(spark, root, "run-1", "d", FIELDS)
     assert values(rows, "pos", *FIELDS) == [(0, "w", "é", "1"), (0, "y", None, 'q"t'), (1, "x", "2", None)]
     assert raw_source.raw_integrity_scan(spark, root).where("not ok").count() == 0
-    victim = next(
-        os.path.join(d, f) for d, _, fs in os.walk(root) for f in fs if f.endswith(".txt")
-    )
-    folder, name = os.path.split(victim)
-    os.remove(os.path.join(folder, f".{name}.crc"))
-    with open(victim, "a") as out:
-        out.write("x")
-    scan = raw_source.raw_integrity_scan(spark, root)
+    # any byte of a payload, the last one too
+    other = str(tmp_path / "damaged")
+    last = F.concat(F.expr("substring(payload, 1, length(payload) - 1)"), F.lit("}"))
+    body = F.when(F.col("page") == 0, last).otherwise(F.col("payload"))
+    raw_source.land_raw_pages(digests.withColumn("payload", body), other, "run-1")
+    scan = raw_source.raw_integrity_scan(spark, other)
     assert scan.where("not ok").count() == 1
     wanted = digests.select("payload_sha256").unionByName(
         spark.createDataFrame([("absent",)], "payload_sha256 string")
@@ -84,7 +84,20 @@ def test_landed_pages_are_checked(spark, tmp_path):
     assert raw_source.missing_pages(scan, wanted).count() == 2
 
 
-@pytest.mark.parametrize("body", ['{"id": "a"}', "[1, 2]", "nonsense"])
+def test_payloads_are_stored_once(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    digests = payloads.page_digest(pages(spark), ["dataset", "page"], "pos", FIELDS)
+    digests = digests.withColumn("chunk", F.lit(0)).cache()
+    raw_source.land_raw_pages(digests.where("page = 0"), root, "run-1")
+    raw_source.land_raw_pages(digests, root, "run-2")
+    assert values(raw_source.payload_ledger(spark, root), "stored_in") == [("run-1",), ("run-2",)]
+    second = raw_source.read_manifest(spark, root, "run-2")
+    assert values(second, "page", "stored_in", "duplicate") == [(0, "run-1", True), (1, "run-2", False)]
+    assert raw_source.scan_pages(spark, root, "run-2", "d", FIELDS).count() == 3
+    assert raw_source.scan_pages(spark, root, "run-1", "d", FIELDS).count() == 2
+
+
+@pytest.mark.parametrize("body", ['{"id": "a"}', "[1, 2]", "nonsense", '[{"id": "a"}, null]', "[null]"])
 def test_pages_must_be_arrays_of_objects(spark, tmp_path, body):
     (tmp_path / "page.json").write_text(body)
     with pytest.raises(Exception, match="array of objects|MALFORMED"):
@@ -156,6 +169,41 @@ def test_incomplete_set_is_refused(spark, tmp_path):
         publication.scan_published(spark, str(tmp_path / "pub"), "dim_vehicle")
 
 
+def test_a_second_writer_keeps_its_set(spark, tmp_path):
+    root = str(tmp_path / "pub")
+    publication.publish_set(small(spark, 1), root)
+    # another job has written a set and not yet committed it
+    other = "0000000002-other"
+    paths = [
+        publication.write_zstd_parquet(df, f"{root}/set-{other}", r) for r, df in small(spark, 7).items()
+    ]
+    publication.publish_set(small(spark, 2), root)
+    publication.publish_set(small(spark, 3), root)
+    publication._commit(spark, root, other, paths)
+    assert all(spark.read.parquet(p).count() == 7 for p in paths)
+    # uncommitted sets go when their lease is over, a commit without its folder is refused
+    late = "0000000009-late"
+    late_paths = [publication.write_zstd_parquet(spark.range(1), f"{root}/set-{late}", "dim_vehicle")]
+    newest = publication.current_set(spark, root)
+    publication.sweep_published(spark, root, newest, lease_seconds=-1)
+    with pytest.raises(publication.IncompletePublicationError):
+        publication._commit(spark, root, late, late_paths)
+    assert publication.current_set(spark, root) == newest
+    assert publication.scan_published(spark, root, "dim_vehicle").count() == 3
+
+
+def test_a_newer_set_of_another_writer_stays(spark, tmp_path):
+    root = str(tmp_path / "pub")
+    publication.publish_set(small(spark, 1), root)
+    newer = "0000000008-newer"
+    paths = [
+        publication.write_zstd_parquet(df, f"{root}/set-{newer}", r) for r, df in small(spark, 7).items()
+    ]
+    publication._commit(spark, root, newer, paths)
+    publication.sweep_published(spark, root, "0000000002-mine")
+    assert publication.scan_published(spark, root, "dim_vehicle").count() == 7
+
+
 def test_clear_published(spark, tmp_path):
     root = str(tmp_path / "pub")
     publication.publish_set(small(spark, 1), root)
@@ -221,65 +269,127 @@ def test_run_metrics_and_evolution(spark, runs):
 
 
 def test_run_upsert_keeps_ids_unique(spark, runs):
-    changed = runs.withColumn("status", F.lit("succeeded"))
-    both = changed.unionByName(changed.withColumn("ingestion_id", F.lit("run-2")))
-    got = run_ops.run_upsert(runs, both.unionByName(both))
-    assert values(got, "ingestion_id", "status") == [("run-1", "succeeded"), ("run-2", "succeeded")]
+    done = runs.withColumn("status", F.lit("succeeded")).withColumn("sequence", F.lit(2))
+    running = runs.withColumn("status", F.lit("running")).withColumn("sequence", F.lit(1))
+    other = running.withColumn("ingestion_id", F.lit("run-2"))
+    for changed in ((done, running, other), (other, running, done)):
+        got = run_ops.run_upsert(runs, changed[0].unionByName(changed[1]).unionByName(changed[2]))
+        assert values(got, "ingestion_id", "status") == [("run-1", "succeeded"), ("run-2", "running")]
 
 
 # --- streaming -------------------------------------------------------------------
 
 
-def land(spark, raw, spec, root, only=None):
+def page_payloads(raw, spec):
     vehicles, fuels = raw
-    page = F.when(F.col(spec.raw_id) < "HYB-P", 0).otherwise(1).cast("long")
-    parts = {"anchors": fuels.select(spec.raw_id).distinct(), "vehicles": vehicles, "fuels": fuels}
-    for dataset, df in parts.items():
-        rows = df.withColumn("page", page).withColumn("dataset", F.lit(dataset))
-        if only is not None:
-            rows = rows.where(F.col("page") == only)
-        cut = payloads.detail_pages(rows, "page", [spec.raw_id], 1000)
-        payloads.land_raw_pages(
-            payloads.page_digest(cut, ["dataset", "page"], "pos", df.columns), root
-        )
+    anchors = fuels.select(spec.raw_id).distinct()
+    return ingestion.cut_pages(anchors, vehicles, fuels, spec, 3).cache()
+
+
+def ingested(spark, root, log, spec, run):
+    ingest.stream_page_ingest(spark, root, log, spec, run).awaitTermination()
+    return {n: values(df) for n, df in ingest.settle(spark, log).items()}
 
 
 def test_stream_resumes_and_replays(spark, raw, spec, staging, tmp_path):
-    landing, log = str(tmp_path / "raw"), str(tmp_path / "log")
-
-    def run():
-        ingest.stream_page_ingest(
-            spark, landing, log, spec, "run-1", pages_per_batch=2
-        ).awaitTermination()
-        return {n: values(df) for n, df in ingest.settle(spark, log).items()}
-
-    land(spark, raw, spec, landing, only=0)
-    first = run()
-    assert 0 < len(first["vehicles"]) < 6
-    land(spark, raw, spec, landing, only=1)
-    done = run()
+    root, log = str(tmp_path / "raw"), str(tmp_path / "log")
+    all_pages = page_payloads(raw, spec)
+    raw_source.land_raw_pages(all_pages.where("page = 0"), root, "run-1", pages_per_file=1)
+    first = ingested(spark, root, log, spec, "run-1")
+    assert len(first["vehicles"]) == 3
+    raw_source.land_raw_pages(all_pages.where("page = 1"), root, "run-1", pages_per_file=2)
+    done = ingested(spark, root, log, spec, "run-1")
     assert done["vehicles"] == values(staging["vehicles"])
     assert done["fuels"] == values(staging["fuels"])
-    assert run() == done
+    assert ingested(spark, root, log, spec, "run-1") == done
     # A crash between the write and the commit replays the last batch.
     commits = tmp_path / "log" / "_checkpoint" / "commits"
     last = max(int(n) for n in os.listdir(commits) if n.isdigit())
     for name in (str(last), f".{last}.crc"):
         os.remove(commits / name)
-    assert run() == done
+    assert ingested(spark, root, log, spec, "run-1") == done
     text = "".join(str(r) for rows in done.values() for r in rows)
     assert "HYB-P" not in text
 
 
+def test_a_smaller_snapshot_removes_old_rows(spark, raw, spec, tmp_path):
+    root = str(tmp_path / "raw")
+    raw_source.land_raw_pages(page_payloads(raw, spec), root, "run-0")
+    assert len(ingested(spark, root, str(tmp_path / "log0"), spec, "run-0")["vehicles"]) == 6
+    vehicles, fuels = raw
+    changed = vehicles.withColumn("merk", F.lit("new")), fuels
+    smaller = page_payloads([df.where(F.col(spec.raw_id).isin("BAT", "HYD")) for df in changed], spec)
+    raw_source.land_raw_pages(smaller, root, "run-1")
+    after = ingested(spark, root, str(tmp_path / "log1"), spec, "run-1")
+    assert len(after["vehicles"]) == 2 and all("NEW" in r for r in after["vehicles"])
+
+
+def test_an_identical_rerun_gives_the_same_rows(spark, raw, spec, tmp_path):
+    root, all_pages = str(tmp_path / "raw"), page_payloads(raw, spec)
+    got = []
+    for run in ("run-1", "run-2"):
+        raw_source.land_raw_pages(all_pages, root, run)
+        settled = ingested(spark, root, str(tmp_path / run), spec, run)
+        got.append({n: [tuple(v for v in r if v != run) for r in rows] for n, rows in settled.items()})
+    assert got[0] == got[1]
+    assert raw_source.read_manifest(spark, root, "run-2").where("not duplicate").count() == 0
+
+
+def test_a_page_that_arrives_again_counts_once(spark, raw, spec, tmp_path):
+    """The same page landed twice, the second time with other content."""
+    root, all_pages = str(tmp_path / "raw"), page_payloads(raw, spec)
+    raw_source.land_raw_pages(all_pages, root, "run-1")
+    raw_source.land_raw_pages(all_pages.where("page = 0"), root, "run-1", arrival=1)
+    vehicles, fuels = raw
+    other = page_payloads((vehicles.withColumn("merk", F.lit("later")), fuels), spec)
+    raw_source.land_raw_pages(other.where("page = 1"), root, "run-1", arrival=2)
+    got = ingested(spark, root, str(tmp_path / "log"), spec, "run-1")
+    assert len(got["vehicles"]) == 6 and len(got["fuels"]) == 10
+    assert sum("LATER" in r for r in got["vehicles"]) == 3
+
+
 def test_incomplete_vehicles_are_not_settled(spark, raw, spec, tmp_path):
     vehicles, fuels = raw
-    landing, log = str(tmp_path / "raw"), str(tmp_path / "log")
-    land(spark, (vehicles.where(F.col(spec.raw_id) != "BAT"), fuels), spec, landing)
-    ingest.stream_page_ingest(
-        spark, landing, log, spec, "run-1"
-    ).awaitTermination()
-    settled = ingest.settle(spark, log)
-    assert settled["vehicles"].count() == 5 and settled["fuels"].count() == 9
+    root = str(tmp_path / "raw")
+    parts = page_payloads(raw, spec).where("dataset <> 'vehicles'").unionByName(
+        page_payloads((vehicles.where(F.col(spec.raw_id) != "BAT"), fuels), spec).where("dataset = 'vehicles'")
+    )
+    raw_source.land_raw_pages(parts, root, "run-1")
+    got = ingested(spark, root, str(tmp_path / "log"), spec, "run-1")
+    assert len(got["vehicles"]) == 5 and len(got["fuels"]) == 9
+
+
+def test_a_failed_job_resumes(spark, raw, spec, tmp_path, monkeypatch):
+    root, folders = str(tmp_path / "warehouse"), ingestion.Folders(str(tmp_path / "warehouse"))
+    all_pages = page_payloads(raw, spec)
+    real = ingestion.transform_only
+    monkeypatch.setattr(ingestion, "transform_only", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        ingestion.snapshot_job(spark, all_pages, root, spec, "run-1")
+    row = ingestion.read_runs(spark, folders).first()
+    assert row["status"] == "failed" and row["error_message"] == "lost" and row["resume_count"] == 0
+    assert publication.current_set(spark, folders.published) is None
+    monkeypatch.setattr(ingestion, "transform_only", real)
+    result = ingestion.snapshot_job(spark, all_pages, root, spec, "run-1")
+    row = ingestion.read_runs(spark, folders).first()
+    assert row["status"] == "succeeded" and row["resumed"] and row["resume_count"] == 1
+    assert row["error_message"] is None and row["matched_vehicles"] == 6 and row["fuel_rows"] == 10
+    assert row["duplicate_payloads"] > 0 and result.relation_rows["mart_ev_overview"] == 6
+    # a second, smaller run replaces the snapshot; the first run's row stays
+    vehicles, fuels = raw
+    fewer = [df.where(F.col(spec.raw_id).isin("BAT", "HYD")) for df in (vehicles, fuels)]
+    result = ingestion.snapshot_job(spark, page_payloads(fewer, spec), root, spec, "run-2")
+    assert result.relation_rows["mart_ev_overview"] == 2
+    assert values(ingestion.read_runs(spark, folders), "ingestion_id", "status") == [
+        ("run-1", "succeeded"), ("run-2", "succeeded")
+    ]
+
+
+def test_damaged_storage_stops_the_job(spark, raw, spec, tmp_path):
+    root = str(tmp_path / "warehouse")
+    broken = page_payloads(raw, spec).withColumn("payload_sha256", F.concat(F.lit("x"), "payload_sha256"))
+    with pytest.raises(DataQualityError, match="lost or damaged"):
+        ingestion.snapshot_job(spark, broken, root, spec, "run-1")
 
 
 def test_entry_matches_the_known_mix(spark):

@@ -124,3 +124,10 @@ def test_top_brands_and_example_queries(over, models):
     assert reports.q_year_profile(over).count() == 5
     assert reports.q_metrics_top50(models["mart_ev_metrics"]).count() == 10
     assert values(reports.q_snapshot_grain(models["fact_vehicle_snapshot"])) == [("run-1", 6, 10)]
+
+
+def test_unknown_filters_are_refused(over, fuel):
+    with pytest.raises(ValueError, match="brnad"):
+        ms.measure(over, fuel, ["vehicles"], filters={"brnad": ["ACME"]})
+    with pytest.raises(ValueError, match="fuel_type"):
+        ms.powertrain_share(over, filters={"fuel_type": ["Benzine"]})

@@ -48,20 +48,27 @@ def test_keyset_page_moves_on(spark):
     assert page("e") == []
 
 
-def test_snapshot_cap(spark, monkeypatch):
+def test_snapshot_cap(spark):
     df = ids(spark, ["d", "b", "a", "c", "a"])
-    assert values(paging.snapshot_cap(df, "id", 3)) == [("a",), ("b",), ("c",)]
+    assert [r["id"] for r in paging.snapshot_cap(df, "id", 3).collect()] == ["a", "b", "c"]
     assert paging.snapshot_cap(df, "id", None).count() == 4
-    monkeypatch.setattr(paging, "HEAP_ROWS", 1)
-    assert values(paging.snapshot_cap(df, "id", 3)) == [("a",), ("b",), ("c",)]
 
 
-def test_deep_offset_equals_shallow(spark, monkeypatch):
-    df = ids(spark, [f"{i:03d}" for i in range(50)])
-    shallow = values(paging.offset_page(df, [F.col("id")], 20, 7))
-    monkeypatch.setattr(paging, "HEAP_ROWS", 5)
-    assert values(paging.offset_page(df, [F.col("id")], 20, 7)) == shallow
-    assert len(shallow) == 7
+def test_offset_pages_are_sorted_and_ties_are_settled(spark):
+    rows = [(i % 3, f"{i:03d}") for i in range(50)]
+    df = spark.createDataFrame(rows, "k int, id string").repartition(7)
+    want = [r[1] for r in sorted(rows)]
+    for offset, limit in ((0, 5), (20, 7), (45, 10), (60, 3)):
+        got = [r["id"] for r in paging.offset_page(df, [F.col("k")], offset, limit).collect()]
+        assert got == want[offset : offset + limit]
+
+
+def test_ranges_grow_with_the_input(spark, monkeypatch):
+    df = spark.range(1000)
+    default = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert paging.range_count(df) == default
+    monkeypatch.setattr(paging, "RANGE_BYTES", 100)
+    assert paging.range_count(df) == 80
 
 
 def test_order_guard(spark, monkeypatch):
@@ -84,6 +91,17 @@ def test_order_guard(spark, monkeypatch):
     ]
 
 
+@pytest.mark.parametrize("block", [2, 10_000])
+def test_order_guard_across_gaps(spark, monkeypatch, block):
+    monkeypatch.setattr(paging, "CHUNK_ROWS", block)
+    frame = "page long, pos long, id string"
+    gap = [(0, 0, "a"), (0, 1, "m"), (7, 0, "c"), (7, 1, "z"), (9, 0, " "), (30, 0, "y"), (31, 0, "zz")]
+    found = paging.page_order_guard(spark.createDataFrame(gap, frame), "id")
+    assert values(found, "page", "id", "prev_id", "violation") == [
+        (30, "y", "z", "not_advanced"), (7, "c", "m", "not_advanced")
+    ]
+
+
 def test_running_totals_across_blocks(spark):
     df = spark.range(25).select(F.lit("r").alias("run"), F.col("id").alias("page"), F.lit(2).alias("n"))
     got = paging.running_totals(df, "run", "page", ["n"], block=4).orderBy("page").collect()
@@ -91,8 +109,20 @@ def test_running_totals_across_blocks(spark):
 
 
 def test_resume_cursor(spark):
-    df = ids(spark, ["a", " c ", " ", None, "b"])
-    assert paging.resume_cursor(df, "id").first()["cursor"] == "c"
+    pages = spark.createDataFrame(
+        [(0, "a"), (0, " c "), (1, " "), (1, None), (2, "d"), (3, "e")], "page long, id string"
+    )
+
+    def cursor(*commits):
+        rows = spark.createDataFrame(commits, "page long, committed boolean, digest string, landed_digest string")
+        return paging.resume_cursor(pages, rows, "id").first()["cursor"]
+
+    sound = [(p, True, "x", "x") for p in range(4)]
+    assert cursor(*sound) == "e"
+    assert cursor(*sound[:2]) == "c"
+    assert cursor(*sound[:2], (2, False, "x", "x"), sound[3]) == "c"
+    assert cursor(*sound[:3], (3, True, "x", "changed")) == "d"
+    assert cursor((0, True, "x", None), *sound[1:]) is None
 
 
 def datasets(spark):
