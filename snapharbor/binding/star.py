@@ -51,6 +51,7 @@ class StarBinding:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark = configure(spark)
         self.dir = sf_dir
+        self._lines: DataFrame | None = None
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
@@ -100,9 +101,17 @@ class StarBinding:
             [F.col(c) for c in order],
         )
 
+    def share_lines(self) -> None:
+        """Store the de-duplicated line items: profiles and fuel rows are then both read
+        from there, and line items are scanned and de-duplicated once."""
+        if self._lines is None:
+            columns = ["l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus"]
+            measures = ["l_quantity", "l_discount", "l_tax"]
+            self._lines = materialize(self.lines().select(*columns, *measures), "lines")
+
     def fuels(self, lineage: bool = True) -> DataFrame:
         """Staged fuels; without ``lineage`` the join that finds the run is left out."""
-        lines = self.lines()
+        lines = self.lines() if self._lines is None else self._lines
         if lineage:
             runs = self.table("orders").select(
                 F.col("o_orderkey").alias("l_orderkey"),
@@ -198,16 +207,19 @@ class StarBinding:
         return m.fact_vehicle_snapshot(self.wide(), SPEC)
 
     def fuel_fact(self) -> DataFrame:
+        self.share_lines()
         parents = m.fact_parents(self.wide(attributes=False, started=False), SPEC)
         return m.fact_vehicle_fuel(m.fuel_parents(self.stg_fuels(), parents), SPEC)
 
     def metrics(self) -> DataFrame:
+        self.share_lines()
         return m.mart_ev_metrics(
             m.wide_fuels(self.stg_fuels(), self.wide(started=False), SPEC)
         )
 
     def snapshot_staging(self) -> dict[str, DataFrame]:
         """Staging as a snapshot holds it: only vehicles with a wanted fuel."""
+        self.share_lines()
         ids = materialize(self.profile().select("vehicle_id_hash"), "profile_ids")
         return {
             "vehicles": self.vehicles().join(ids, "vehicle_id_hash", "left_semi"),

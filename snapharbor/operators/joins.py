@@ -1,45 +1,23 @@
-"""Joins whose small side must prove that it is small."""
+"""Joins with lookups and with sides that were reduced by the join key."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 100_000
-BROADCAST_BYTES = 32 * 1024 * 1024
-
-
-def fits_broadcast(
-    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
-) -> bool:
-    """Count and weigh at most ``max_rows + 1`` rows of ``df``."""
-    rows, size = (
-        df.limit(max_rows + 1)
-        .agg(
-            F.count(F.lit(1)),
-            F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)),
-        )
-        .first()
-    )
-    return rows <= max_rows and size <= max_bytes
+from snapharbor.session import materialize
 
 
 def lookup_join(
-    facts: DataFrame,
-    lookup: DataFrame,
-    on: str | list[str],
-    how: str = "left",
-    max_rows: int = BROADCAST_ROWS,
+    facts: DataFrame, lookup: DataFrame, on: str | list[str], how: str = "left"
 ) -> DataFrame:
     """Join facts with a lookup that is normally tiny.
 
-    A lookup within the bound is broadcast, so the facts do not move and a hot
-    lookup key costs nothing. Beyond the bound this is an ordinary equi-join, whose
-    hot partitions AQE splits on the fact side.
+    The lookup is stored first. Spark then knows its size when it plans the join: within
+    its own threshold it is broadcast, so the facts do not move and a hot lookup key costs
+    nothing; beyond it this is an equi-join, whose hot partitions AQE splits.
     """
-    if fits_broadcast(lookup, max_rows):
-        lookup = F.broadcast(lookup)
-    return facts.join(lookup, on, how)
+    return facts.join(materialize(lookup, "lookup"), on, how)
 
 
 def common_types(rows: DataFrame, reduced: DataFrame, keys: list[str]) -> dict[str, str]:

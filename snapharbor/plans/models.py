@@ -349,9 +349,10 @@ def star_rows(snapshot: DataFrame, star: dict[str, DataFrame]) -> DataFrame:
     dates = star["dim_registration_date"].select(
         "registration_date_key", "registration_date", "registration_year"
     )
-    rows = lookup_join(snapshot, star["dim_vehicle_model"], "vehicle_model_key", "inner")
+    # Published relations are files: Spark sees how large they are.
+    rows = snapshot.join(star["dim_vehicle_model"], "vehicle_model_key")
     rows = rows.join(powertrain, "powertrain_key")
-    return lookup_join(rows, dates, "registration_date_key", "left")
+    return rows.join(dates, "registration_date_key", "left")
 
 
 def star_overview(star: dict[str, DataFrame]) -> DataFrame:

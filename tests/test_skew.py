@@ -129,13 +129,15 @@ def test_copies_stay_one_row(hot):
     assert values(quality.multiset_diff(same, same.limit(1))) == [("x", "expected", N - 1)]
 
 
-def test_broadcast_needs_proof(spark):
-    assert joins.fits_broadcast(spark.range(10), max_rows=10)
-    assert not joins.fits_broadcast(spark.range(11), max_rows=10)
-    wide = spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("t"))
-    assert not joins.fits_broadcast(wide, max_rows=10, max_bytes=5000)
+def test_stored_lookups_are_broadcast_by_their_size(spark):
     left = spark.range(5).withColumn("a", F.lit(1))
     right = spark.range(3).withColumn("b", F.lit(2))
-    for bound in (1, 100):
-        got = joins.lookup_join(left, right, "id", "left", max_rows=bound)
-        assert values(got, "id", "b") == [(0, 2), (1, 2), (2, 2), (3, None), (4, None)]
+    joined = joins.lookup_join(left, right, "id", "left")
+    assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
+    want = [(0, 2), (1, 2), (2, 2), (3, None), (4, None)]
+    assert values(joined, "id", "b") == want
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert values(joins.lookup_join(left, right, "id", "left"), "id", "b") == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
