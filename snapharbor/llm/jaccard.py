@@ -37,6 +37,12 @@ COUNT_BLOCK = 1 << 22
 COUNT_LEAST = 8
 # Common n-grams that the order puts last. Only a hint: the bound costs no result.
 COMMON_ROWS = 200_000
+# Entries of lists that one block of the product holds; a longer list is joined instead.
+BLOCK_ENTRIES = 20_000
+# Products held before equal pairs are added up.
+PRODUCTS = 1 << 20
+# Ids of dropped documents up to this many (16 MB) are broadcast.
+BROADCAST_IDS = 1 << 20
 # Bits of the filter that thins the documents whose sets are needed.
 FILTER_BITS = 22
 
@@ -51,6 +57,9 @@ LIST_ROWS = pa.schema(
 )
 NODE_SETS = pa.schema([("node", pa.int64()), ("grams", pa.binary())])
 PAIR_ROWS = pa.schema([(c, pa.int64()) for c in ("x", "y", "x_slot", "y_slot")])
+PRODUCT_ROWS = pa.schema(
+    [(c, pa.int64()) for c in ("x", "y", "n", "m", "c", "px", "py")]
+)
 LINK_ROWS = pa.schema([("x", pa.int64()), ("y", pa.int64())])
 
 
@@ -274,6 +283,74 @@ def _possible(rule: Rule):
     return run
 
 
+def _added(parts: list[np.ndarray]) -> np.ndarray:
+    """Columns x, y, n, m, c, px, py: one per pair, counts added, places the last ones."""
+    x, y, n, m, c, px, py = np.concatenate(parts, axis=1)
+    order = np.lexsort((y, x))
+    x, y, n, m, c, px, py = (a[order] for a in (x, y, n, m, c, px, py))
+    new = np.flatnonzero(np.concatenate([[True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])]))
+    added, last_x, last_y = np.add.reduceat(c, new), np.maximum.reduceat(px, new), np.maximum.reduceat(py, new)
+    return np.stack([x[new], y[new], n[new], m[new], added, last_x, last_y])
+
+
+def _product(rule: Rule):
+    """Entries (main, s, node, n, pos, root, earlier), lists one after the other, to pairs of
+    different classes that can link: the smaller classes of a list against all of it."""
+    names = ("s", "main", "node", "n", "pos", "root", "earlier")
+
+    def of_list(main, node, n, pos, root, earlier) -> Iterator[np.ndarray]:
+        few = np.flatnonzero(root != main)
+        step = max(1, PRODUCTS // len(node))
+        for at in range(0, len(few), step):
+            left = few[at : at + step][:, None]
+            total = n[left] + n
+            need = -(-rule.num * total // (rule.num + rule.den))  # overlap that these sizes ask for
+            ok = (root[left] != root) & ((root == main) | (node[left] < node))
+            ok &= np.minimum(n[left], n) * rule.den >= np.maximum(n[left], n) * rule.num
+            ok &= (pos[left] <= n[left] - need) & (pos <= n - need)
+            ok &= np.minimum(earlier[left], earlier) + np.minimum((n - pos)[left], n - pos) >= need
+            a, b = np.nonzero(ok)
+            a = left[a, 0]
+            swap = node[a] > node[b]
+            x, y = np.where(swap, b, a), np.where(swap, a, b)
+            yield np.stack([node[x], node[y], n[x], n[y], np.ones(len(x), np.int64), pos[x], pos[y]])
+
+    def run(batches):
+        held: list[np.ndarray] = []
+        kept: list[np.ndarray] = []
+        size = 0
+
+        def lists(rows: np.ndarray):
+            nonlocal kept, size
+            edges = np.flatnonzero(np.concatenate([[True], rows[0, 1:] != rows[0, :-1], [True]]))
+            for a, b in zip(edges[:-1], edges[1:]):
+                for part in of_list(rows[1, a], *rows[2:, a:b]):
+                    kept.append(part)
+                    size += part.shape[1]
+                    if size >= PRODUCTS:
+                        kept = [_added(kept)]
+                        yield batch(PRODUCT_ROWS, *kept[0])
+                        kept, size = [], 0
+
+        for rows in batches:
+            if not rows.num_rows:
+                continue
+            columns = [rows.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in names]
+            held.append(np.stack(columns))
+            if held[0][0, 0] == columns[0][-1]:
+                continue  # still the first list
+            whole = np.concatenate(held, axis=1)
+            last = len(whole[0]) - int((whole[0, ::-1] != whole[0, -1]).argmax())
+            yield from lists(whole[:, :last])
+            held = [whole[:, last:]]
+        if held:
+            yield from lists(np.concatenate(held, axis=1))
+        if kept:
+            yield batch(PRODUCT_ROWS, *_added(kept))
+
+    return run
+
+
 def _checked(rule: Rule):
     """Pairs whose whole sets link."""
 
@@ -325,6 +402,45 @@ def _links(texts: DataFrame, nodes: DataFrame, pairs: DataFrame, rule: Rule) ->
     return stored(joined.mapInArrow(_checked(rule), _ddl(LINK_ROWS)), "links")
 
 
+def _blocks(entries: DataFrame, rule: Rule) -> DataFrame:
+    """Products of lists, those of one main class together, so that a pair's products meet in
+    one task. A class with very many entries is spread over several blocks."""
+    large = entries.groupBy("main").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > BLOCK_ENTRIES)
+    spread = F.pmod(F.xxhash64("s"), F.ceil(F.col("rows") / BLOCK_ENTRIES))
+    dealt = entries.join(stored(large, "large"), "main", "left")
+    dealt = dealt.withColumn("block", F.coalesce(spread, F.lit(0)))
+    ordered = dealt.repartition("main", "block").sortWithinPartitions("s", "node")
+    return ordered.mapInArrow(_product(rule), _ddl(PRODUCT_ROWS))
+
+
+def _joined(entries: DataFrame, rule: Rule) -> DataFrame:
+    """The same products for lists too long for a block, by a join that AQE can split."""
+    columns = ("s", "node", "n", "pos", "root", "earlier")
+    left = entries.where("root <> main").select(*(F.col(c).alias(f"l_{c}") for c in columns))
+    right = entries.select(*(F.col(c).alias(f"r_{c}") for c in (*columns, "main")))
+    total = F.col("l_n").cast("long") + F.col("r_n")
+    need = F.ceil(total * rule.num / (rule.num + rule.den) - 1e-9)
+    reach = F.least("l_earlier", "r_earlier") + F.least(F.expr("l_n - l_pos"), F.expr("r_n - r_pos"))
+    met = left.join(right, F.col("l_s") == F.col("r_s")).where(
+        (F.col("l_root") != F.col("r_root"))
+        # two small classes meet twice: count them once
+        & ((F.col("r_root") == F.col("r_main")) | (F.col("l_node") < F.col("r_node")))
+        & (F.least("l_n", "r_n").cast("long") * rule.den >= F.greatest("l_n", "r_n").cast("long") * rule.num)
+        & (F.col("l_pos") <= F.col("l_n") - need)
+        & (F.col("r_pos") <= F.col("r_n") - need)
+        & (reach >= need)
+    )
+    swap = F.col("l_node") > F.col("r_node")
+
+    def ordered(column: str, first: str, second: str) -> list[Column]:
+        a, b = F.col(f"l_{column}").cast("long"), F.col(f"r_{column}").cast("long")
+        return [F.when(swap, b).otherwise(a).alias(first), F.when(swap, a).otherwise(b).alias(second)]
+
+    one = F.lit(1).cast("long").alias("c")
+    met = met.select(*ordered("node", "x", "y"), *ordered("n", "n", "m"), one, *ordered("pos", "px", "py"))
+    return met.groupBy("x", "y", "n", "m").agg(F.sum("c").alias("c"), F.max("px").alias("px"), F.max("py").alias("py"))
+
+
 def shingle_classes(
     docs: DataFrame,
     words: int = 4,
@@ -388,9 +504,13 @@ def shingle_classes(
     sizes = labelled.groupBy("s", "root").agg(F.count(F.lit(1)).alias("c"))
     mixed = (
         sizes.groupBy("s")
-        .agg(F.count(F.lit(1)).alias("classes"), F.max_by("root", F.struct("c", "root")).alias("main"))
+        .agg(
+            F.count(F.lit(1)).alias("classes"),
+            F.sum("c").alias("entries"),
+            F.max_by("root", F.struct("c", "root")).alias("main"),
+        )
         .where("classes > 1")
-        .select("s", "main")
+        .select("s", "main", "entries")
     )
     mixed = stored(mixed, "mixed").withColumn("k", F.xxhash64("s"))
     # Entries of a node before this one that other classes have too. The others before it are not in
@@ -400,28 +520,14 @@ def shingle_classes(
         labelled.withColumn("k", F.xxhash64("s")).join(mixed, ["s", "k"]).drop("k").withColumn("earlier", earlier),
         "open-lists",
     )
-    columns = ("s", "node", "n", "pos", "root", "earlier")
-    left = open_lists.where("root <> main").select(*(F.col(c).alias(f"l_{c}") for c in columns))
-    right = open_lists.select(*(F.col(c).alias(f"r_{c}") for c in (*columns, "main")))
-    # before, with and after this n-gram
-    reach = F.least("l_earlier", "r_earlier").cast("long") + F.least(F.expr("l_n - l_pos"), F.expr("r_n - r_pos"))
-    met = left.join(right, F.col("l_s") == F.col("r_s")).where(
-        (F.col("l_root") != F.col("r_root"))
-        # two small classes meet twice: count them once
-        & ((F.col("r_root") == F.col("r_main")) | (F.col("l_node") < F.col("r_node")))
-        & (F.least("l_n", "r_n").cast("long") * rule.den >= F.greatest("l_n", "r_n").cast("long") * rule.num)
-        & (reach * (rule.num + rule.den) >= (F.col("l_n").cast("long") + F.col("r_n")) * rule.num)
-    )
-    swap = F.col("l_node") > F.col("r_node")
-    met = met.select(
-        *(F.when(swap, F.col(f"r_{c}")).otherwise(F.col(f"l_{c}")).alias(a) for c, a in (("node", "x"), ("n", "n"), ("pos", "px"))),
-        *(F.when(swap, F.col(f"l_{c}")).otherwise(F.col(f"r_{c}")).alias(a) for c, a in (("node", "y"), ("n", "m"), ("pos", "py"))),
+    products = _blocks(open_lists.where(F.col("entries") <= BLOCK_ENTRIES), rule).unionByName(
+        _joined(open_lists.where(F.col("entries") > BLOCK_ENTRIES), rule)
     )
     still = F.col("c") + F.least(F.col("n") - 1 - F.col("px"), F.col("m") - 1 - F.col("py"))
     pairs = stored(
-        met.groupBy("x", "y", "n", "m")
-        .agg(F.count(F.lit(1)).alias("c"), F.max("px").alias("px"), F.max("py").alias("py"))
-        .where(still * (rule.num + rule.den) >= (F.col("n").cast("long") + F.col("m")) * rule.num)
+        products.groupBy("x", "y", "n", "m")
+        .agg(F.sum("c").alias("c"), F.max("px").alias("px"), F.max("py").alias("py"))
+        .where(still * (rule.num + rule.den) >= (F.col("n") + F.col("m")) * rule.num)
         .select("x", "n", "y", "m"),
         "pairs",
     )
@@ -461,8 +567,15 @@ def keep_first(
         "kept",
     )
     doc_id = docs[id_col].cast("bigint")
-    gone = ids.where("_kept = 0 or _rows > 1").select("_id")
+
+    def listed(rows: DataFrame) -> tuple[DataFrame, int]:
+        many = rows.count()  # of a stored table; up to the bound a broadcast saves moving all texts
+        return (F.broadcast(rows) if many <= BROADCAST_IDS else rows), many
+
+    gone, _ = listed(ids.where("_kept = 0 or _rows > 1").select("_id"))
     once = docs.join(gone, doc_id == gone["_id"], "left_anti")
-    again = ids.where("_kept = 1 and _rows > 1").select("_id")
-    repeated = docs.join(again, doc_id == again["_id"], "left_semi")
-    return once.unionByName(repeated.dropDuplicates([id_col, text_col]))
+    again, repeated = listed(ids.where("_kept = 1 and _rows > 1").select("_id"))
+    if not repeated:
+        return once
+    kept_once = docs.join(again, doc_id == again["_id"], "left_semi").dropDuplicates([id_col, text_col])
+    return once.unionByName(kept_once)

@@ -122,3 +122,15 @@ def test_components_of_a_chain_a_star_and_loops(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + k) for k in range(1, 30)] + [(7, 7), (1, 0), (200, 200)]
     got = dict(components(spark.createDataFrame(links, "x bigint, y bigint")).collect())
     assert got == {**{i: 0 for i in range(41)}, **{100 + k: 100 for k in range(30)}}
+
+
+@pytest.mark.parametrize(("entries", "products"), [(3, 1 << 20), (20_000, 7), (6, 5)])
+def test_blocks_and_joined_lists_agree(spark, corpus, monkeypatch, entries, products):
+    """Long lists are joined, others multiplied in blocks: any border gives the same classes."""
+    import snapharbor.llm.jaccard as module
+
+    monkeypatch.setattr(module, "BLOCK_ENTRIES", entries)
+    monkeypatch.setattr(module, "PRODUCTS", products)
+    rows = corpus[:77] + corpus[-20:]
+    got = collected(shingle_classes(documents(spark, rows)))
+    assert got == sorted(brute(rows), key=str)
