@@ -481,6 +481,9 @@ def _sql() -> dict[str, str]:
         WHERE (SELECT count(*) FROM veh) <> (SELECT count(*) FROM snap)"""
     o["dq_mart_recompute_diff"] = """SELECT *, '' AS side, CAST(0 AS BIGINT) AS copies
         FROM met WHERE vehicle_count < 0"""
+    o["dq_mart_recompute_drift"] = """SELECT *, 'expected' AS side, CAST(1 AS BIGINT) AS copies
+            FROM met WHERE brand = 'NATION_1'
+        UNION ALL SELECT *, 'actual', 1 FROM met WHERE brand = 'NATION_2'"""
     o["dq_no_plaintext_columns"] = """SELECT 'raw_fuels' AS relation,
         'kenteken' AS column_name, count(*) AS rows FROM rawf"""
     o["dq_nonnegative_measures"] = """

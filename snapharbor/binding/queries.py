@@ -472,6 +472,15 @@ def dq_mart_recompute_diff(b):
     return quality.multiset_diff(m.star_metrics(models), models["mart_ev_metrics"])
 
 
+@query
+def dq_mart_recompute_drift(b):
+    """A metrics mart that has lost the groups of one brand and holds those of another twice."""
+    mart = b.metrics()
+    brand = F.coalesce("brand", F.lit(""))
+    drifted = mart.where(brand != "NATION_1").unionByName(mart.where(brand == "NATION_2"))
+    return quality.multiset_diff(mart, drifted)
+
+
 @query
 def dq_no_plaintext_columns(b):
     """Rows exposed under a banned column name, raw input against staging."""
