@@ -41,9 +41,13 @@ def unescape_role(role: Column) -> Column:
     return unescape_text(F.replace(role, F.lit("%25"), F.lit("%")))
 
 
-def _pointers(nodes: DataFrame) -> list[DataFrame]:
-    """(row, up, n, total) per power of two: the ancestor that many replies up, or null past
-    the root, and the messages and total score before it."""
+def _pointers(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """(row, up) per power of two: the ancestor that many replies up, where there is one; and
+    (row, n, total): messages and total score from the root, for all rows that have a root.
+
+    A row is joined only as long as its pointer has not passed its root, so the joins
+    hold a row per message and, beyond that, only what long paths need.
+    """
     start = nodes.select("row", "tree", "id", "parent", "score")
     above = nodes.select(F.col("row").alias("up"), F.col("tree").alias("up_tree"), F.col("id").alias("up_id"))
     linked = start.join(
@@ -53,23 +57,25 @@ def _pointers(nodes: DataFrame) -> list[DataFrame]:
         & (F.col("parent") != F.col("id")),
         "left",
     )
-    first = linked.select("row", "up", F.lit(1).cast("bigint").alias("n"), F.col("score").alias("total"))
-    jumps = [stored(first, "pointers")]
+    state = linked.select("row", "up", F.lit(1).cast("bigint").alias("n"), F.col("score").alias("total"))
+    state = stored(state, "pointers")
     largest = nodes.groupBy("tree").count().agg(F.max("count")).first()[0] or 0
+    jumps: list[DataFrame] = []
     # Past the largest tree's size only replies in a circle still point somewhere.
-    while (1 << (len(jumps) - 1)) < largest and not jumps[-1].where("up is not null").isEmpty():
-        last = jumps[-1]
-        more = last.select(
+    while (1 << len(jumps)) <= 2 * largest and not state.where("up is not null").isEmpty():
+        live = state.where("up is not null")
+        jumps.append(live.select("row", "up"))
+        more = state.select(
             F.col("row").alias("up"), F.col("up").alias("next"), F.col("n").alias("n2"), F.col("total").alias("t2")
         )
-        doubled = last.join(more, "up", "left").select(
+        doubled = live.join(more, "up").select(
             "row",
             F.col("next").alias("up"),
-            (F.col("n") + F.coalesce("n2", F.lit(0))).alias("n"),
-            (F.col("total") + F.coalesce("t2", F.lit(0.0))).alias("total"),
+            (F.col("n") + F.col("n2")).alias("n"),
+            (F.col("total") + F.col("t2")).alias("total"),
         )
-        jumps.append(stored(doubled, "pointers"))
-    return jumps
+        state = stored(state.where("up is null").unionByName(doubled), "pointers")
+    return jumps, state.where("up is null").select("row", "n", "total")
 
 
 def paths(messages: DataFrame, branches: int | None = 1) -> DataFrame:
@@ -88,11 +94,11 @@ def paths(messages: DataFrame, branches: int | None = 1) -> DataFrame:
     )
     one = numbered.withColumn("copy", F.row_number().over(rank)).where("copy = 1 or id is null").drop("copy")
     nodes = stored(one.withColumn("row", F.monotonically_increasing_id()), "messages")
-    jumps = _pointers(nodes)
-    parents = jumps[0].where("up is not null").select(F.col("up").alias("row")).distinct()
-    leaves = (
-        jumps[-1].where("up is null").join(parents, "row", "left_anti").join(nodes.select("row", "tree", "id"), "row")
-    )
+    jumps, rooted = _pointers(nodes)
+    leaves = rooted.join(nodes.select("row", "tree", "id"), "row")
+    if jumps:
+        parents = jumps[0].select(F.col("up").alias("row")).distinct()
+        leaves = leaves.join(parents, "row", "left_anti")
     best = Window.partitionBy("tree").orderBy(F.desc("path_score"), "id", "row")
     ranked = leaves.withColumn("path_score", F.col("total") / F.col("n")).withColumn("rank", F.row_number().over(best))
     if branches is not None:
@@ -100,7 +106,7 @@ def paths(messages: DataFrame, branches: int | None = 1) -> DataFrame:
     chosen = stored(ranked.select(F.col("row").alias("path"), "tree", "rank", "path_score", "n"), "paths")
     on_path = chosen.select("path", F.col("path").alias("row"), F.lit(0).cast("bigint").alias("up_by"))
     for k in reversed(range(len(jumps))):
-        far = on_path.join(jumps[k].where("up is not null").select("row", "up"), "row")
+        far = on_path.join(jumps[k], "row")
         far = far.select("path", F.col("up").alias("row"), (F.col("up_by") + (1 << k)).alias("up_by"))
         on_path = stored(on_path.unionByName(far), "on-path")
     return (
