@@ -36,7 +36,7 @@ class Settings:
     beta: float = 1.0
     l1: float = 4.0
     l2: float = 0.0
-    passes: int = 15
+    passes: int = 8
 
 
 def features(found: Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
