@@ -183,16 +183,16 @@ class StarBinding:
     # --- models ------------------------------------------------------------------
 
     def stg_vehicles(self, attributes: bool = True) -> DataFrame:
-        return m.stg_vehicles(self.vehicles(attributes)) if attributes else self.vehicles(False)
+        return m.stg_vehicles(self.vehicles(attributes))
 
     def stg_fuels(self, lineage: bool = True) -> DataFrame:
-        return m.stg_fuels(self.fuels()) if lineage else self.fuels(False)
+        return m.stg_fuels(self.fuels(lineage))
 
     def stg_runs(self) -> DataFrame:
         return m.stg_ingestion_runs(self.runs())
 
     def profile(self) -> DataFrame:
-        return m.type_profile(self.fuels(lineage=False), SPEC)
+        return m.type_profile(self.stg_fuels(lineage=False), SPEC)
 
     def wide(self, attributes: bool = True, started: bool = True) -> DataFrame:
         """Vehicle snapshots, with their run start if wanted."""
