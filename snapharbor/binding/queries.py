@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapharbor.binding.star import SALT, SPEC, StarBinding, fuel_name, run_of
+from snapharbor.binding.star import KEY, SALT, SPEC, StarBinding, fuel_name, run_of
 from snapharbor.functions import keys, text
 from snapharbor.functions.calendar import calendar_parts
 from snapharbor.operators import gates, joins, matching, paging, payloads, quality, scans
@@ -167,7 +167,6 @@ def _over(b, name, **kwargs):
 
 def _fuel(b, name):
     """Fuel measures by an overview column, with filters on both tables."""
-    b.share_lines()
     over = b.overview(False, False)
     return ms.measure(
         over,
@@ -239,7 +238,6 @@ def m_snapshot_started(b):
 
 @query
 def rel_filter(b):
-    b.share_lines()
     over = ms.slicer(b.overview(False, False), {"powertrain_category": ["Hybrid electric"]})
     kept = ms.rel_filter(b.fuel_fact(), over)
     return kept.select("vehicle_snapshot_key", "vehicle_key", "fuel_sequence", "fuel_type")
@@ -333,12 +331,12 @@ def star_metrics(b):
 
 @query
 def stg_vehicles(b):
-    return b.stg_vehicles()
+    return b.stg_vehicles().drop(KEY)
 
 
 @query
 def stg_fuels(b):
-    return b.stg_fuels()
+    return b.stg_fuels().drop(KEY)
 
 
 @query

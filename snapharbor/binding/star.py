@@ -22,6 +22,8 @@ from snapharbor.spec import PUBLISHED_RELATIONS, VEHICLE_SPEC
 
 SALT = "fixture-salt"
 SPEC = replace(VEHICLE_SPEC, salt=SALT)
+# Orders and line items are joined by the order key; vehicles leave by its hash.
+KEY = "order_key"
 
 
 def run_of(ts: Column) -> Column:
@@ -69,13 +71,15 @@ class StarBinding:
             customers, F.col("o_custkey") == F.col("c_custkey"), "left"
         ).join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left")
 
-    def vehicles(self, attributes: bool = True) -> DataFrame:
-        """Staged vehicles; without ``attributes`` the customer join is left out."""
+    def vehicles(self, attributes: bool = True, keyed: bool = False) -> DataFrame:
+        """Staged vehicles; without ``attributes`` the customer join is left out, and
+        ``keyed`` rows still have the short key beside its hash."""
         orders = self.orders(attributes)
         named = [F.col("n_name").alias("brand"), F.col("c_mktsegment").alias("model")]
         day = F.to_date("o_orderdate")
         return orders.select(
             hashed("o_orderkey"),
+            *([F.col("o_orderkey").alias(KEY)] if keyed else []),
             *(named if attributes else []),
             day.alias("registration_date"),
             F.year(day).alias("registration_year"),
@@ -109,7 +113,7 @@ class StarBinding:
             measures = ["l_quantity", "l_discount", "l_tax"]
             self._lines = materialize(self.lines().select(*columns, *measures), "lines")
 
-    def fuels(self, lineage: bool = True) -> DataFrame:
+    def fuels(self, lineage: bool = True, keyed: bool = False) -> DataFrame:
         """Staged fuels; without ``lineage`` the join that finds the run is left out."""
         lines = self.lines() if self._lines is None else self._lines
         if lineage:
@@ -121,6 +125,7 @@ class StarBinding:
         quantity = F.col("l_quantity")
         return lines.select(
             hashed("l_orderkey"),
+            *([F.col("l_orderkey").alias(KEY)] if keyed else []),
             F.col("l_linenumber").alias("fuel_sequence"),
             fuel_name().alias("fuel_type"),
             F.when(F.col("l_linestatus") == "F", "Euro 6").alias("emission_code"),
@@ -182,22 +187,29 @@ class StarBinding:
 
     # --- models ------------------------------------------------------------------
 
+    # The typed views of keyed rows: joins and groups go by the short key, and the
+    # hash is taken only where it is part of the result.
+
     def stg_vehicles(self, attributes: bool = True) -> DataFrame:
-        return m.stg_vehicles(self.vehicles(attributes))
+        return m.stg_vehicles(self.vehicles(attributes, keyed=True))
 
     def stg_fuels(self, lineage: bool = True) -> DataFrame:
-        return m.stg_fuels(self.fuels(lineage))
+        return m.stg_fuels(self.fuels(lineage, keyed=True))
 
     def stg_runs(self) -> DataFrame:
         return m.stg_ingestion_runs(self.runs())
 
+    def keyed_profile(self) -> DataFrame:
+        return m.type_profile(self.stg_fuels(lineage=False), SPEC, KEY)
+
     def profile(self) -> DataFrame:
-        return m.type_profile(self.stg_fuels(lineage=False), SPEC)
+        found = self.keyed_profile()
+        return found.select(hashed(KEY), *[c for c in found.columns if c != KEY])
 
     def wide(self, attributes: bool = True, started: bool = True) -> DataFrame:
         """Vehicle snapshots, with their run start if wanted."""
         runs = self.stg_runs() if started else None
-        return m.wide_snapshot(self.stg_vehicles(attributes), self.profile(), runs)
+        return m.wide_snapshot(self.stg_vehicles(attributes), self.keyed_profile(), runs, KEY)
 
     def overview(self, attributes: bool = True, started: bool = True) -> DataFrame:
         """Overview mart, narrower by the columns that are left out."""
@@ -207,15 +219,12 @@ class StarBinding:
         return m.fact_vehicle_snapshot(self.wide(), SPEC)
 
     def fuel_fact(self) -> DataFrame:
-        self.share_lines()
-        parents = m.fact_parents(self.wide(attributes=False, started=False), SPEC)
-        return m.fact_vehicle_fuel(m.fuel_parents(self.stg_fuels(), parents), SPEC)
+        wide = self.wide(attributes=False, started=False)
+        return m.fact_vehicle_fuel(m.wide_fuels(self.stg_fuels(), wide, SPEC, KEY), SPEC)
 
     def metrics(self) -> DataFrame:
-        self.share_lines()
-        return m.mart_ev_metrics(
-            m.wide_fuels(self.stg_fuels(), self.wide(started=False), SPEC)
-        )
+        rows = m.wide_fuels(self.stg_fuels(), self.wide(started=False), SPEC, KEY)
+        return m.mart_ev_metrics(rows, KEY)
 
     def snapshot_staging(self) -> dict[str, DataFrame]:
         """Staging as a snapshot holds it: only vehicles with a wanted fuel."""

@@ -102,13 +102,14 @@ def powertrain_category(spec: SnapshotSpec) -> Column:
     )
 
 
-def type_profile(fuels: DataFrame, spec: SnapshotSpec) -> DataFrame:
+def type_profile(fuels: DataFrame, spec: SnapshotSpec, key: str = "vehicle_id_hash") -> DataFrame:
     """One row per vehicle with an electric or hydrogen fuel.
 
-    Three flags and a count, all combined before the shuffle.
+    Three flags and a count, all combined before the shuffle. ``key`` is what vehicles are
+    known by: where rows still have a short key, grouping by it is cheaper than by its hash.
     """
     kind = F.lower("fuel_type")
-    profile = fuels.groupBy("vehicle_id_hash").agg(
+    profile = fuels.groupBy(key).agg(
         F.count(F.lit(1)).alias("fuel_record_count"),
         F.bool_or(kind == spec.electric).alias("has_electric"),
         F.bool_or(kind == spec.hydrogen).alias("has_hydrogen"),
@@ -224,7 +225,10 @@ def dim_powertrain(profile: DataFrame, spec: SnapshotSpec) -> DataFrame:
 
 
 def wide_snapshot(
-    vehicles: DataFrame, profile: DataFrame, runs: DataFrame | None
+    vehicles: DataFrame,
+    profile: DataFrame,
+    runs: DataFrame | None,
+    key: str = "vehicle_id_hash",
 ) -> DataFrame:
     """One row per classified vehicle with attributes, profile and run start.
 
@@ -232,7 +236,7 @@ def wide_snapshot(
     partitioned; both sides hold one row per vehicle. The run start is looked up, so vehicles do not move to their run
     (which may be the same one for all of them). Without ``runs`` there is no start.
     """
-    rows = vehicles.join(profile, "vehicle_id_hash")
+    rows = vehicles.join(profile, key)
     if runs is not None:
         started = run_context(runs).select("ingestion_id", "snapshot_started_at")
         rows = lookup_join(rows, started, "ingestion_id", "left")
@@ -314,24 +318,23 @@ def mart_ev_overview(wide: DataFrame, spec: SnapshotSpec) -> DataFrame:
     return _cut(wide, [c for c in OVERVIEW_COLUMNS if c in available], spec)
 
 
-def wide_fuels(fuels: DataFrame, wide: DataFrame, spec: SnapshotSpec) -> DataFrame:
+def wide_fuels(
+    fuels: DataFrame, wide: DataFrame, spec: SnapshotSpec, key: str = "vehicle_id_hash"
+) -> DataFrame:
     """Fuel rows with the key and the metric attributes of their vehicle snapshot."""
     names = ["brand", "model", "registration_year", "powertrain_category"]
-    parents = _cut(
-        wide, ["vehicle_key", "snapshot_ingestion_id", "vehicle_snapshot_key", *names], spec
-    ).withColumnsRenamed(
-        {"vehicle_key": "vehicle_id_hash", "snapshot_ingestion_id": "ingestion_id"}
-    )
-    return fuels.join(parents, ["vehicle_id_hash", "ingestion_id"])
+    names = [n for n in names if n in wide.columns or n in _snapshot_columns(spec)]
+    parents = _cut(wide, [key, "ingestion_id", "vehicle_snapshot_key", *names], spec)
+    return fuels.join(parents, [key, "ingestion_id"])
 
 
-def mart_ev_metrics(fuel_rows: DataFrame) -> DataFrame:
+def mart_ev_metrics(fuel_rows: DataFrame, key: str = "vehicle_id_hash") -> DataFrame:
     """Distinct vehicles and mean reported measures per metric key.
 
     The distinct count reduces to (keys, vehicle) where rows are read; a group that
     holds many of the rows is therefore counted by many tasks.
     """
-    return aggregate_metrics(fuel_rows, "vehicle_id_hash")
+    return aggregate_metrics(fuel_rows, key)
 
 
 def aggregate_metrics(rows: DataFrame, vehicle: str) -> DataFrame:
