@@ -167,6 +167,7 @@ def _over(b, name, **kwargs):
 
 def _fuel(b, name):
     """Fuel measures by an overview column, with filters on both tables."""
+    b.share_lines()
     over = b.overview(False, False)
     return ms.measure(
         over,
@@ -238,6 +239,7 @@ def m_snapshot_started(b):
 
 @query
 def rel_filter(b):
+    b.share_lines()
     over = ms.slicer(b.overview(False, False), {"powertrain_category": ["Hybrid electric"]})
     kept = ms.rel_filter(b.fuel_fact(), over)
     return kept.select("vehicle_snapshot_key", "vehicle_key", "fuel_sequence", "fuel_type")

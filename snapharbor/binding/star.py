@@ -219,10 +219,12 @@ class StarBinding:
         return m.fact_vehicle_snapshot(self.wide(), SPEC)
 
     def fuel_fact(self) -> DataFrame:
+        self.share_lines()
         wide = self.wide(attributes=False, started=False)
         return m.fact_vehicle_fuel(m.wide_fuels(self.stg_fuels(), wide, SPEC, KEY), SPEC)
 
     def metrics(self) -> DataFrame:
+        self.share_lines()
         rows = m.wide_fuels(self.stg_fuels(), self.wide(started=False), SPEC, KEY)
         return m.mart_ev_metrics(rows, KEY)
 
