@@ -298,22 +298,36 @@ def _product(rule: Rule):
     different classes that can link: the smaller classes of a list against all of it."""
     names = ("s", "main", "node", "n", "pos", "root", "earlier")
 
-    def of_list(main, node, n, pos, root, earlier) -> Iterator[np.ndarray]:
+    def able(rows: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Product columns of the entry pairs (i, j) whose documents can link."""
+        _, _, node, n, pos, root, earlier = rows
+        need = -(-rule.num * (n[i] + n[j]) // (rule.num + rule.den))  # overlap that these sizes ask for
+        ok = root[i] != root[j]
+        ok &= np.minimum(n[i], n[j]) * rule.den >= np.maximum(n[i], n[j]) * rule.num
+        ok &= (pos[i] <= n[i] - need) & (pos[j] <= n[j] - need)
+        ok &= np.minimum(earlier[i], earlier[j]) + np.minimum((n - pos)[i], (n - pos)[j]) >= need
+        i, j = i[ok], j[ok]
+        swap = node[i] > node[j]
+        x, y = np.where(swap, j, i), np.where(swap, i, j)
+        return np.stack([node[x], node[y], n[x], n[y], np.ones(len(x), np.int64), pos[x], pos[y]])
+
+    def of_list(rows: np.ndarray) -> Iterator[np.ndarray]:
+        _, main, node, _, _, root, _ = rows
         few = np.flatnonzero(root != main)
         step = max(1, PRODUCTS // len(node))
         for at in range(0, len(few), step):
-            left = few[at : at + step][:, None]
-            total = n[left] + n
-            need = -(-rule.num * total // (rule.num + rule.den))  # overlap that these sizes ask for
-            ok = (root[left] != root) & ((root == main) | (node[left] < node))
-            ok &= np.minimum(n[left], n) * rule.den >= np.maximum(n[left], n) * rule.num
-            ok &= (pos[left] <= n[left] - need) & (pos <= n - need)
-            ok &= np.minimum(earlier[left], earlier) + np.minimum((n - pos)[left], n - pos) >= need
-            a, b = np.nonzero(ok)
-            a = left[a, 0]
-            swap = node[a] > node[b]
-            x, y = np.where(swap, b, a), np.where(swap, a, b)
-            yield np.stack([node[x], node[y], n[x], n[y], np.ones(len(x), np.int64), pos[x], pos[y]])
+            i = np.repeat(few[at : at + step], len(node))
+            j = np.tile(np.arange(len(node)), len(i) // len(node))
+            once = (root[j] == main[0]) | (node[i] < node[j])
+            yield able(rows, i[once], j[once])
+
+    def of_lists(rows: np.ndarray) -> Iterator[np.ndarray]:
+        edges = np.flatnonzero(np.concatenate([[True], rows[0, 1:] != rows[0, :-1], [True]]))
+        sizes = np.diff(edges)
+        pairs = edges[:-1][sizes == 2]  # most lists
+        yield able(rows, pairs, pairs + 1)
+        for a, size in zip(edges[:-1][sizes > 2], sizes[sizes > 2]):
+            yield from of_list(rows[:, a : a + size])
 
     def run(batches):
         held: list[np.ndarray] = []
@@ -322,15 +336,13 @@ def _product(rule: Rule):
 
         def lists(rows: np.ndarray):
             nonlocal kept, size
-            edges = np.flatnonzero(np.concatenate([[True], rows[0, 1:] != rows[0, :-1], [True]]))
-            for a, b in zip(edges[:-1], edges[1:]):
-                for part in of_list(rows[1, a], *rows[2:, a:b]):
+            for part in of_lists(rows):
+                if part.shape[1]:
                     kept.append(part)
                     size += part.shape[1]
-                    if size >= PRODUCTS:
-                        kept = [_added(kept)]
-                        yield batch(PRODUCT_ROWS, *kept[0])
-                        kept, size = [], 0
+                if size >= PRODUCTS:
+                    yield batch(PRODUCT_ROWS, *_added(kept))
+                    kept, size = [], 0
 
         for rows in batches:
             if not rows.num_rows:
