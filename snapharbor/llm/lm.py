@@ -9,7 +9,7 @@ every task as a bounded list, all others are joined by hash.
 
 Training is data-parallel: in each round every task goes over its own documents of that round from
 the common parameters, and the average of the results, weighted by tokens, is the next
-common model.
+common model. The rounds together go over every training document.
 """
 
 from __future__ import annotations
@@ -49,15 +49,19 @@ SCORED_DDL = (
 @dataclass(frozen=True)
 class Settings:
     """``known`` words of their own, ``hidden`` units, and rounds of training: round r learns
-    from the training documents whose hash falls into part r of ``parts``."""
+    from part r modulo ``parts`` of the training rows. The rounds go over all parts equally often."""
 
     known: int = 2048
     hidden: int = 16
     rounds: int = 3
-    parts: int = 16
+    parts: int = 3
     rate: float = 0.2
     group: int = 64
 
+    def __post_init__(self):
+        if self.parts < 1 or self.rounds < 1 or self.rounds % self.parts:
+            raise ValueError("rounds must be a multiple of parts, or training rows are left out")
+
 
 class Finder:
     """Position of 64-bit keys in a sorted list, or -1."""
@@ -181,15 +185,20 @@ def _sum_blocks(batches):
         yield batch(PARAMETERS, keys, [total[k][0] for k in keys], [total[k][1].tobytes() for k in keys])
 
 
+def rows_of_round(texts: DataFrame, how: Settings, round_: int) -> DataFrame:
+    """The training rows of one round. Copies of a text under other ids fall into other parts."""
+    part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(how.parts))
+    return texts.where(part == round_ % how.parts).select("text")
+
+
 def train(texts: DataFrame, lex: Lexicon, how: Settings) -> np.ndarray:
     """Parameters after all rounds. What comes to the driver is one model per round."""
     spark = texts.sparkSession
     flat = gru.fresh(lex.token_counts, how.hidden).flat()
     ddl = "block int, weight double, value binary"
-    part = F.pmod(F.xxhash64("text"), F.lit(how.parts))
     for round_ in range(how.rounds):
         shared = shipped(spark, (lex, flat))
-        learnt = texts.where(part == round_ % how.parts).select("text").mapInArrow(_learn(shared, how, round_), ddl)
+        learnt = rows_of_round(texts, how, round_).mapInArrow(_learn(shared, how, round_), ddl)
         summed = learnt.repartition("block").mapInArrow(_sum_blocks, ddl).collect()
         if summed:
             summed.sort(key=lambda r: r["block"])

@@ -112,6 +112,24 @@ def test_gradients():
             assert abs((up - down) / 2e-5 - grad[at]) < 1e-3 * max(1, abs(grad[at]))
 
 
+def test_rounds_go_over_every_training_row(spark, monkeypatch):
+    """Also a hot group of equal texts, which is spread over the rounds."""
+    rows = [(k, "hot text" if k % 3 else f"own words {k}") for k in range(300)] + [(None, "hot text"), (1, "hot text")]
+    seen, of_round = [], lm.rows_of_round
+
+    def noted(*args):
+        part = of_round(*args)
+        seen.append([r.text for r in part.collect()])
+        return part
+
+    monkeypatch.setattr(lm, "rows_of_round", noted)
+    score_documents(documents(spark, rows), Settings(known=128, hidden=4)).collect()
+    assert Counter(t for part in seen for t in part) == Counter(t for i, t in rows if not held(i))
+    assert sum("hot text" in part for part in seen) == len(seen) == Settings().rounds
+    with pytest.raises(ValueError):
+        Settings(rounds=3, parts=16)
+
+
 def test_finder():
     keys = np.unique(np.random.default_rng(0).integers(0, 1 << 63, 500, dtype=np.uint64) << np.uint64(1))
     finder = lm.Finder(keys)
