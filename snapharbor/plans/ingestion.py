@@ -23,7 +23,15 @@ from snapharbor.operators.upsert import require_rows
 from snapharbor.plans.workflow import SnapshotResult, transform_only
 from snapharbor.session import configure, materialize
 from snapharbor.sources.publication import current_set, publish_set, scan_published
-from snapharbor.sources.raw import land_raw_pages, missing_pages, raw_integrity_scan, read_manifest
+from snapharbor.sources.raw import (
+    explode_pages,
+    land_raw_pages,
+    missing_pages,
+    raw_integrity_scan,
+    read_manifest,
+    stored_payloads,
+    with_payload,
+)
 from snapharbor.spec import INGESTION_RUNS, SnapshotSpec
 from snapharbor.streaming.ingest import settle, settled_counters, stream_page_ingest
 
@@ -156,6 +164,7 @@ def ingest_run(spark: SparkSession, folders: Folders, spec: SnapshotSpec, run: s
     lost = missing_pages(raw_integrity_scan(spark, folders.raw), manifest.select("payload_sha256"))
     if not lost.isEmpty():
         raise DataQualityError("raw storage has lost or damaged payloads of this run")
+    check_order(anchor_pages(spark, folders, spec, run), spec.raw_id)
     stream_page_ingest(spark, folders.raw, folders.log(run), spec, run).awaitTermination()
     settled = settle(spark, folders.log(run))
     require_rows(settled["vehicles"], "the run holds no complete vehicle")
@@ -176,6 +185,19 @@ def ingest_run(spark: SparkSession, folders: Folders, spec: SnapshotSpec, run: s
     }
 
 
+def anchor_pages(spark: SparkSession, folders: Folders, spec: SnapshotSpec, run: str) -> DataFrame:
+    """(page, pos, id) of the run's anchor pages; of a page that arrived again, its last arrival.
+
+    The chunks of a page follow one another, so they are one sequence of positions.
+    """
+    named = read_manifest(spark, folders.raw, run).where(F.col("dataset") == "anchors")
+    last = named.groupBy("page").agg(F.max("arrival").alias("arrival"))
+    named = named.join(last, ["page", "arrival"], "left_semi")
+    pages = with_payload(named, stored_payloads(spark, folders.raw)).select("page", "chunk", "payload")
+    rows = explode_pages(pages, "payload", [spec.raw_id])
+    return rows.withColumn("pos", F.shiftleft("chunk", 32) + F.col("pos")).drop("chunk")
+
+
 def check_order(anchors: DataFrame, id_col: str) -> None:
     """Refuse anchor pages (page, pos, id) that break the keyset order."""
     if not page_order_guard(anchors, id_col).isEmpty():

@@ -392,6 +392,22 @@ def test_damaged_storage_stops_the_job(spark, raw, spec, tmp_path):
         ingestion.snapshot_job(spark, broken, root, spec, "run-1")
 
 
+def test_anchor_pages_out_of_order_stop_the_job(spark, raw, spec, tmp_path):
+    root, folders = str(tmp_path / "warehouse"), ingestion.Folders(str(tmp_path / "warehouse"))
+    good = page_payloads(raw, spec)
+    ingestion.snapshot_job(spark, good, root, spec, "run-1")
+    before = publication.current_set(spark, folders.published)
+    swapped = good.withColumn("page", F.when(F.col("dataset") == "anchors", 1 - F.col("page")).otherwise(F.col("page")))
+    first = good.where("dataset = 'anchors' and page = 0")
+    repeated = good.unionByName(first.withColumn("page", F.col("page") + 2))
+    for run, broken in (("run-2", swapped), ("run-3", repeated)):
+        with pytest.raises(DataQualityError, match="out of order"):
+            ingestion.snapshot_job(spark, broken, root, spec, run)
+        row = ingestion.read_runs(spark, folders).where(F.col("ingestion_id") == run).first()
+        assert row["status"] == "failed" and "out of order" in row["error_message"]
+        assert publication.current_set(spark, folders.published) == before
+
+
 def test_entry_matches_the_known_mix(spark):
     import __spark_entry__ as entry
 
