@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from snapharbor.llm.shared import batch, prepare, stored
 
 MOST_ATTEMPTS = 200
+# Draws that keep the format; later ones widen it, each further than the one before.
+KEPT_ATTEMPTS = 8
 
 MENTIONS = pa.schema([("text_key", pa.string()), ("kind", pa.string()), ("form", pa.string())])
 DRAWN = pa.schema([("kind", pa.string()), ("form", pa.string()), ("attempt", pa.int32()), ("stand_in", pa.string())])
@@ -42,7 +44,7 @@ TITLES = {
 _NAME = r"[A-ZÀ-ÖØ-ÞΑ-ΫΆΈΉΊΌΎΏА-ЯЁ][\w'’-]*"
 PATTERN = re.compile(
     r"(?P<email>[A-Za-z0-9_%+][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})"
-    r"|(?P<assigned>(?i:pass(?:word|wd)?|pwd|secret|token|api[_-]?key|access[_-]?key)[\"']?\s*[=:]\s*[\"']?)(?P<secret>[^\s\"',;]{6,})"
+    r"|(?P<assigned>(?i:pass(?:word|wd)?|pwd|secret|token|api[_-]?key|access[_-]?key)[\"']?\s*[=:]\s*[\"']?)(?P<secret>(?=[^\s\"',;]*[^\W_])[^\s\"',;]{6,})"
     r"|(?<![A-Za-z0-9])(?P<cloud>(?:AKIA|ASIA)[A-Z0-9]{16}|gh[opsu]_[A-Za-z0-9]{20,}|sk-[A-Za-z0-9_-]{16,})(?![A-Za-z0-9])"
     r"|(?<![A-Za-z0-9])(?P<iban>[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])"
     r"|(?<![\w:])(?P<ipv6>(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4})(?![\w:])"
@@ -60,6 +62,7 @@ HINT = (
 )
 _CLOUD = re.compile(r"(?:AKIA|ASIA)[A-Z0-9]{16}|gh[opsu]_[A-Za-z0-9]{20,}|sk-[A-Za-z0-9_-]{16,}")
 
+_DIGITS, _HEX, _LETTERS = "0123456789", "0123456789abcdef", "abcdefghijklmnopqrstuvwxyz"
 _VOWELS = {"l": "aeiou", "c": "аеиоу", "g": "αεηιο"}
 _CONSONANTS = {"l": "bdfgklmnprstv", "c": "бвдгклмнпрст", "g": "βγδκλμνπρστ"}
 # Endings by kind of name, gender and script.
@@ -128,40 +131,59 @@ def _iban_check(country: str, rest: str) -> str:
 
 
 def stand_in(key: bytes, kind: str, form: str, attempt: int) -> str:
-    """The canonical form of the ``attempt``-th stand-in."""
+    """The canonical form of the ``attempt``-th stand-in.
+
+    From ``KEPT_ATTEMPTS`` on it is longer by a character or digit per attempt, an IPv4 address leaves
+    its private range, and IPv6 and hardware addresses use all hex digits: no format is ever full.
+    """
     draw = Draw(key, kind, form, attempt)
+    wider = max(0, attempt - KEPT_ATTEMPTS + 1)
+
+    def more(letters: str) -> str:
+        return "".join(draw.of(letters) for _ in range(wider))
+
     if kind == "email":
         local, _, domain = form.partition("@")
         labels = domain.split(".")
         # one domain has one stand-in, whoever writes from it
         inside = like(".".join(labels[:-1]), Draw(key, "domain", domain))
-        return f"{like(local, draw)}@{inside}.{labels[-1]}"
+        return f"{like(local, draw)}{more(_LETTERS)}@{inside}.{labels[-1]}"
     if kind == "card":
         digits = draw.of("123456789") + like(form[1:], draw)
         return next(d for c in "0123456789" if luhn(d := digits[:-1] + c)) if luhn(form) else digits
     if kind == "iban":
-        rest = like(form[4:], draw)
+        rest = like(form[4:], draw) + more(_DIGITS)
         return form[:2] + _iban_check(form[:2], rest) + rest
     if kind == "ipv4":
+        if wider > 2 * KEPT_ATTEMPTS:  # a unique local IPv6 address
+            return "fd" + ":".join("".join(draw.of(_HEX) for _ in range(n)) for n in (2, *[4] * 7))
         octets = [int(x) for x in form.split(".")]
         private = octets[0] in (10, 127) or octets[:2] == [192, 168] or octets[0] == 172 and 16 <= octets[1] < 32
         fixed = 0 if not private else 1 if octets[0] in (10, 127) else 2
+        if wider:
+            octets, fixed = [10] * 4, int(wider <= KEPT_ATTEMPTS)
         public = [n for n in range(11, 224) if n not in (127, 172, 192)]
         drawn = [public[draw.below(len(public))], *(draw.below(256) for _ in range(2)), 1 + draw.below(254)]
         return ".".join(map(str, octets[:fixed] + drawn[fixed:]))
     if kind == "ssn":
-        return f"{100 + draw.below(500)}{1 + draw.below(99):02d}{1 + draw.below(9999):04d}"
+        return f"{100 + draw.below(500)}{1 + draw.below(99):02d}{1 + draw.below(9999):04d}{more(_DIGITS)}"
     if kind == "phone":
-        return draw.of("23456789") + like(form[1:], draw)
+        return draw.of("23456789") + like(form[1:], draw) + more(_DIGITS)
     if kind == "cloud":
         head = re.match(r"AKIA|ASIA|gh._|sk-", form).group()
-        return head + like(form[len(head) :], draw)
+        return head + like(form[len(head) :], draw) + more(_LETTERS.upper() if head in ("AKIA", "ASIA") else _LETTERS)
     if kind.startswith(("given", "family")):
         part, gender, script = kind.split("_")
         pairs = 1 + draw.below(2) + attempt // 8  # longer names when short ones run out
         body = "".join(draw.of(_CONSONANTS[script]) + draw.of(_VOWELS[script]) for _ in range(pairs))
         return body + draw.of(_CONSONANTS[script]) + _ENDINGS[part, gender][script]
-    return like(form, draw)  # secrets, hashes, hardware and IPv6 addresses
+    if kind in ("ipv6", "mac"):
+        if wider:
+            size, many = (4, 8) if kind == "ipv6" else (2, 6)
+            return ("-" if "-" in form else ":").join("".join(draw.of(_HEX) for _ in range(size)) for _ in range(many))
+        return like(form, draw)
+    # secrets and hashes: a hex string stays one
+    return like(form, draw) + more(_HEX if re.fullmatch("[0-9a-f]+", form) else _HEX.upper() if re.fullmatch("[0-9A-F]+", form) else _LETTERS)
 
 
 def canonical(kind: str, text: str) -> str:
@@ -180,7 +202,7 @@ def rendered(kind: str, text: str, form: str) -> str:
     """A stand-in written the way ``text`` is."""
     if kind in ("card", "phone", "ssn", "iban"):
         left = iter(form)
-        return "".join(next(left) if c.isalnum() else c for c in text)
+        return "".join(next(left) if c.isalnum() else c for c in text) + "".join(left)
     if kind in ("email", "ipv6", "mac"):
         if text.isupper():
             return form.upper()
@@ -271,7 +293,8 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
     characters, and none is an original.
 
     Each round draws for the entities that have none yet. Of equal draws the entity with the smallest
-    hash wins; the others, and those that drew an original or a stand-in already given, go on.
+    hash wins; the others, and those that drew an original or a stand-in already given, go on. Formats
+    widen with the attempts, so that the bound on them is never met by ``stand_in``.
     """
     secret = key.encode()
     entities = stored(entities.withColumn("attempt", F.lit(0)), "entities")

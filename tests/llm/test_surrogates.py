@@ -109,6 +109,28 @@ def test_too_narrow_a_format_is_an_error(spark, monkeypatch):
         assign(entities, KEY)
 
 
+def test_values_that_cannot_change_stop_nothing(spark):
+    """Masked values are no secrets; other values without letters or digits get longer stand-ins."""
+    masked = ["password: ********", "token=......", "Access_Key: ============"]
+    rows = [*enumerate(masked), (3, "key: sk-________________ here"), (4, "mail %%%@---.com or ___@---.com"), (5, "x 10.1.2.3")]
+    texts = {r.doc_id: r.text for r in replace_entities(documents(spark, rows), KEY).collect()}
+    assert [texts[k] for k in range(3)] == masked and len(texts) == 6
+    assert all(w not in texts[k] for k, w in ((3, "________________ "), (4, "%%%@"), (4, "___@"), (5, "10.1.2.3")))
+    assert re.fullmatch(r"key: sk-_{16}[a-z]+ here", texts[3])
+
+
+def test_full_formats_are_widened(spark):
+    """All addresses of a private range: none is free, yet each gets a stand-in of its own."""
+    forms = [f"192.168.{a}.{b}" for a in range(256) for b in range(256)]
+    entities = spark.createDataFrame([("ipv4", f) for f in forms], "kind string, form string")
+    got = {r.form: r.stand_in for r in assign(entities, KEY).collect()}
+    assert len(got) == len(set(got.values())) == len(forms) and not set(got) & set(got.values())
+    for kind, form in (("phone", "5551234"), ("ssn", "123456789"), ("secret", "½½½½½½"), ("mac", "00:00:00:00:00:00")):
+        late = {stand_in(b"k", kind, form, 20 + k) for k in range(5)}
+        assert len(late) == 5 and form not in late
+    assert re.sub(r"\D", "", rendered("phone", "555-1234", "23456789")) == "23456789"
+
+
 def test_empty_table(spark):
     assert replace_entities(documents(spark, []), KEY).collect() == []
 
