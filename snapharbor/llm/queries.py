@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapharbor.llm import hashtree, jaccard, lm, packing, quality, replytree, surrogates, tiling, toxicity, vptree
+from snapharbor.llm import collocations, hashtree, jaccard, lm, packing, quality, replytree, surrogates, tiling, toxicity, vptree
 from snapharbor.llm.shared import table
 
 # The key of the stand-ins; a user of the operator passes a secret of their own.
@@ -78,6 +78,10 @@ def op10_vantage_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vptree.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -91,6 +95,7 @@ QUERIES = {
         op8_quality_nbsvm,
         op9_gru_scores,
         op10_vantage_points,
+        op13_collocations,
     )
 }
 
@@ -140,6 +145,47 @@ ORACLE: dict[str, str] = {
             least(d.doc_id, coalesce(m, d.doc_id)) as component_id
         from documents d left join sizes using (doc_id) left join least on least.x = d.doc_id
     """,
+    "op13_collocations": r"""
+        with pieces as (
+            select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.,;:!?\x0A-\x0D]')) as piece
+            from documents
+        ),
+        words as (select lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') as w from pieces),
+        sizes as (select lang, cast(sum(len(w)) as bigint) as n from words group by lang),
+        starts as (select lang, w, unnest(range(1, len(w) + 1)) as i from words),
+        phrases as (
+            select lang, k, array_to_string(w[i:i + k - 1], ' ') as p
+            from starts, (select unnest(range(1, 6)) as k) where i + k - 1 <= len(w)
+        ),
+        counts as (select lang, k, p, count(*) as f from phrases group by lang, k, p having count(*) >= 100),
+        cuts as (
+            select lang, p, k, f as a, string_split(p, ' ') as w, unnest(range(1, k)) as cut from counts where k > 1
+        ),
+        scores as (
+            select c.lang, c.p, c.a, n, cut, l.f as l, r.f as r,
+                (cast(1000 as hugeint) * c.a * n) // (cast(l.f as hugeint) * r.f) as score
+            from cuts c join sizes using (lang)
+            join counts l on l.lang = c.lang and l.p = array_to_string(w[1:cut], ' ')
+            join counts r on r.lang = c.lang and r.p = array_to_string(w[cut + 1:], ' ')
+        ),
+        lowest as (
+            select * from scores qualify row_number() over (partition by lang, p order by score, cut) = 1
+        ),
+        inner_phrases as (
+            select lang, a, array_to_string(w[i:i + size - 1], ' ') as p
+            from (select distinct lang, p, k, a, w from cuts), (select unnest(range(2, 5)) as size),
+                (select unnest(range(1, 5)) as i)
+            where size < k and i + size - 1 <= k
+        ),
+        longest as (select lang, p, max(a) as longer from inner_phrases group by lang, p),
+        ranked as (
+            select lang, row_number() over (partition by lang order by score desc, a desc, p) as rank, p as phrase, a, l, r, n, score
+            from lowest left join longest using (lang, p) where longer is null or 100 * longer < 100 * a
+        )
+        select lang, rank, phrase, a, l, r, n, cast(score as bigint) as score from ranked where rank <= 2000
+    """,
     "op10_vantage_points": """
         with valid as (
             select row_number() over () as r, vec_id, list_transform(embedding, lambda x: cast(x as double)) as v

@@ -43,6 +43,14 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return materialize(df, f"llm-{tag}")
 
 
+def dropped(df: DataFrame) -> None:
+    """Delete the files of a frame that ``stored`` returned and nothing reads any more."""
+    spark = df.sparkSession
+    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def shipped(spark: SparkSession, value: object) -> Broadcast:
     """A broadcast of a value whose class is defined in this package: see ``opened``."""
     return spark.sparkContext.broadcast(cloudpickle.dumps(value))

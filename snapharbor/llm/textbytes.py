@@ -77,12 +77,16 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.n
 class Words:
     """Words of some texts: ``hashes`` in text order, row i's are [first[i], first[i+1])."""
 
-    def __init__(self, column: pa.Array, fold: bool = True, marks: bool = False):
-        """With ``marks``, ASCII punctuation and control characters part words too."""
+    def __init__(self, column: pa.Array, fold: bool = True, marks: bool = False, parts: np.ndarray | None = None):
+        """With ``marks``, ASCII punctuation and control characters part words too; ``parts``
+        says for each byte value whether it parts words, instead."""
         data, offsets = text_bytes(column)
         self.rows = len(offsets) - 1
         # 0x20 and 0x09-0x0D; the subtraction wraps around for smaller bytes
-        solid = _LETTER[data] if marks else (data != 0x20) & ((data - np.uint8(9)) > np.uint8(4))
+        if parts is not None:
+            solid = ~parts[data]
+        else:
+            solid = _LETTER[data] if marks else (data != 0x20) & ((data - np.uint8(9)) > np.uint8(4))
         begins = solid.copy()
         begins[1:] &= ~solid[:-1]
         edges = offsets[1:-1]
