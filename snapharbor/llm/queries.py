@@ -5,7 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapharbor.llm import collocations, hashtree, jaccard, lm, packing, quality, replytree, surrogates, tiling, toxicity, vptree
+from snapharbor.llm import (
+    collocations,
+    hashtree,
+    jaccard,
+    lm,
+    packing,
+    quality,
+    replytree,
+    simhash,
+    surrogates,
+    tiling,
+    toxicity,
+    vptree,
+)
 from snapharbor.llm.shared import table
 
 # The key of the stand-ins; a user of the operator passes a secret of their own.
@@ -78,6 +91,10 @@ def op10_vantage_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vptree.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_classes(table(spark, sf_dir, "documents"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
@@ -95,6 +112,7 @@ QUERIES = {
         op8_quality_nbsvm,
         op9_gru_scores,
         op10_vantage_points,
+        op11_simhash,
         op13_collocations,
     )
 }
