@@ -15,7 +15,6 @@ cluster, where each task ranks its part and sweeps it along the assignments.
 
 from __future__ import annotations
 
-import json
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -26,11 +25,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from snapharbor.llm.bytebpe import ByteBpe
 from snapharbor.llm.shared import batch, prepare, stored
 
 CAPACITY = 2048
 END_ID = 0
-SPECIAL = "<|endoftext|>"
 
 PIECES = pa.schema(
     [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64())]
@@ -40,33 +39,6 @@ PIECES_DDL = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 b
 _LOW = (1 << 33) - 1  # monotonically_increasing_id: partition above, row below
 
 
-def byte_ranks(vocabulary: str) -> tuple[dict[bytes, int], dict[str, int]]:
-    """Byte strings and special tokens with their ids, from a byte-level BPE file's text."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    letters = {chr(b): b for b in plain}
-    letters |= {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in plain)}
-    content = json.loads(vocabulary)
-    special = {t["content"]: t["id"] for t in content["added_tokens"]}
-    ranks = {
-        bytes(letters[c] for c in token): number
-        for token, number in content["model"]["vocab"].items()
-        if token not in special
-    }
-    return ranks, special
-
-
-def encoder(vocabulary: str):
-    """A function from text to ids. The vocabulary's ids are its merge order, so the merges
-    that the file lists and those that the ranks imply are the same."""
-    import tiktoken
-
-    ranks, special = byte_ranks(vocabulary)
-    encoding = tiktoken.Encoding(
-        "byte-bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special
-    )
-    return lambda text: encoding.encode_to_numpy(text, allowed_special="all")
-
-
 def cuts(length: int, capacity: int) -> list[tuple[int, int]]:
     """(start, length) of a document's pieces; only the first may be short."""
     head = length % capacity
@@ -77,7 +49,7 @@ def cuts(length: int, capacity: int) -> list[tuple[int, int]]:
 
 def _pieces(vocabulary, capacity: int, end_id: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]):
-        encode = encoder(vocabulary.value)
+        encode = ByteBpe(vocabulary.value).ids
         for rows in batches:
             out: list[tuple] = []
             for doc_id, text in zip(rows.column("doc_id").to_pylist(), rows.column("text").to_pylist()):
@@ -134,7 +106,8 @@ def best_fit(counts: dict[int, int], capacity: int) -> tuple[list[tuple[int, int
         # sequences as the tokens that are left must fill.
         need = max(-(-sum(n * c for n, c in left.items()) // capacity), sum(c for n, c in left.items() if 2 * n > capacity))
         for length in sorted(left, reverse=True):
-            many = min(left[length], need)
+            # one sequence for as many equal pieces as fit in it; the others follow in the sweeps
+            many = min(-(-left[length] // (capacity // length)), need)
             if not many:
                 break
             place(length, many, opened, capacity)
