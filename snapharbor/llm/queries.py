@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapharbor.llm import (
+    alignment,
     collocations,
     hashtree,
     jaccard,
@@ -95,6 +96,12 @@ def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_classes(table(spark, sf_dir, "documents"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = alignment.align(table(spark, sf_dir, "documents"))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2(F.col("groups").cast("binary"), 256))
+    return rows.withColumn("groups_sha256", digest).drop("groups")
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
@@ -113,6 +120,7 @@ QUERIES = {
         op9_gru_scores,
         op10_vantage_points,
         op11_simhash,
+        op12_token_alignment,
         op13_collocations,
     )
 }
