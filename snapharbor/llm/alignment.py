@@ -1,13 +1,15 @@
 """Alignment of two tokenizers' tokens over whole texts, with corpus-wide counts of linked ids.
 
-First pass: documents are aligned, and each task reports the pairs of ids that it saw linked with
-the number of its documents that hold them. The distinct pairs are dealt into parts of bounded
+First pass: texts are encoded, their ids are stored (some four bytes a token), documents are aligned, and
+each task reports the pairs of ids that it saw linked with the number of its documents that hold
+them. The distinct pairs are dealt into parts of bounded
 size by hash, and a minimal perfect hash numbers the pairs of each part. The reported numbers are
 added into dense vectors, one per part, indexed by that hash, and the vectors are summed up in a
-tree. Second pass: documents are aligned again and look their pairs up, comparing the stored key.
+tree. Second pass: documents are aligned again, from their ids, and look their pairs up, comparing
+the stored key.
 
 What a task holds for a look-up is a block of parts of bounded size. With more pairs than one
-block holds there is one pass over the documents per block, and their sums are added up.
+block holds there is one pass over the stored ids per block, and their sums are added up.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +40,12 @@ HELD_VECTORS = 128
 BRANCHES = 8
 SLICES = 1 << 16
 
-SEEN = pa.schema([("pair", pa.int64()), ("slice", pa.int32()), ("n", pa.int64())])
+# A document's ids (kind 0) or a pair that a task has seen linked in n documents (kind 1).
+FIRST = pa.schema(
+    [("kind", pa.int32()), ("id", pa.int64()), ("a", pa.binary()), ("b", pa.binary())]
+    + [("pair", pa.int64()), ("slice", pa.int32()), ("n", pa.int64())]
+)
+FIRST_DDL = "kind int, id bigint, a binary, b binary, pair bigint, slice int, n bigint"
 HASHES = pa.schema([("part", pa.int32()), ("hash", pa.binary()), ("pairs", pa.binary())])
 VECTORS = pa.schema([("part", pa.int32()), ("branch", pa.int32()), ("counts", pa.binary())])
 BEST = pa.schema([("a", pa.int32()), ("n", pa.int64())])
@@ -78,18 +86,38 @@ class Tokenizers:
         piece = self.b.id_to_piece(k)
         return bytes([int(piece[3:5], 16)]) if self.b.is_byte(k) else piece.replace("▁", " ").encode()
 
-    def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
-        """Ids of a text by both, or None if either does not spell the blank and the text."""
+    def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a text by both; none if either does not spell the blank and the text.
+
+        The ids of A are a partition of the bytes, so their number tells; those of B may spell
+        other bytes than they were made from.
+        """
+        none = np.zeros(0, np.int64)
         if not text:
-            return None
+            return none, none
         line = " " + text
-        a, b = self.a.plain(line), self.b.encode(text)
         want = line.encode()
-        if b"".join(map(self.a_bytes.__getitem__, a.tolist())) != want:
-            return None
+        b = self.b.encode(text)
         if b"".join(map(self.b_bytes.__getitem__, b)) != want:
-            return None
-        return a.astype(np.int64), np.array(b, np.int64)
+            return none, none
+        a = self.a.plain(line)
+        if int(self.a_sizes[a].sum()) != len(want):
+            return none, none
+        return a, np.array(b, np.int64)
+
+    @property
+    def kind(self) -> str:
+        """How an id is stored."""
+        return "<u2" if max(len(self.a_bytes), len(self.b_bytes)) <= 1 << 16 else "<u4"
+
+
+def stored_ids(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of a column of stored ids, one after the other, and how many each row has."""
+    column = pc.fill_null(column.cast(pa.large_binary()), b"")
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    whole = data.to_pybytes()[offsets[0] : offsets[-1]] if data is not None else b""
+    return np.frombuffer(whole, kind).astype(np.int64), np.diff(offsets) // int(kind[-1])
 
 
 class Links:
@@ -99,14 +127,8 @@ class Links:
     neighbouring token ends lies in one token of each side, and two tokens overlap in one such range.
     """
 
-    def __init__(self, texts: list[str | None], tokenizers: Tokenizers):
-        found = [tokenizers.encode(text) for text in texts]
-        self.rows = len(texts)
-        none = np.zeros(0, np.int64)
-        self.n_a = np.array([0 if f is None else len(f[0]) for f in found], np.int64)
-        self.n_b = np.array([0 if f is None else len(f[1]) for f in found], np.int64)
-        self.ids_a = np.concatenate([none] + [f[0] for f in found if f is not None])
-        self.ids_b = np.concatenate([none] + [f[1] for f in found if f is not None])
+    def __init__(self, ids_a: np.ndarray, n_a: np.ndarray, ids_b: np.ndarray, n_b: np.ndarray, tokenizers: Tokenizers):
+        self.rows, self.ids_a, self.n_a, self.ids_b, self.n_b = len(n_a), ids_a, n_a, ids_b, n_b
         self.ends_a = np.cumsum(tokenizers.a_sizes[self.ids_a])
         self.ends_b = np.cumsum(tokenizers.b_sizes[self.ids_b])
         both = np.concatenate([self.ends_a, self.ends_b])
@@ -138,24 +160,32 @@ def slice_of(pair: np.ndarray) -> np.ndarray:
     return (mix(pair.astype(np.uint64)) >> np.uint64(48)).astype(np.int32)
 
 
-def _seen(files):
-    """First pass: (pair, slice, documents) of what a task saw."""
+def _first_pass(files):
+    """The ids of each document, and (pair, slice, documents) of what a task saw."""
 
     def report(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
         pair, n = _added(held)
-        for a in range(0, len(pair), 1 << 17):
-            some = pair[a : a + (1 << 17)]
-            yield batch(SEEN, some, slice_of(some), n[a : a + (1 << 17)])
+        for at in range(0, len(pair), 1 << 17):
+            some = pair[at : at + (1 << 17)]
+            none = [None] * len(some)
+            yield batch(FIRST, [1] * len(some), none, none, none, some, slice_of(some), n[at : at + (1 << 17)])
 
     def run(batches):
         tokenizers = Tokenizers(*files.value)
         width = len(tokenizers.b_bytes)
         held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
-        for rows in chunks(batches, 1 << 21, "text"):
-            found = Links(rows.column("text").to_pylist(), tokenizers)
+        for rows in chunks(batches, 1 << 20, "text"):
+            ids = [tokenizers.encode(text) for text in rows.column("text").to_pylist()]
+            sides = [[some.astype(tokenizers.kind) for some in side] for side in zip(*ids)]
+            none = [None] * rows.num_rows
+            a, b = ([some.tobytes() for some in side] for side in sides)
+            yield batch(FIRST, [0] * rows.num_rows, rows.column("id"), a, b, none, none, none)
+            whole = [(np.concatenate(side).astype(np.int64), np.array([len(x) for x in side])) for side in sides]
+            found = Links(*whole[0], *whole[1], tokenizers)
             # once a document
-            once = np.unique((found.a * width + found.b) * found.rows + found.row) // max(found.rows, 1)
+            bits = max(found.rows - 1, 1).bit_length()
+            once = np.unique((found.a * width + found.b) << bits | found.row) >> bits
             held.append(np.unique(once, return_counts=True))
             size += len(held[-1][0])
             if size >= HELD_PAIRS:
@@ -308,8 +338,9 @@ def _aligned(files, block, best, with_groups: bool, with_links: bool):
         tokenizers, known = Tokenizers(*files.value), opened(block).open()
         highest = best.value
         width = len(tokenizers.b_bytes)
-        for rows in chunks(batches, 1 << 20, "text"):
-            found = Links(rows.column("text").to_pylist(), tokenizers)
+        for rows in chunks(batches, 1 << 20, "a"):
+            sides = [stored_ids(rows.column(c), tokenizers.kind) for c in ("a", "b")]
+            found = Links(*sides[0], *sides[1], tokenizers)
             pair, place = np.unique(found.a * width + found.b, return_inverse=True)
             of_pair = np.zeros(len(pair), np.int64)
             for part, at, index in known.found(pair):
@@ -367,7 +398,9 @@ def align(
     width = _piece_count(model)
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
 
-    seen = stored(texts.select("text").mapInArrow(_seen(files), "pair bigint, slice int, n bigint"), "seen")
+    first_pass = stored(texts.mapInArrow(_first_pass(files), FIRST_DDL), "ids")
+    ids = first_pass.where("kind = 0").select("id", "a", "b")
+    seen = first_pass.where("kind = 1").select("pair", "slice", "n")
     distinct = stored(seen.groupBy("pair", "slice").agg(F.count(F.lit(1)).alias("tasks")), "pairs")
     parts = max(1, -(-distinct.count() // PART_PAIRS))
     part = F.expr(f"cast(cast(slice as bigint) * {parts} div {SLICES} as int)")
@@ -394,16 +427,16 @@ def align(
     best = spark.sparkContext.broadcast(best)
 
     if len(blocks) > 1:
-        texts = stored(texts.withColumn("row", F.monotonically_increasing_id()), "rows")
+        ids = stored(ids.withColumn("row", F.monotonically_increasing_id()), "rows")
     else:
-        texts = texts.withColumn("row", F.lit(None).cast("bigint"))
+        ids = ids.withColumn("row", F.lit(None).cast("bigint"))
     out = None
     for number, (first, end) in enumerate(blocks):
         rows = counted.where(F.col("part").between(first, end - 1)).collect()  # a block: bounded
         block = shipped(
             spark, Block(first, parts, [(r.part, bytes(r.hash), bytes(r.pairs), bytes(r.counts)) for r in rows])
         )
-        found = texts.mapInArrow(_aligned(files, block, best, number == 0, with_links), ALIGNED_DDL)
+        found = ids.mapInArrow(_aligned(files, block, best, number == 0, with_links), ALIGNED_DDL)
         out = found if out is None else out.unionByName(found)
     if len(blocks) > 1:
         once = [F.max(c).alias(c) for c in ("id", "n_a", "n_b", "n_groups", "n_links", "groups")]
