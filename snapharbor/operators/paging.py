@@ -17,6 +17,9 @@ UNKNOWN_BYTES = 1 << 60
 MOST_RANGES = 100_000
 # Rows per chunk in the order check; only one summary row per chunk is compared.
 CHUNK_ROWS = 10_000
+# Rows that one task may sort, and rows of a sample that find a page's place in an order.
+DIRECT_ROWS = 100_000
+SAMPLE_ROWS = 10_000
 _ROW_BITS = (1 << 33) - 1
 
 
@@ -72,15 +75,98 @@ def total_order(df: DataFrame, order: list[Column]) -> list[Column]:
 
 
 def offset_page(df: DataFrame, order: list[Column], offset: int, limit: int) -> DataFrame:
-    """LIMIT/OFFSET page in order, cut by position: no task holds the rows before it.
+    """LIMIT/OFFSET page in order: no task holds the rows before it, and only the page's
+    neighbourhood is sorted.
 
-    Rows that tie in ``order`` go by their other columns, so a page is the same every time.
+    Rows that tie in ``order`` go by their other columns, so a page is the same every time. ``df``
+    is read a few times, by its order columns only but for the last; store it first if it
+    is expensive or not deterministic.
     """
-    placed = global_position(df, *total_order(df, order), name="_pos")
-    page = placed.where((F.col("_pos") >= offset) & (F.col("_pos") < offset + limit))
+    if offset < 0 or limit < 0:
+        raise ValueError("offset and limit must be zero or positive")
+    columns = total_order(df, order)
+    if not _selectable(df, columns):
+        placed = global_position(df, *columns, name="_pos")
+        page = placed.where((F.col("_pos") >= offset) & (F.col("_pos") < offset + limit))
+        return page.orderBy("_pos").drop("_pos")
+    part, skip, rows = _neighbourhood(df, len(order), columns, offset, limit)
+    if min(skip + limit, rows) <= DIRECT_ROWS:
+        return part.orderBy(*columns).offset(skip).limit(limit)
+    placed = global_position(part, *columns, name="_pos")
+    page = placed.where((F.col("_pos") >= skip) & (F.col("_pos") < skip + limit))
     return page.orderBy("_pos").drop("_pos")
 
 
+def _selectable(df: DataFrame, columns: list[Column]) -> bool:
+    """All ascending, and of types whose values can be compared with a literal."""
+    ascending = not any(str(c).endswith(("FIRST'>", "LAST'>")) for c in columns)
+    kinds = [f.dataType for f in df.select(*columns).schema] if ascending else []
+    return ascending and all(isinstance(k, T.AtomicType) and not isinstance(k, T.VariantType) for k in kinds)
+
+
+def _neighbourhood(
+    df: DataFrame, leading: int, columns: list[Column], offset: int, limit: int
+) -> tuple[DataFrame, int, int]:
+    """Few rows that hold the page, how many of them stand before it, and how many they are.
+
+    A sample says between which two keys the page should be; counting the rows before and
+    between them tells whether it is. That is repeated inside, until few rows are left. Keys are
+    the order's columns, and further ones where too many rows tie.
+    """
+    part, skip, width = df, offset, leading
+    rows = part.count()
+    if skip >= rows:
+        return part.limit(0), 0, 0
+    while rows > max(DIRECT_ROWS, 2 * limit):
+        key = _key(part, columns[:width])
+        spread = 4
+        while True:
+            sample = part.select(key.alias("k")).sample(min(1.0, SAMPLE_ROWS / rows), seed=spread)
+            found = [r["k"] for r in sample.orderBy("k").collect()]  # some SAMPLE_ROWS rows
+            many = len(found)
+            margin = spread * int(many**0.5) + 1
+            low = int(skip / rows * many) - margin
+            high = int((skip + limit) / rows * many) + margin
+            kind = sample.schema["k"].dataType
+            above = key >= _literal(found[low], kind) if low >= 0 else F.lit(True)
+            upto = key <= _literal(found[high], kind) if high < many else F.lit(True)
+            counts = part.agg(
+                F.coalesce(F.sum((~above).cast("long")), F.lit(0)).alias("before"),
+                F.coalesce(F.sum((above & upto).cast("long")), F.lit(0)).alias("inside"),
+            ).first()
+            before, inside = counts["before"], counts["inside"]
+            if before <= skip and (skip + limit <= before + inside or high >= many):
+                break
+            spread *= 4
+        if inside == rows:
+            if width == len(columns):
+                break  # all rows are equal, or the sample says no more
+            width += 1
+            continue
+        # the first column by itself can be pushed into a scan
+        lead, kind = columns[0], part.select(columns[0]).schema[0].dataType
+        plain = F.lit(True)
+        if not isinstance(kind, T.TimestampType):
+            if low >= 0 and found[low]["k0"] is not None:
+                plain = plain & (lead >= F.lit(found[low]["k0"]).cast(kind))
+            if high < many and found[high]["k0"] is not None:
+                plain = plain & ((lead <= F.lit(found[high]["k0"]).cast(kind)) | lead.isNull())
+        part, skip, rows = part.where(plain & above & upto), skip - before, inside
+    return part, skip, rows
+
+
+def _key(df: DataFrame, columns: list[Column]) -> Column:
+    """The columns as one value that is compared in order; instants as numbers, which a literal
+    gives back exactly."""
+    schema = df.select(*columns).schema
+    plain = [F.unix_micros(c) if isinstance(f.dataType, T.TimestampType) else c for c, f in zip(columns, schema)]
+    return F.struct(*[c.alias(f"k{i}") for i, c in enumerate(plain)])
+
+
+def _literal(row, kind: T.StructType) -> Column:
+    return F.struct(*[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in kind])
+
+
 def first_rows(df: DataFrame, order: list[Column], n: int) -> DataFrame:
     """The first ``n`` rows in the given order."""
     return offset_page(df, order, 0, n)
@@ -132,12 +218,24 @@ def batch_assign(ids: DataFrame, id_col: str, size: int) -> DataFrame:
     )
 
 
-def snapshot_cap(accepted: DataFrame, id_col: str, limit: int | None) -> DataFrame:
-    """First ``limit`` accepted ids; no limit keeps all. Rejected ids use up nothing."""
+def snapshot_cap(
+    accepted: DataFrame, id_col: str, limit: int | None, order: list[str] | None = None
+) -> DataFrame:
+    """First ``limit`` accepted ids; no limit keeps all. Rejected ids use up nothing.
+
+    Ids go by themselves, or by the columns ``order`` where they no longer tell the order that they
+    came in; of an id that is there more than once the first place counts.
+    """
     if limit is not None and limit < 0:
         raise ValueError("limit must be zero or positive")
-    ids = accepted.select(id_col).distinct()
-    return first_rows(ids, [F.col(id_col)], limit) if limit else ids
+    if not limit:
+        return accepted.select(id_col).distinct()
+    if order is None:
+        ids = materialize(accepted.select(id_col).distinct(), "accepted")
+        return first_rows(ids, [F.col(id_col)], limit)
+    places = accepted.groupBy(id_col).agg(F.min(F.struct(*order)).alias("_at"))
+    places = materialize(places.select(id_col, *[F.col(f"_at.{c}").alias(c) for c in order]), "accepted")
+    return first_rows(places, [F.col(c) for c in order], limit).select(id_col)
 
 
 def resume_cursor(

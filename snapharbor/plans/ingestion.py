@@ -1,39 +1,64 @@
 """The ingestion job: land, check, ingest, stage and publish one run.
 
 What a run leaves behind is durable: raw payloads and manifest, an ingestion log, and
-staging tables, runs and models as published sets, each replaced by one commit. A job that
-failed is started again with the same run id and goes on from there.
+staging tables, runs and models as published sets, each replaced by one commit. The run's row
+says how far it has come:
+
+=====================  =====================  ==========================================
+status                 checkpoint_status      what is done
+=====================  =====================  ==========================================
+running                in_progress            part of the pages, perhaps
+failed                 failed                 the same, and an error
+transforming           staging_complete       all pages are staged; nothing else is needed
+transformation_failed  transformation_failed  the same, and an error
+finalizing             staging_complete       the models are published
+succeeded              completed              everything
+=====================  =====================  ==========================================
+
+A job that broke off at any point is started again with the same run id and goes on from there.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import hashlib
+import json
+from dataclasses import asdict, dataclass
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from snapharbor.functions.text import strip
-from snapharbor.operators.paging import number_pages, page_order_guard
+from snapharbor.operators.paging import number_pages, page_order_guard, resume_cursor
 from snapharbor.operators.payloads import detail_pages, page_digest
 from snapharbor.operators.quality import DataQualityError
 from snapharbor.operators.runs import evolve_runs, run_upsert
-from snapharbor.operators.upsert import require_rows
+from snapharbor.operators.upsert import EmptySnapshotError
 from snapharbor.plans.workflow import SnapshotResult, transform_only
 from snapharbor.session import configure, materialize
-from snapharbor.sources.publication import current_set, publish_set, scan_published
+from snapharbor.sources.publication import (
+    create_once,
+    current_set,
+    publish_set,
+    read_text,
+    scan_published,
+    update_set,
+)
 from snapharbor.sources.raw import (
     explode_pages,
     land_raw_pages,
-    missing_pages,
-    raw_integrity_scan,
+    manifest_path,
+    next_arrival,
+    path_exists,
     read_manifest,
     stored_payloads,
+    verify_run,
     with_payload,
 )
-from snapharbor.spec import INGESTION_RUNS, SnapshotSpec
-from snapharbor.streaming.ingest import settle, settled_counters, stream_page_ingest
+from snapharbor.sources.tables import output_inventory
+from snapharbor.spec import INGESTION_RUNS, PUBLISHED_RELATIONS, SnapshotSpec
+from snapharbor.streaming.ingest import COUNTED, counted_pages, settle, stream_page_ingest
 
 STAGED = ("fuels", "ingestion_runs", "vehicles")
 
@@ -51,6 +76,12 @@ class Folders:
     def log(self, run: str) -> str:
         return f"{self.root}/log/{run}"
 
+    def settings(self, run: str) -> str:
+        return f"{self.root}/settings/{run}.json"
+
+    def result(self, run: str) -> str:
+        return f"{self.root}/results/{run}.json"
+
     @property
     def staging(self) -> str:
         return f"{self.root}/staging"
@@ -92,6 +123,10 @@ def cut_pages(
     return reduce(DataFrame.unionByName, parts)
 
 
+class ResumeError(ValueError):
+    """A run cannot go on: its settings differ from those it was started with."""
+
+
 def read_runs(spark: SparkSession, folders: Folders) -> DataFrame:
     if current_set(spark, folders.runs) is None:
         return spark.createDataFrame([], INGESTION_RUNS)
@@ -99,84 +134,176 @@ def read_runs(spark: SparkSession, folders: Folders) -> DataFrame:
 
 
 def save_run(spark: SparkSession, folders: Folders, run: dict) -> DataFrame:
-    """Create or replace one run row; other columns keep what the run held before."""
-    runs = evolve_runs(read_runs(spark, folders))
-    before = runs.where(F.col("ingestion_id") == run["ingestion_id"]).first()
-    row = {**(before.asDict() if before else dict.fromkeys(INGESTION_RUNS.names)), **run}
-    changed = spark.createDataFrame([row], INGESTION_RUNS).withColumn("sequence", F.lit(0))
-    publish_set({"ingestion_runs": run_upsert(runs, changed)}, folders.runs, ("ingestion_runs",))
+    """Create or replace one run row; other columns keep what the run held before.
+
+    Of two jobs that save at once, the second one computes its table again from that of the first.
+    """
+
+    def change(before: dict[str, DataFrame] | None) -> dict[str, DataFrame]:
+        table = spark.createDataFrame([], INGESTION_RUNS) if before is None else before["ingestion_runs"]
+        runs = evolve_runs(table)
+        held = runs.where(F.col("ingestion_id") == run["ingestion_id"]).first()
+        row = {**(held.asDict() if held else dict.fromkeys(INGESTION_RUNS.names)), **run}
+        changed = spark.createDataFrame([row], INGESTION_RUNS).withColumn("sequence", F.lit(0))
+        return {"ingestion_runs": run_upsert(runs, changed)}
+
+    update_set(spark, folders.runs, ("ingestion_runs",), change)
     return scan_published(spark, folders.runs, "ingestion_runs")
 
 
+def settings_digest(spec: SnapshotSpec) -> str:
+    """What must not change while a run is under way: field names, labels and the salt."""
+    return hashlib.sha256(json.dumps(asdict(spec), sort_keys=True, default=str).encode()).hexdigest()
+
+
+def check_settings(
+    spark: SparkSession, folders: Folders, spec: SnapshotSpec, run: str, limit: int | None, page_size: int | None
+) -> None:
+    """Note the settings of a run when it starts, and refuse others when it goes on."""
+    now = {"limit": limit, "page_size": page_size, "settings": settings_digest(spec)}
+    path = folders.settings(run)
+    if create_once(spark, path, json.dumps(now)):
+        return
+    before = json.loads(read_text(spark, path))
+    for name, said in (("limit", "limit"), ("page_size", "page size"), ("settings", "configuration")):
+        if before[name] != now[name]:
+            raise ResumeError(f"cannot resume {run}: its {said} differs")
+
+
 def snapshot_job(
     spark: SparkSession,
-    pages: DataFrame,
+    pages: DataFrame | None,
     root: str,
     spec: SnapshotSpec,
     run: str,
     now=datetime.now,
+    limit: int | None = None,
+    page_size: int | None = None,
 ) -> SnapshotResult:
     """Ingest the pages of one run and publish its models, replacing the snapshot before.
 
     ``pages`` are the payloads fetched so far (see ``cut_pages``). A job that failed leaves a
     run row that says so and the published set as it was; called again with all or only the
-    missing pages of the run it resumes.
+    missing pages of the run it resumes. Once all pages are staged none are looked at, and they
+    may be None. A run that has succeeded is not run again: its result is returned. ``limit`` takes the
+    first complete vehicles (see ``settle``). A run keeps the limit, page size and spec that it began with.
     """
     configure(spark)
     folders = Folders(root)
     before = read_runs(spark, folders).where(F.col("ingestion_id") == run).first()
-    resumed = before is not None and before["status"] != "succeeded"
+    check_settings(spark, folders, spec, run, limit, page_size)
+    if before is not None and before["status"] == "succeeded":
+        return published_result(spark, folders, run)
+    resumed = before is not None
+    staged = resumed and before["checkpoint_status"] in ("staging_complete", "transformation_failed")
     started = before["started_at"] if resumed else now()
-    count = (before["resume_count"] or 0) + 1 if resumed else 0
     begun = now()
+    spent = (before["active_duration_seconds"] or 0.0) if resumed else 0.0
     state = {
-        "ingestion_id": run, "started_at": started, "status": "running", "error_message": None,
-        "ingestion_mode": "resumable_snapshot", "checkpoint_status": "in_progress",
-        "resumed": resumed, "resume_count": count, "completed_at": None,
+        "ingestion_id": run, "started_at": started, "error_message": None, "completed_at": None,
+        "status": "transforming" if staged else "running",
+        "checkpoint_status": "staging_complete" if staged else "in_progress",
+        "ingestion_mode": "resumable_snapshot", "requested_limit": limit, "sample_limit": limit or 0,
+        "page_size": page_size, "resumed": resumed,
+        "resume_count": (before["resume_count"] or 0) + 1 if resumed else 0,
     }
+
+    def seconds() -> float:
+        return spent + (now() - begun).total_seconds()
+
     save_run(spark, folders, state)
     try:
-        land_raw_pages(materialize(pages, "pages"), folders.raw, run, arrival=count)
-        state |= ingest_run(spark, folders, spec, run)
-        seconds = (now() - begun).total_seconds()
-        seconds += (before["active_duration_seconds"] or 0.0) if resumed else 0.0
-        done = state["matched_vehicles"] + state["fuel_rows"]
+        if not staged:
+            if pages is None:
+                raise ResumeError(f"run {run} has pages to land, but none were given")
+            arrival = next_arrival(spark, folders.raw, run)
+            land_raw_pages(materialize(pages, "pages"), folders.raw, run, arrival=arrival)
+            state |= ingest_run(spark, folders, spec, run)
+            tables = settle(spark, folders.log(run), limit)
+            stage_run(spark, folders, tables, save_run(spark, folders, state))
+            if limit:
+                state |= capped_counts(spark, folders)
+            staged = True
+            state |= {"status": "transforming", "checkpoint_status": "staging_complete"}
+            save_run(spark, folders, {**state, "active_duration_seconds": seconds()})
+        elif not is_staged(spark, folders, run):
+            # another run was staged meanwhile; this one's log is complete
+            stage_run(spark, folders, settle(spark, folders.log(run), limit), read_runs(spark, folders))
+        result = transform_only(spark, staged_tables(spark, folders), folders.published, spec)
+        state |= {"status": "finalizing"}
+        saved = save_run(spark, folders, state)
+        row = saved.where(F.col("ingestion_id") == run).first()
+        done = row["matched_vehicles"] + row["fuel_rows"]
         state |= {
             "status": "succeeded", "checkpoint_status": "completed", "completed_at": now(),
-            "active_duration_seconds": seconds,
+            "active_duration_seconds": seconds(),
             "wall_clock_elapsed_seconds": max(0.0, (now() - started).total_seconds()),
-            "processed_rows_per_second": done / seconds if seconds > 0 else 0.0,
+            "processed_rows_per_second": done / seconds() if seconds() > 0 else 0.0,
         }
-        runs = save_run(spark, folders, state)
-        log = settle(spark, folders.log(run))
-        publish_set({**log, "ingestion_runs": runs}, folders.staging, STAGED)
-        staged = {n: scan_published(spark, folders.staging, n) for n in STAGED}
-        return transform_only(spark, staged, folders.published, spec)
+        save_run(spark, folders, state)
+        create_once(spark, folders.result(run), json.dumps(asdict(result)))
+        return result
     except Exception as error:
-        failed = {"status": "failed", "checkpoint_status": "failed", "completed_at": now()}
-        save_run(spark, folders, {**state, **failed, "error_message": str(error)[:1000]})
+        kind = "transformation_failed" if staged else "failed"
+        failed = {"status": kind, "checkpoint_status": kind, "completed_at": now()}
+        failed |= {"active_duration_seconds": seconds(), "error_message": str(error)[:1000]}
+        save_run(spark, folders, {**state, **failed})
         raise
 
 
+def transform_staged(spark: SparkSession, root: str, spec: SnapshotSpec) -> SnapshotResult:
+    """Build, test and publish the models of whatever is staged. Runs and staging stay as they are."""
+    configure(spark)
+    folders = Folders(root)
+    return transform_only(spark, staged_tables(spark, folders), folders.published, spec)
+
+
+def stage_run(spark: SparkSession, folders: Folders, tables: dict[str, DataFrame], runs: DataFrame) -> None:
+    publish_set({**tables, "ingestion_runs": runs}, folders.staging, STAGED)
+
+
+def staged_tables(spark: SparkSession, folders: Folders) -> dict[str, DataFrame]:
+    return {n: scan_published(spark, folders.staging, n) for n in STAGED}
+
+
+def is_staged(spark: SparkSession, folders: Folders, run: str) -> bool:
+    """Whether staging holds this run; all its rows carry one run id."""
+    if current_set(spark, folders.staging) is None:
+        return False
+    first = scan_published(spark, folders.staging, "vehicles").select("ingestion_id").first()
+    return first is not None and first["ingestion_id"] == run
+
+
+def capped_counts(spark: SparkSession, folders: Folders) -> dict:
+    """Counters of what a limit has left of the run."""
+    rows = {n: scan_published(spark, folders.staging, n).count() for n in ("vehicles", "fuels")}
+    return {"matched_vehicles": rows["vehicles"], "vehicle_rows": rows["vehicles"], "fuel_rows": rows["fuels"]}
+
+
+def published_result(spark: SparkSession, folders: Folders, run: str) -> SnapshotResult:
+    """What a run that succeeded has published."""
+    said = read_text(spark, folders.result(run))
+    if said is not None:
+        return SnapshotResult(**json.loads(said))
+    # broken off just behind its last save: what is published is counted again
+    published = {r: scan_published(spark, folders.published, r) for r in PUBLISHED_RELATIONS}
+    rows = {r["relation"]: r["rows"] for r in output_inventory(published, PUBLISHED_RELATIONS).collect()}
+    return SnapshotResult({}, rows, [])
+
+
 def ingest_run(spark: SparkSession, folders: Folders, spec: SnapshotSpec, run: str) -> dict:
     """Check what a run has landed and ingest it; returns the counters of its run row."""
-    manifest = read_manifest(spark, folders.raw, run)
-    lost = missing_pages(raw_integrity_scan(spark, folders.raw), manifest.select("payload_sha256"))
-    if not lost.isEmpty():
+    if not verify_run(spark, folders.raw, run).isEmpty():
         raise DataQualityError("raw storage has lost or damaged payloads of this run")
     check_order(anchor_pages(spark, folders, spec, run), spec.raw_id)
     stream_page_ingest(spark, folders.raw, folders.log(run), spec, run).awaitTermination()
-    settled = settle(spark, folders.log(run))
-    require_rows(settled["vehicles"], "the run holds no complete vehicle")
-    totals = settled_counters(spark, folders.log(run)).agg(
-        *[
-            F.coalesce(F.sum(c), F.lit(0)).alias(c)
-            for c in ("source_rows", "matched", "fuel_rows", "rejected")
-        ],
-        F.count(F.lit(1)).alias("pages"),
+    totals = counted_pages(spark, folders.log(run)).agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTED], F.count(F.lit(1)).alias("pages")
     )
     found = totals.first()
-    repeated = manifest.where("duplicate").count()
+    if not found["matched"]:
+        raise EmptySnapshotError("the run holds no complete vehicle")
+    repeated = read_manifest(spark, folders.raw, run).where("duplicate").count()
     return {
         "pages_requested": found["pages"], "source_rows_received": found["source_rows"],
         "matched_vehicles": found["matched"], "rejected_rows": found["rejected"],
@@ -198,6 +325,32 @@ def anchor_pages(spark: SparkSession, folders: Folders, spec: SnapshotSpec, run:
     return rows.withColumn("pos", F.shiftleft("chunk", 32) + F.col("pos")).drop("chunk")
 
 
+def run_cursor(spark: SparkSession, root: str, spec: SnapshotSpec, run: str) -> str | None:
+    """The id behind which a broken-off run fetches its next anchor page; None from the start.
+
+    A page counts if its anchor payload is in raw storage with the digest of the manifest; the
+    cursor is the last id before the first page that does not count (see ``resume_cursor``).
+    """
+    folders = Folders(root)
+    if not path_exists(spark, manifest_path(folders.raw, run)):
+        return None
+    named = read_manifest(spark, folders.raw, run).where(F.col("dataset") == "anchors")
+    key = ["stored_in", "block", "dataset", "payload_sha256"]
+    payloads = stored_payloads(spark, folders.raw).where(F.col("dataset") == "anchors")
+    sound = payloads.where(F.sha2("payload", 256) == F.col("payload_sha256")).select(*key).distinct()
+    landed = named.join(sound.withColumn("landed_digest", F.col("payload_sha256")), key, "left")
+    last = Window.partitionBy("page").orderBy(F.desc("arrival"))
+    landed = landed.withColumn("_rank", F.rank().over(last)).where("_rank = 1")
+    commits = landed.groupBy("page").agg(
+        F.lit(True).alias("committed"),
+        F.max("payload_sha256").alias("digest"),
+        # a page of several chunks counts if all of them are there
+        F.when(F.count("landed_digest") == F.count(F.lit(1)), F.max("payload_sha256")).alias("landed_digest"),
+    )
+    pages = anchor_pages(spark, folders, spec, run)
+    return resume_cursor(pages, materialize(commits, "commits"), spec.raw_id).first()["cursor"]
+
+
 def check_order(anchors: DataFrame, id_col: str) -> None:
     """Refuse anchor pages (page, pos, id) that break the keyset order."""
     if not page_order_guard(anchors, id_col).isEmpty():

@@ -4,20 +4,33 @@ A raw folder has two tables. ``payloads`` holds each distinct payload once, as a
 Parquet in the partition of the run that brought it first. ``manifest`` holds, per run, a
 row for every page that arrived, with the digest of its payload. A run is what its
 manifest says, so it neither sees pages of other runs nor loses unchanged ones.
+
+What lands together is cut into blocks of whole pages in page order. The payloads of a block are
+one partition and its manifest rows one file, which names the blocks that hold the payloads. So
+whoever works through a run block by block opens a block's own folders and no others.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from snapharbor.operators.joins import join_reduced, lookup_join
+from snapharbor.operators.paging import running_totals
 from snapharbor.operators.payloads import ledger_insert
 from snapharbor.session import materialize
 from snapharbor.spec import MANIFEST, PAYLOADS, text_schema
 
-# Pages that one manifest file names, and a micro-batch of the stream takes, at most.
+# Payloads of a block, which a micro-batch of the stream takes at a time. A page is never cut,
+# so a block may hold more by what belongs to one page.
 PAGES_PER_FILE = 1_000
+# Partitions that are opened by name at most; beyond that whole runs are read.
+MOST_PLACES = 10_000
+PLACE = "stored_in string, block string"
 
 
 def payload_path(root: str) -> str:
@@ -28,17 +41,39 @@ def manifest_path(root: str, run: str) -> str:
     return f"{root}/manifest/run={run}"
 
 
+def verified_path(root: str) -> str:
+    return f"{root}/verified"
+
+
 def stored_payloads(spark: SparkSession, root: str) -> DataFrame:
     """All stored payloads; none before the first run."""
-    location = spark._jvm.org.apache.hadoop.fs.Path(payload_path(root))
-    if not location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location):
+    if not path_exists(spark, payload_path(root)):
         return spark.createDataFrame([], PAYLOADS)
     return spark.read.schema(PAYLOADS).parquet(payload_path(root))
 
 
+def block_payloads(spark: SparkSession, root: str, places: Iterable[tuple[str, str]]) -> DataFrame:
+    """Payloads of the named (run, block) partitions. No other folder is listed or read."""
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    folders = [
+        f"{payload_path(root)}/stored_in={escape(run)}/block={escape(block)}" for run, block in sorted(places)
+    ]
+    if not folders:
+        return spark.createDataFrame([], PAYLOADS)
+    return spark.read.schema(PAYLOADS).option("basePath", payload_path(root)).parquet(*folders)
+
+
 def payload_ledger(spark: SparkSession, root: str) -> DataFrame:
-    """(dataset, payload_sha256, stored_in) of every payload seen so far; reads no payload."""
-    return stored_payloads(spark, root).select("dataset", "payload_sha256", "stored_in")
+    """(dataset, payload_sha256, stored_in, block) of every payload seen so far; reads no payload."""
+    return stored_payloads(spark, root).select("dataset", "payload_sha256", "stored_in", "block")
+
+
+def page_slots(pages: DataFrame, pages_per_file: int) -> DataFrame:
+    """(page, slot): whole pages, in order, in runs of about ``pages_per_file`` payloads."""
+    sizes = pages.groupBy(F.col("page").cast("long").alias("page")).agg(F.count(F.lit(1)).alias("n"))
+    sizes = materialize(sizes.withColumn("_run", F.lit(0)), "page-sizes")
+    upto = running_totals(sizes, "_run", "page", ["n"])
+    return upto.select("page", F.floor((F.col("total_n") - F.col("n")) / pages_per_file).alias("number"))
 
 
 def land_raw_pages(
@@ -48,27 +83,34 @@ def land_raw_pages(
 
     ``pages`` has (dataset, page, chunk, payload_sha256, row_count, payload). A resumed run
     lands its further pages with a higher ``arrival``; of a page that arrived again the
-    last arrival counts.
+    last arrival counts. A landing that broke off left payloads that no manifest names; they
+    are known to the next one.
     """
     spark = pages.sparkSession
-    pages = pages.withColumn("stored_in", F.lit(run))
+    landing = uuid.uuid4().hex[:12]
+    pages = pages.withColumn("stored_in", F.lit(run)).withColumn("page", F.col("page").cast("long"))
+    slots = page_slots(pages, pages_per_file)
+    slots = slots.select("page", F.format_string(f"{landing}-%08d", "number").alias("slot"))
+    pages = lookup_join(pages, slots, "page", "inner").withColumn("block", F.col("slot"))
     ledger = materialize(payload_ledger(spark, root), "ledger")
     _, flagged = ledger_insert(ledger, pages, ["page", "chunk"])
     flagged = materialize(flagged, "arrivals")
-    fresh = flagged.where(~F.col("duplicate")).select(*PAYLOADS.names)
-    fresh.write.partitionBy("stored_in", "dataset").mode("append").parquet(payload_path(root))
-    known = ledger.select("dataset", "payload_sha256", F.col("stored_in").alias("_first"))
-    named = flagged.join(known, ["dataset", "payload_sha256"], "left").select(
-        "dataset",
-        F.col("page").cast("long").alias("page"),
-        F.col("chunk").cast("long").alias("chunk"),
-        F.lit(arrival).cast("long").alias("arrival"),
-        "payload_sha256",
-        F.col("row_count").cast("long").alias("row_count"),
-        F.coalesce("_first", "stored_in").alias("stored_in"),
-        "duplicate",
+    fresh = flagged.where(~F.col("duplicate"))
+    # A block that one page has inflated is written by several tasks.
+    spread = F.floor(F.col("chunk") / pages_per_file)
+    (
+        fresh.repartition("slot", "dataset", spread)
+        .select(*PAYLOADS.names)
+        .write.partitionBy("stored_in", "block", "dataset")
+        .mode("append")
+        .parquet(payload_path(root))
     )
-    named.write.option("maxRecordsPerFile", pages_per_file).mode("append").parquet(
+    key = ["dataset", "payload_sha256"]
+    known = ledger.unionByName(fresh.select(*ledger.columns))
+    named = join_reduced(flagged.drop("payload", "stored_in", "block"), known, key)
+    named = named.withColumn("arrival", F.lit(arrival))
+    named = named.select(*[F.col(f.name).cast(f.dataType) for f in MANIFEST])
+    named.repartition("slot").write.partitionBy("slot").mode("append").parquet(
         manifest_path(root, run)
     )
 
@@ -77,10 +119,23 @@ def read_manifest(spark: SparkSession, root: str, run: str) -> DataFrame:
     return spark.read.schema(MANIFEST).parquet(manifest_path(root, run))
 
 
+def next_arrival(spark: SparkSession, root: str, run: str) -> int:
+    """The number of the run's next landing: one more than the last that its manifest names."""
+    if not path_exists(spark, manifest_path(root, run)):
+        return 0
+    last = read_manifest(spark, root, run).agg(F.max("arrival")).first()[0]
+    return 0 if last is None else last + 1
+
+
+def payload_places(manifest: DataFrame) -> list[tuple[str, str]]:
+    """The (run, block) partitions that hold the payloads of some manifest rows."""
+    return [tuple(r) for r in manifest.select("stored_in", "block").distinct().collect()]
+
+
 def with_payload(manifest: DataFrame, payloads: DataFrame) -> DataFrame:
-    """Manifest rows with their payload. Only partitions of the runs named are read."""
-    rows = payloads.select("stored_in", "dataset", "payload_sha256", "payload")
-    return manifest.join(rows, ["stored_in", "dataset", "payload_sha256"])
+    """Manifest rows with their payload."""
+    key = ["stored_in", "block", "dataset", "payload_sha256"]
+    return manifest.join(payloads.select(*key, "payload"), key)
 
 
 def scan_pages(spark: SparkSession, root: str, run: str, dataset: str, columns: list[str]) -> DataFrame:
@@ -123,12 +178,56 @@ def explode_pages(pages: DataFrame, body: str, columns: list[str]) -> DataFrame:
     )
 
 
-def raw_integrity_scan(spark: SparkSession, root: str) -> DataFrame:
-    """(dataset, digest, ok) of each stored payload: all its bytes must give its digest."""
+def raw_integrity_scan(
+    spark: SparkSession, root: str, places: Iterable[tuple[str, str]] | None = None
+) -> DataFrame:
+    """(dataset, digest, ok) of each stored payload: all its bytes must give its digest.
+
+    With ``places`` only those (run, block) partitions are read.
+    """
+    payloads = stored_payloads(spark, root) if places is None else block_payloads(spark, root, places)
     sound = F.sha2("payload", 256).eqNullSafe(F.col("payload_sha256"))
-    return stored_payloads(spark, root).select(
-        "dataset", F.col("payload_sha256").alias("digest"), sound.alias("ok")
-    )
+    return payloads.select("dataset", F.col("payload_sha256").alias("digest"), sound.alias("ok"))
+
+
+def unverified_places(spark: SparkSession, root: str, manifest: DataFrame) -> DataFrame:
+    """(stored_in, block) partitions that the manifest names and no check has found sound."""
+    named = manifest.select("stored_in", "block").distinct()
+    if not path_exists(spark, verified_path(root)):
+        return named
+    sound = spark.read.schema(PLACE).parquet(verified_path(root)).distinct()
+    return named.join(sound, ["stored_in", "block"], "left_anti")
+
+
+def verify_run(spark: SparkSession, root: str, run: str) -> DataFrame:
+    """Digests of a run's payloads that are lost or damaged, at most once per digest.
+
+    Only partitions that the run's manifest names and that no earlier check found sound are
+    read. Those without a fault are recorded, so the cost of a check is what is new.
+    """
+    manifest = read_manifest(spark, root, run)
+    places = materialize(unverified_places(spark, root, manifest), "unverified")
+    named = places.limit(MOST_PLACES + 1).collect()
+    if not named:
+        return manifest.select("payload_sha256").limit(0)
+    if len(named) <= MOST_PLACES:
+        payloads = block_payloads(spark, root, [tuple(r) for r in named])
+    else:
+        runs = [r[0] for r in places.select("stored_in").distinct().collect()]
+        payloads = stored_payloads(spark, root).where(F.col("stored_in").isin(runs))
+    sound = F.sha2("payload", 256).eqNullSafe(F.col("payload_sha256"))
+    key = ["stored_in", "block", "dataset", "payload_sha256"]
+    found = payloads.where(sound).select(*key).distinct()
+    expected = manifest.join(places, ["stored_in", "block"], "left_semi").select(*key).distinct()
+    lost = materialize(expected.join(found, key, "left_anti"), "lost")
+    sound_places = places.join(lost, ["stored_in", "block"], "left_anti")
+    sound_places.coalesce(1).write.mode("append").parquet(verified_path(root))
+    return lost.select("payload_sha256").distinct()
+
+
+def path_exists(spark: SparkSession, location: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
 def missing_pages(landed: DataFrame, expected: DataFrame) -> DataFrame:

@@ -154,7 +154,8 @@ INGESTION_RUNS = T.StructType(
     ]
 )
 
-# One arrival of a page in a run; ``stored_in`` is the run that stored its payload first.
+# One arrival of a page in a run; ``stored_in`` and ``block`` are the run and the block that
+# hold its payload. ``slot`` is the block of the landing that named it, and one manifest file.
 MANIFEST = T.StructType(
     [
         T.StructField("dataset", T.StringType()),
@@ -164,17 +165,20 @@ MANIFEST = T.StructType(
         T.StructField("payload_sha256", T.StringType()),
         T.StructField("row_count", T.LongType()),
         T.StructField("stored_in", T.StringType()),
+        T.StructField("block", T.StringType()),
         T.StructField("duplicate", T.BooleanType()),
+        T.StructField("slot", T.StringType()),
     ]
 )
 
-# A stored payload; its partition is the run that stored it.
+# A stored payload; its partitions are the run that stored it, the block and the dataset.
 PAYLOADS = T.StructType(
     [
         T.StructField("payload_sha256", T.StringType()),
         T.StructField("row_count", T.LongType()),
         T.StructField("payload", T.StringType()),
         T.StructField("stored_in", T.StringType()),
+        T.StructField("block", T.StringType()),
         T.StructField("dataset", T.StringType()),
     ]
 )

@@ -367,14 +367,16 @@ def test_a_failed_job_resumes(spark, raw, spec, tmp_path, monkeypatch):
     with pytest.raises(RuntimeError):
         ingestion.snapshot_job(spark, all_pages, root, spec, "run-1")
     row = ingestion.read_runs(spark, folders).first()
-    assert row["status"] == "failed" and row["error_message"] == "lost" and row["resume_count"] == 0
+    assert row["status"] == "transformation_failed" and row["checkpoint_status"] == "transformation_failed"
+    assert row["error_message"] == "lost" and row["resume_count"] == 0
     assert publication.current_set(spark, folders.published) is None
     monkeypatch.setattr(ingestion, "transform_only", real)
-    result = ingestion.snapshot_job(spark, all_pages, root, spec, "run-1")
+    # all pages are staged: none is needed again
+    result = ingestion.snapshot_job(spark, None, root, spec, "run-1")
     row = ingestion.read_runs(spark, folders).first()
     assert row["status"] == "succeeded" and row["resumed"] and row["resume_count"] == 1
     assert row["error_message"] is None and row["matched_vehicles"] == 6 and row["fuel_rows"] == 10
-    assert row["duplicate_payloads"] > 0 and result.relation_rows["mart_ev_overview"] == 6
+    assert row["duplicate_payloads"] == 0 and result.relation_rows["mart_ev_overview"] == 6
     # a second, smaller run replaces the snapshot; the first run's row stays
     vehicles, fuels = raw
     fewer = [df.where(F.col(spec.raw_id).isin("BAT", "HYD")) for df in (vehicles, fuels)]

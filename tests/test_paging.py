@@ -3,6 +3,7 @@ from conftest import values
 from pyspark.sql import functions as F
 
 from snapharbor.operators import matching, paging
+from snapharbor.session import materialize
 
 
 def ids(spark, names):
@@ -150,3 +151,61 @@ def test_page_counters(spark):
         counters.withColumn("run", F.lit("r")), "run", "page", ["rejected"]
     )
     assert [r["total_rejected"] for r in total.orderBy("page").collect()] == [2, 3, 4]
+
+
+def awkward(spark, n=4000):
+    """Rows with ties, nulls, dates, instants, decimals and text."""
+    return spark.range(n).select(
+        F.when(F.col("id") % 11 == 0, None).otherwise(F.col("id") * 7919 % 101).alias("k"),
+        F.expr("date_add(date'2020-01-01', cast(id * 31 % 17 as int))").alias("d"),
+        F.expr("timestamp_micros(1600000000000000 + id * 7 % 1000)").alias("t"),
+        F.expr("cast(id % 13 as decimal(12,2))").alias("m"),
+        F.concat(F.lit("é"), F.lpad((F.col("id") * 37 % n).cast("string"), 5, "0")).alias("s"),
+        F.col("id"),
+    )
+
+
+@pytest.mark.parametrize("columns", [["k"], ["s"], ["d", "k"], ["t"], ["m", "s"]])
+def test_offset_page_sorts_only_the_neighbourhood(spark, monkeypatch, columns):
+    monkeypatch.setattr(paging, "DIRECT_ROWS", 150)
+    monkeypatch.setattr(paging, "SAMPLE_ROWS", 200)
+    df = materialize(awkward(spark), "awkward")
+    order = [F.col(c) for c in columns]
+    rows = [tuple(r) for r in df.orderBy(*paging.total_order(df, order)).collect()]
+    sorted_rows = []
+    real = paging._neighbourhood
+
+    def watched(*args):
+        found = real(*args)
+        sorted_rows.append(found[2])
+        return found
+
+    monkeypatch.setattr(paging, "_neighbourhood", watched)
+    written = []
+    monkeypatch.setattr(paging, "materialize", lambda *a: written.append(a))
+    for offset, limit in ((0, 10), (1234, 50), (3990, 40), (5000, 10), (77, 0)):
+        page = paging.offset_page(df, order, offset, limit)
+        assert [tuple(r) for r in page.collect()] == rows[offset : offset + limit]
+    assert max(sorted_rows) <= 150 and written == []
+    plan = page._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange rangepartitioning") == 0
+
+
+def test_offset_page_of_equal_rows_and_of_descending_order(spark, monkeypatch):
+    monkeypatch.setattr(paging, "DIRECT_ROWS", 20)
+    monkeypatch.setattr(paging, "SAMPLE_ROWS", 50)
+    same = materialize(spark.range(500).select(F.lit(1).alias("k"), F.lit("x").alias("s")), "same")
+    assert paging.offset_page(same, [F.col("k")], 300, 7).count() == 7
+    assert paging.offset_page(same, [F.col("k")], 498, 7).count() == 2
+    down = paging.offset_page(awkward(spark, 300), [F.col("id").desc()], 10, 3)
+    assert [r["id"] for r in down.collect()] == [289, 288, 287]
+
+
+def test_snapshot_cap_in_the_order_of_arrival(spark, monkeypatch):
+    monkeypatch.setattr(paging, "DIRECT_ROWS", 20)
+    rows = spark.range(200).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("h"), F.floor(F.col("id") / 7).alias("page"), (F.col("id") % 7).alias("pos")
+    )
+    got = paging.snapshot_cap(rows.unionByName(rows.withColumn("page", F.col("page") + 50)), "h", 9, ["page", "pos"])
+    want = rows.where("page = 0 or (page = 1 and pos < 2)").select("h")
+    assert values(got) == values(want)
