@@ -812,6 +812,27 @@ def _sql() -> dict[str, str]:
         UNION ALL SELECT 'fact_vehicle_snapshot', count(*) FROM v
         UNION ALL SELECT 'fact_vehicle_fuel', count(*) FROM f
         UNION ALL SELECT 'mart_ev_overview', count(*) FROM v)"""
+    o["snapshot_job_resumed"] = f"""{o['snapshot_job']}
+        UNION ALL SELECT 'resume_count', 1"""
+    o["snapshot_job_limit"] = f"""SELECT sha256('{SALT}:' || CAST(o_orderkey AS VARCHAR)) AS vehicle_id_hash
+        FROM orders WHERE o_orderkey IN {anchored} ORDER BY CAST(o_orderkey AS VARCHAR) LIMIT 500"""
+    o["run_cursor"] = """SELECT max(id) AS cursor FROM apage
+        WHERE page < (SELECT (max(page) + 1) // 2 FROM apage)"""
+    o["verify_run"] = "SELECT digest FROM odigest WHERE page = 2"
+    o["stream_page_counters"] = """SELECT CAST(a.page AS BIGINT) AS page,
+            CAST(sum(1 + coalesce(v.n, 0) + coalesce(f.n, 0)) AS BIGINT) AS source_rows,
+            CAST(coalesce(sum(v.n) FILTER (f.n IS NOT NULL), 0) AS BIGINT) AS matched,
+            CAST(coalesce(sum(f.n) FILTER (v.n IS NOT NULL), 0) AS BIGINT) AS fuel_rows,
+            count(*) FILTER (v.n IS NULL OR f.n IS NULL) AS rejected
+        FROM apage a LEFT JOIN (SELECT id, count(*) AS n FROM rawv GROUP BY id) v ON v.id = a.id
+        LEFT JOIN (SELECT id, count(*) AS n FROM rawf GROUP BY id) f ON f.id = a.id GROUP BY a.page"""
+    o["mart_ev_metrics_maintained"] = o["mart_ev_metrics"]
+    o["except_all_by_bucket"] = o["except_all_both_ways"]
+    o["upsert_buckets"] = """SELECT l_orderkey, l_linenumber, l_returnflag FROM line1
+            WHERE (l_orderkey, l_linenumber) NOT IN (SELECT (l_orderkey, l_linenumber)
+                FROM lineitem WHERE l_orderkey % 1000 = 0)
+        UNION ALL SELECT l_orderkey, l_linenumber, 'U' FROM lineitem WHERE l_orderkey % 1000 = 0"""
+    o["upsert_buckets_untouched"] = "SELECT true AS some_untouched, 0 AS changed"
     return {name: _with(body) for name, body in o.items()}
 
 

@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from snapharbor.binding.star import KEY, SALT, SPEC, StarBinding, fuel_name, run_of
 from snapharbor.functions import keys, text
 from snapharbor.functions.calendar import calendar_parts
-from snapharbor.operators import gates, joins, matching, paging, payloads, quality, scans
+from snapharbor.operators import buckets, gates, joins, matching, paging, payloads, quality, scans
 from snapharbor.operators import runs as run_ops
 from snapharbor.operators import topn, upsert
-from snapharbor.plans import contracts, ingestion
+from snapharbor.plans import contracts, ingestion, maintenance
 from snapharbor.plans import measures as ms
 from snapharbor.plans import models as m
 from snapharbor.plans import normalize, reports
@@ -472,6 +472,20 @@ def dq_mart_recompute_diff(b):
     return quality.multiset_diff(m.star_metrics(models), models["mart_ev_metrics"])
 
 
+@query
+def mart_ev_metrics_maintained(b):
+    """The mart after two updates of its state: the first snapshot lacks some vehicles and the second
+    has others with different measures and one brand renamed."""
+    now = materialize(b.metric_rows().select(KEY, *m.METRIC_KEYS, *maintenance.MEASURES), "metric-rows")
+    first = now.where(F.col(KEY) % 7 != 0)
+    doubled = F.when(F.col(KEY) % 5 == 1, F.col("co2_combined_g_km") * 2).otherwise(F.col("co2_combined_g_km"))
+    renamed = F.when(F.col(KEY) % 11 == 3, F.lit("RENAMED")).otherwise(F.col("brand"))
+    second = now.withColumn("co2_combined_g_km", doubled).withColumn("brand", renamed)
+    state = materialize(maintenance.metric_state(first, KEY), "state-1")
+    state = materialize(maintenance.maintained_state(state, first, second, KEY), "state-2")
+    return maintenance.metrics_of_state(maintenance.maintained_state(state, second, now, KEY))
+
+
 @query
 def dq_mart_recompute_drift(b):
     """A metrics mart that has lost the groups of one brand and holds those of another twice."""
@@ -839,6 +853,13 @@ def except_all_both_ways(b):
     return quality.multiset_diff(b.table("lineitem").select(*cols), b.lines().select(*cols))
 
 
+@query
+def except_all_by_bucket(b):
+    """The same difference, found through checksums of buckets."""
+    cols = ["l_orderkey", "l_linenumber"]
+    return quality.bucketed_diff(b.table("lineitem").select(*cols), b.lines().select(*cols))
+
+
 @query
 def intersect_ids(b):
     orders = b.table("orders").select(F.col("o_orderkey").alias("key"))
@@ -1016,6 +1037,37 @@ def upsert_by_key_two(b):
     return upsert.upsert_by_key(target, incoming, ["l_orderkey", "l_linenumber"])
 
 
+def _bucketed(b):
+    """Lines stored in buckets, then upserted with those of one order key in a thousand."""
+    path, columns = scratch_path(b.spark, "buckets"), ["l_orderkey", "l_linenumber", "l_returnflag"]
+    keys_ = ["l_orderkey", "l_linenumber"]
+    target = b.lines().select(*columns)
+    buckets.write_buckets(target, path, keys_)
+    files = F.struct("_metadata.file_path", "_metadata.file_modification_time")
+    stored = b.spark.read.parquet(path)
+    before = materialize(stored.select(buckets.BUCKET, files.alias("file")).distinct(), "files")
+    incoming = b.table("lineitem").where("l_orderkey % 1000 = 0")
+    incoming = incoming.select("l_orderkey", "l_linenumber", F.lit("U").alias("l_returnflag"))
+    touched = buckets.upsert_buckets(incoming, path, target.schema, keys_)
+    now = b.spark.read.parquet(path).select(buckets.BUCKET, files.alias("file")).distinct()
+    rows = buckets.read_buckets(b.spark, path, target.schema).select(*columns)
+    return rows, before.where(~F.col(buckets.BUCKET).isin(touched)), now
+
+
+@query
+def upsert_buckets(b):
+    """The table after an upsert that rewrote only the buckets of its keys."""
+    return _bucketed(b)[0]
+
+
+@query
+def upsert_buckets_untouched(b):
+    """Files of buckets without an incoming key that the upsert has changed, and whether there are any."""
+    _, before, now = _bucketed(b)
+    gone = before.join(now, [buckets.BUCKET, "file"], "left_anti")
+    return _rows(gone, "changed").withColumn("some_untouched", F.lit(not before.isEmpty()))
+
+
 @query
 def resolve_latest(b):
     """Line items as a log of upserts, one version per ship year."""
@@ -1538,18 +1590,82 @@ def _clean_raw(b):
 
 
 @query
-def snapshot_job(b):
-    """One whole run: counters of its run row and rows of what it published."""
-    root = scratch_path(b.spark, "warehouse")
+def stream_page_counters(b):
+    """Counters of every anchor page as the micro-batches left them."""
+    root, log = scratch_path(b.spark, "raw"), scratch_path(b.spark, "log")
+    raw.land_raw_pages(_pages(b), root, "run_x", pages_per_file=25)
+    ingest.stream_page_ingest(b.spark, root, log, SPEC, "run_x", blocks_per_batch=2).awaitTermination()
+    return ingest.counted_pages(b.spark, log)
+
+
+def _job_pages(b):
     vehicles, fuels = _clean_raw(b)
     ids = paging.anchor_ids(_raw_anchors(b), ID, "f", SPEC.wanted_types)
-    pages = ingestion.cut_pages(ids, vehicles, fuels, SPEC, DEFAULT_PAGE_SIZE)
-    result = ingestion.snapshot_job(b.spark, pages, root, SPEC, "run_1")
+    return ingestion.cut_pages(ids, vehicles, fuels, SPEC, DEFAULT_PAGE_SIZE)
+
+
+def _job_outcome(b, root, result, counters):
+    """Counters of the run row and rows of what was published."""
     runs = ingestion.read_runs(b.spark, ingestion.Folders(root)).where("status = 'succeeded'")
-    counters = ["matched_vehicles", "fuel_rows", "source_rows_received", "rejected_rows"]
     cells = [F.struct(F.lit(c).alias("name"), F.col(c).cast("long").alias("rows")) for c in counters]
     facts = ("dim_vehicle", "fact_vehicle_snapshot", "fact_vehicle_fuel", "mart_ev_overview")
     published = b.spark.createDataFrame(
         [(name, result.relation_rows[name]) for name in facts], "name string, rows bigint"
     )
     return runs.select(F.explode(F.array(*cells)).alias("c")).select("c.*").unionByName(published)
+
+
+JOB_COUNTERS = ["matched_vehicles", "fuel_rows", "source_rows_received", "rejected_rows"]
+
+
+@query
+def snapshot_job(b):
+    """One whole run: counters of its run row and rows of what it published."""
+    root = scratch_path(b.spark, "warehouse")
+    result = ingestion.snapshot_job(b.spark, _job_pages(b), root, SPEC, "run_1")
+    return _job_outcome(b, root, result, JOB_COUNTERS)
+
+
+@query
+def snapshot_job_resumed(b):
+    """A run that failed for want of fuel pages and was resumed with all pages."""
+    root, pages = scratch_path(b.spark, "warehouse"), materialize(_job_pages(b), "pages")
+    try:
+        ingestion.snapshot_job(b.spark, pages.where("dataset <> 'fuels'"), root, SPEC, "run_1")
+    except upsert.EmptySnapshotError:
+        pass
+    result = ingestion.snapshot_job(b.spark, pages, root, SPEC, "run_1")
+    return _job_outcome(b, root, result, [*JOB_COUNTERS, "resume_count"])
+
+
+@query
+def snapshot_job_limit(b):
+    """Staged vehicles of a run with a limit: the first complete ones in the order of the pages."""
+    root = scratch_path(b.spark, "warehouse")
+    ingestion.snapshot_job(b.spark, _job_pages(b), root, SPEC, "run_1", limit=500)
+    staged = publication.scan_published(b.spark, ingestion.Folders(root).staging, "vehicles")
+    return staged.select("vehicle_id_hash")
+
+
+@query
+def run_cursor(b):
+    """Where a run goes on of which half of the pages have landed."""
+    root, pages = scratch_path(b.spark, "warehouse"), materialize(_job_pages(b), "pages")
+    half = pages.agg(F.floor((F.max("page") + 1) / 2)).first()[0]
+    raw.land_raw_pages(pages.where(F.col("page") < half), ingestion.Folders(root).raw, "run_1")
+    cursor = ingestion.run_cursor(b.spark, root, SPEC, "run_1")
+    return b.spark.createDataFrame([(cursor,)], "cursor string")
+
+
+@query
+def verify_run(b):
+    """Payloads of a second run that a check finds damaged: it reads what no check has read, the
+    first run's unchecked partitions among it."""
+    pages, _ = _payload_pages(b)
+    root = scratch_path(b.spark, "raw")
+    damaged = F.when(F.col("page") == 2, F.concat("payload", F.lit(" "))).otherwise(F.col("payload"))
+    raw.land_raw_pages(pages.where("page < 2"), root, "run_0")
+    raw.verify_run(b.spark, root, "run_0")
+    raw.land_raw_pages(pages.where("page < 4").withColumn("payload", damaged), root, "run_1")
+    raw.land_raw_pages(pages, root, "run_2")
+    return raw.verify_run(b.spark, root, "run_2").withColumnRenamed("payload_sha256", "digest")

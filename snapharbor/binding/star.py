@@ -223,10 +223,13 @@ class StarBinding:
         wide = self.wide(attributes=False, started=False)
         return m.fact_vehicle_fuel(m.wide_fuels(self.stg_fuels(), wide, SPEC, KEY), SPEC)
 
-    def metrics(self) -> DataFrame:
+    def metric_rows(self) -> DataFrame:
+        """Fuel rows with the attributes that the metrics mart groups by."""
         self.share_lines()
-        rows = m.wide_fuels(self.stg_fuels(), self.wide(started=False), SPEC, KEY)
-        return m.mart_ev_metrics(rows, KEY)
+        return m.wide_fuels(self.stg_fuels(), self.wide(started=False), SPEC, KEY)
+
+    def metrics(self) -> DataFrame:
+        return m.mart_ev_metrics(self.metric_rows(), KEY)
 
     def snapshot_staging(self) -> dict[str, DataFrame]:
         """Staging as a snapshot holds it: only vehicles with a wanted fuel."""
