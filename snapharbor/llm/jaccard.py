@@ -566,28 +566,23 @@ def keep_first(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """The rows of ``docs`` without near-copies: of each class, the row with the smallest id.
+    """The rows of ``docs`` without near-copies: exactly one row of each class stays.
 
-    All columns stay. Rows without words are kept, as is every row whose id is null: it names no
-    document. Of rows with equal id and text one stays; ids that name different texts are not
-    resolved further, rows under one kept id stay together.
+    It is the row with the smallest id, a null id coming last; of rows that share it, the first one.
+    Rows are told apart by a number of their own, so repeated and null ids hide no copy. All
+    columns stay. Rows without words (null, empty and blank texts) are no one's copies and stay.
     """
-    classes = stored(shingle_classes(docs, words, threshold, id_col, text_col), "classes")
-    ids = classes.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id"))
-    ids = stored(
-        ids.agg(F.count(F.lit(1)).alias("_rows"), F.max((F.col(id_col) == F.col("component_id")).cast("int")).alias("_kept")),
-        "kept",
-    )
-    doc_id = docs[id_col].cast("bigint")
-
-    def listed(rows: DataFrame) -> tuple[DataFrame, int]:
-        many = rows.count()  # of a stored table; up to the bound a broadcast saves moving all texts
-        return (F.broadcast(rows) if many <= BROADCAST_IDS else rows), many
-
-    gone, _ = listed(ids.where("_kept = 0 or _rows > 1").select("_id"))
-    once = docs.join(gone, doc_id == gone["_id"], "left_anti")
-    again, repeated = listed(ids.where("_kept = 1 and _rows > 1").select("_id"))
-    if not repeated:
-        return once
-    kept_once = docs.join(again, doc_id == again["_id"], "left_semi").dropDuplicates([id_col, text_col])
-    return once.unionByName(kept_once)
+    row = "_row"
+    while row in docs.columns:
+        row = f"_{row}"
+    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    classes = stored(shingle_classes(numbered, words, threshold, row, text_col), "classes")
+    ids = numbered.select(F.col(row).alias("r"), F.col(id_col).cast("bigint").alias("i"))
+    members = classes.where("n_shingles > 0").select(F.col(row).alias("r"), F.col("component_id").alias("c"))
+    members = stored(members.join(ids, "r"), "members")
+    # one row per class, reduced before it moves: a class may hold a third of all rows
+    first = members.groupBy("c").agg(F.min(F.struct(F.col("i").isNull().alias("n"), "i", "r"))["r"].alias("r"))
+    gone = stored(members.select("r").join(first.select("r"), "r", "left_anti"), "gone")
+    few = gone.count() <= BROADCAST_IDS  # of a stored table; up to the bound a broadcast saves moving all texts
+    gone = gone.withColumnRenamed("r", row)
+    return numbered.join(F.broadcast(gone) if few else gone, row, "left_anti").select(*docs.columns)

@@ -7,6 +7,8 @@ working on characters. Words and n-grams are identified by 64-bit hashes.
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,6 +48,55 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+# Scripts that are written without spaces (fixed values: blocks of Unicode): Han, Kana, Bopomofo,
+# Thai, Lao, Tibetan, Myanmar, Khmer.
+UNSPACED = (
+    (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x323AF), (0x3040, 0x30FF), (0x31F0, 0x31FF),
+    (0xFF66, 0xFF9D), (0x3100, 0x312F), (0x0E00, 0x0EFF), (0x0F00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF),
+)
+
+
+def _ranges(points: list[int]) -> str:
+    """The points as the inside of a character class."""
+    out, start = [], None
+    for here, after in zip(points, [*points[1:], -1]):
+        start = here if start is None else start
+        if after != here + 1:
+            out.append(chr(start) + "-" + chr(here))
+            start = None
+    return "".join(out)
+
+
+def segmenting() -> tuple[re.Pattern, re.Pattern]:
+    """Patterns for ``segmented``, found once on the driver: marks and spaces beyond ASCII (Unicode's P, S, Z and C but private ones), and characters of
+    unspaced scripts."""
+    parting = [
+        p
+        for p in range(0x80, 0x110000)
+        if not 0xD800 <= p < 0xE000 and (c := unicodedata.category(chr(p)))[0] in "PSZC" and c not in ("Cn", "Co")
+    ]
+    unspaced = "".join(f"{chr(a)}-{chr(b)}" for a, b in UNSPACED)
+    return re.compile(f"[{_ranges(parting)}]"), re.compile(f"[{unspaced}]")
+
+
+def segmented(column: pa.Array, patterns: tuple[re.Pattern, re.Pattern]) -> pa.Array:
+    """Texts whose marks and spaces beyond ASCII are blanks and whose characters of scripts without
+    spaces stand between blanks."""
+    data, _ = text_bytes(column)
+    if not len(data) or data.max() < 128:
+        return column
+    marks, unspaced = patterns
+    out = []
+    for text in column.to_pylist():
+        if text and not text.isascii():
+            if marks.search(text):
+                text = marks.sub(" ", text)
+            if unspaced.search(text):
+                text = unspaced.sub(lambda m: f" {m.group()} ", text)
+        out.append(text)
+    return pa.array(out, pa.large_string())
+
+
 def slices(column: pa.Array, target: int = 1 << 21) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``target`` bytes each; one long text is a range of its own."""
     lengths = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)

@@ -4,9 +4,12 @@ Documents and benchmark items that share a run of ``least`` tokens (a seed) are
 longest common runs that do not overlap are marked again and again, found by running
 Karp-Rabin hashes, until none of ``least`` tokens is left. The tiles need not be in the same order
 on both sides, so passages whose parts were moved around are caught as well. An item leaks into
-a document if its tiles cover a given share of its tokens.
+a document if its tiles cover a given share of its tokens; the document is contaminated if they
+also hold a least number of tokens. Below that a phrase that anyone might write would do ("yes", or half of
+"what is the capital of France today"): such leaks are listed, but no document goes for them.
 
-A token is a run of letters, digits and bytes beyond ASCII; A-Z are lower-cased.
+A token is a run of letters and digits; A-Z are lower-cased. Marks and spaces of all scripts part
+tokens, and each character of a script without spaces is a token.
 """
 
 from __future__ import annotations
@@ -19,19 +22,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapharbor.llm.shared import batch, chunks, opened, prepare, shipped
-from snapharbor.llm.textbytes import Words, ngrams
+from snapharbor.llm.textbytes import Words, ngrams, segmented, segmenting
 
 LEAST = 4
 COVERAGE = 0.5
+# Tokens under tiles from which a leak tells something about the document.
+MATCHED = 8
 # Benchmark tokens that are held by every task at a time; more are taken in several passes.
 BLOCK_TOKENS = 2_000_000
 FIRST_SEARCH = 20
 
 LEAKS = pa.schema(
-    [("row", pa.int64()), ("item_id", pa.int64()), ("coverage", pa.float64()), ("tiles", pa.int32())]
-    + [("longest", pa.int32()), ("tile_spans", pa.list_(pa.int32()))]
+    [("row", pa.int64()), ("item_id", pa.int64()), ("coverage", pa.float64()), ("matched", pa.int32())]
+    + [("tiles", pa.int32()), ("longest", pa.int32()), ("tile_spans", pa.list_(pa.int32()))]
 )
-LEAKS_DDL = "`row` bigint, item_id bigint, coverage double, tiles int, longest int, tile_spans array<int>"
+LEAKS_DDL = "`row` bigint, item_id bigint, coverage double, matched int, tiles int, longest int, tile_spans array<int>"
 _MODULUS = (1 << 61) - 1
 _RADIX = 0x1F3D5B79A2C4E681 % _MODULUS
 
@@ -123,7 +128,9 @@ class Index:
     """Benchmark items and where their seeds are."""
 
     def __init__(self, items: list[tuple[int, str | None]], least: int):
-        found = Words(pa.array([text for _, text in items], pa.string()), marks=True)
+        self.patterns = segmenting()
+        texts = pa.array([text for _, text in items], pa.string())
+        found = Words(segmented(texts, self.patterns), marks=True)
         self.ids = [item_id for item_id, _ in items]
         self.tokens = [found.hashes[found.first[i] : found.first[i + 1]] for i in range(len(items))]
         self.least = [min(least, len(t)) for t in self.tokens]
@@ -141,8 +148,8 @@ class Index:
 
 
 def leaked_items(index: Index, column: pa.Array, coverage: float) -> list[tuple]:
-    """(row, item id, coverage, tiles, longest, spans) of the items that leaked into some texts."""
-    found = Words(column, marks=True)
+    """(row, item id, coverage, matched tokens, tiles, longest, spans) of items that leaked into some texts."""
+    found = Words(segmented(column, index.patterns), marks=True)
     row_of = found.row_of_word()
     hits = defaultdict(list)  # (row, item): places of seeds
     for n in index.sizes:
@@ -166,12 +173,13 @@ def leaked_items(index: Index, column: pa.Array, coverage: float) -> list[tuple]
         if np.isin(tokens, a[slot]).sum() < coverage * len(tokens):
             continue
         tiled = tiles((a >> np.uint64(3)).tolist(), (tokens >> np.uint64(3)).tolist(), free.tolist(), least)
-        share = sum(n for n, _, _ in tiled) / len(tokens)
+        matched = sum(n for n, _, _ in tiled)
+        share = matched / len(tokens)
         if share >= coverage:
             real = np.zeros(len(a), np.int64)
             real[slot] = covered - found.first[i]
             spans = [x for n, p, _ in sorted(tiled, key=lambda t: t[1]) for x in (int(real[p]), n)]
-            out.append((i, index.ids[item], share, len(tiled), max(n for n, _, _ in tiled), spans))
+            out.append((i, index.ids[item], share, matched, len(tiled), max(n for n, _, _ in tiled), spans))
     return out
 
 
@@ -187,12 +195,12 @@ def _leaks(shared, coverage: float):
     return run
 
 
-def _clean(shared, coverage: float, text_col: str):
+def _clean(shared, coverage: float, matched: int, text_col: str):
     def run(batches):
         index = opened(shared)
         for rows in chunks(batches, 1 << 21, text_col):
             keep = np.ones(rows.num_rows, bool)
-            keep[[x[0] for x in leaked_items(index, rows.column(text_col), coverage)]] = False
+            keep[[x[0] for x in leaked_items(index, rows.column(text_col), coverage) if x[3] >= matched]] = False
             yield rows.filter(pa.array(keep))
 
     return run
@@ -216,15 +224,16 @@ def leaks(
     benchmark: DataFrame,
     least: int = LEAST,
     coverage: float = COVERAGE,
+    matched: int = MATCHED,
     id_col: str = "doc_id",
     text_col: str = "text",
     block_tokens: int = BLOCK_TOKENS,
 ) -> DataFrame:
     """One row per document and benchmark item that leaked into it: (doc_id, contaminated,
-    item_id, coverage, tiles, longest, tile_spans).
+    item_id, coverage, matched, tiles, longest, tile_spans).
 
-    ``coverage`` is the share of the item's tokens under tiles of at least ``least`` tokens, ``longest`` the
-    longest tile, ``tile_spans`` (first token, tokens) of each tile in the document, flat. An item
+    ``coverage`` is the share of the item's tokens under tiles of at least ``least`` tokens, and
+    ``contaminated`` says whether ``matched`` of them or more are; ``longest`` is the longest tile, ``tile_spans`` (first token, tokens) of each tile in the document, flat. An item
     with fewer tokens than ``least`` must occur whole. Null, empty and wordless texts leak nothing and
     hold nothing. Repeated documents or items, also with one id, are reported each; null ids stay
     null. Other columns are ignored.
@@ -238,8 +247,8 @@ def leaks(
     for shared in indexes(benchmark, least, block_tokens):
         part = rows.mapInArrow(_leaks(shared, coverage), LEAKS_DDL)
         found = part if found is None else found.unionByName(part)
-    named = (F.col("row").alias(id_col), F.lit(True).alias("contaminated"))
-    return found.select(*named, "item_id", "coverage", "tiles", "longest", "tile_spans")
+    named = (F.col("row").alias(id_col), (F.col("matched") >= matched).alias("contaminated"))
+    return found.select(*named, "item_id", "coverage", "matched", "tiles", "longest", "tile_spans")
 
 
 def drop_leaks(
@@ -247,11 +256,12 @@ def drop_leaks(
     benchmark: DataFrame,
     least: int = LEAST,
     coverage: float = COVERAGE,
+    matched: int = MATCHED,
     text_col: str = "text",
     block_tokens: int = BLOCK_TOKENS,
 ) -> DataFrame:
-    """The rows of ``docs`` into which no benchmark item leaked; all columns stay."""
+    """The rows of ``docs`` that no benchmark item has contaminated (see ``leaks``); all columns stay."""
     prepare(docs.sparkSession)
     for shared in indexes(benchmark, least, block_tokens):
-        docs = docs.mapInArrow(_clean(shared, coverage, text_col), docs.schema)
+        docs = docs.mapInArrow(_clean(shared, coverage, matched, text_col), docs.schema)
     return docs

@@ -78,6 +78,17 @@ def test_sample_is_bounded_and_labels_resolved(spark, corpus):
     assert all_rows.get(5, 1) == 1 and None not in all_rows and 9999 not in all_rows
 
 
+def test_an_id_of_many_rows_is_one_row_of_the_sample(spark):
+    ids = [k for k in range(40) if not held(k)][:3]
+    rows = [(ids[0], f"text {k}") for k in range(500)] + [(ids[1], None), (ids[1], "b"), (ids[2], None)]
+    marks = spark.createDataFrame([(i, 1, 1, "x") for i in ids], LABELS)
+    found = [training_rows(documents(spark, some), marks, "toxic").collect() for some in (rows, rows[::-1])]
+    assert sorted(r.id for r in found[0]) == sorted(ids)
+    assert {(r.id, r.text) for r in found[0]} == {(r.id, r.text) for r in found[1]}
+    assert (ids[1], "b") in {(r.id, r.text) for r in found[0]}
+    assert len(training_rows(documents(spark, rows), marks, "toxic", 1).collect()) == 1
+
+
 def test_weights_are_sparse(spark, corpus):
     rows, labels = corpus
     at, weight = toxicity.train(documents(spark, rows), spark.createDataFrame(labels, LABELS))

@@ -87,14 +87,30 @@ def test_empty_table(spark):
     assert keep_first(documents(spark, [])).collect() == []
 
 
+def first_of_classes(rows):
+    """(id, text) that stay: of each class by rows the smallest id, nulls last, then the first row."""
+    numbered = [(k, t) for k, (_, t) in enumerate(rows)]
+    classes = {}
+    for k, n, c in brute(numbered, 5, 80, 100):
+        classes.setdefault(c if n else ("alone", k), []).append(k)
+    kept = [min(ks, key=lambda k: (rows[k][0] is None, rows[k][0] or 0, k)) for ks in classes.values()]
+    return sorted((rows[k] for k in kept), key=str)
+
+
 def test_keep_first_keeps_one_of_each_class(spark, corpus):
     docs = documents(spark, corpus, clashing=True)
     kept = keep_first(docs)
     assert kept.columns == docs.columns
-    want = {(i, c) for i, _, c in brute(corpus, 5, 80, 100)}
-    got = kept.where(F.col("doc_id").isNotNull()).select("doc_id").collect()
-    assert sorted(r.doc_id for r in got) == sorted({i for i, c in want if i is not None and i == c})
-    assert kept.where("doc_id is null").count() == 2
+    assert collected(kept, "doc_id", "text") == first_of_classes(corpus)
+
+
+def test_repeated_and_null_ids_hide_no_copy(spark):
+    text, other = " ".join(f"w{k}" for k in range(60)), " ".join(f"v{k}" for k in range(60))
+    near = text + " more"
+    rows = [(None, text), (None, text), (5, other), (5, other + " x"), (9, "a b c d e f"), (9, near), (2, near), (7, None), (7, ""), (None, text)]
+    want = first_of_classes(rows)
+    assert collected(keep_first(documents(spark, rows)), "doc_id", "text") == want
+    assert want == sorted([(2, near), (5, other), (9, "a b c d e f"), (7, None), (7, "")], key=str)
 
 
 def test_words_and_shingles_match_plain_python():

@@ -112,12 +112,13 @@ def test_leaks_match_brute_force(spark, bench, corpus, block_tokens):
     found = leaks(documents(spark, corpus, clashing=True), frame(spark, bench), block_tokens=block_tokens)
     got = sorted(((r.doc_id, r.item_id, round(r.coverage, 9)) for r in found.collect()), key=str)
     assert got == brute(corpus, bench)
-    assert all(r.contaminated for r in found.collect())
+    # two words tell nothing about a document
+    assert all(r.contaminated == (r.item_id != 50) and r.contaminated == (r.matched >= 8) for r in found.collect())
 
 
 def test_leaking_rows_go_and_others_stay(spark, bench, corpus):
     docs = documents(spark, corpus, clashing=True)
-    bad = {x[0] for x in brute(corpus, bench)}
+    bad = {x[0] for x in brute(corpus, bench) if x[1] != 50}
     kept = drop_leaks(docs, frame(spark, bench))
     assert kept.columns == docs.columns
     assert collected(kept, "doc_id", "text", "row") == sorted(
@@ -125,6 +126,27 @@ def test_leaking_rows_go_and_others_stay(spark, bench, corpus):
     )
 
 
+def test_short_items_contaminate_nothing(spark):
+    items = [(1, "yes"), (2, "what is the capital of France today"), (3, "one two three four five six seven eight nine")]
+    rows = [(1, "I said yes to it"), (2, "what is the capital here"), (3, "one two three four five six seven eight")]
+    found = leaks(documents(spark, rows), frame(spark, items))
+    assert collected(found, "doc_id", "item_id", "contaminated") == [(1, 1, False), (2, 2, False), (3, 3, True)]
+    assert collected(drop_leaks(documents(spark, rows), frame(spark, items)), "doc_id") == [(1,), (2,)]
+
+
+def test_scripts_without_spaces_and_other_marks(spark):
+    chinese = "人工智能是计算机科学的一个分支,它企图了解智能的实质"
+    thai = "ภาษาไทยเป็นภาษาที่มีระดับเสียง"
+    french = "il était une fois dans un pays très lointain une reine qui aimait les pommes"
+    items = [(1, chinese), (2, thai), (3, french)]
+    rows = [
+        (1, "今天天气很好。" + chinese.replace(",", ",") + "。明天再说"), (2, "ก่อนหน้า" + thai + "ต่อไป"),
+        (3, "« " + french.replace(" ", "\u00a0").replace("lointain", "lointain\u2014") + " »"), (4, "今天天气很好,明天再说"),
+    ]
+    found = leaks(documents(spark, rows), frame(spark, items))
+    assert collected(found, "doc_id", "item_id", "contaminated") == [(1, 1, True), (2, 2, True), (3, 3, True)]
+
+
 def test_empty_tables(spark, bench, corpus):
     assert leaks(documents(spark, []), frame(spark, bench)).collect() == []
     assert leaks(documents(spark, corpus), frame(spark, [])).collect() == []
