@@ -5,16 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from snapharbor.session import materialize
+
 
 def topn_with_ties(groups: DataFrame, measure: str, n: int) -> DataFrame:
     """Groups whose measure is among the ``n`` largest, ties kept.
 
     The ``n``-th largest value is the threshold: a top-k per task and one value to
-    compare with, instead of ranking all groups in one window partition.
+    compare with, instead of ranking all groups in one window partition. The groups are stored
+    first, since both the threshold and the result read them.
     """
     if n < 1:
         raise ValueError("n must be positive")
-    scored = groups.where(F.col(measure).isNotNull())
+    scored = materialize(groups.where(F.col(measure).isNotNull()), "groups")
     largest = scored.select(measure).orderBy(F.col(measure).desc()).limit(n)
     threshold = largest.agg(F.min(measure).alias("threshold"))
     return scored.where(F.col(measure) >= threshold.scalar())

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from snapharbor.operators.topn import top_rows, topn_with_ties
 from snapharbor.plans.measures import measure
+from snapharbor.session import materialize
 
 
 def vehicles_by(overview: DataFrame, *by: str) -> DataFrame:
@@ -23,7 +24,7 @@ def brand_by_powertrain(overview: DataFrame, n: int = 15) -> DataFrame:
 
     The finer groups are computed once; brand totals are sums of those small groups.
     """
-    cells = vehicles_by(overview, "brand", "powertrain_category")
+    cells = materialize(vehicles_by(overview, "brand", "powertrain_category"), "cells")
     brands = cells.groupBy("brand").agg(F.sum("vehicles").alias("total"))
     top = topn_with_ties(brands, "total", n)
     same = F.col("c.brand").eqNullSafe(F.col("t.brand"))
