@@ -9,6 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from snapharbor.session import materialize
+
+# Bits of the filter that cells are held against: 2 MB as a table of words.
+FILTER_BITS = 1 << 24
+
 # Credential and path patterns of the repository audit, each with
 # literals of which any match must contain one.
 AUDIT_PATTERNS = {
@@ -62,14 +67,33 @@ def scan_paths(df: DataFrame, path_col: str) -> DataFrame:
     return df.where(F.col(path_col).rlike(PROHIBITED_PATH))
 
 
+def id_filter(ids: DataFrame, value: str) -> DataFrame:
+    """(word, bits): a bit for the hash of every id; at most FILTER_BITS / 64 rows, however many ids."""
+    slot = F.xxhash64(value).bitwiseAND(FILTER_BITS - 1)
+    bit = F.expr(f"shiftleft(1L, cast(xxhash64({value}) & 63 as int))")
+    return ids.groupBy(F.shiftright(slot, 6).alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+
+
+def may_be_ids(cells: DataFrame, words: DataFrame, value: str) -> DataFrame:
+    """Cells whose bit is set. The filter is broadcast, its size being bounded, so nothing moves."""
+    slot = F.shiftright(F.xxhash64(value).bitwiseAND(FILTER_BITS - 1), 6)
+    bit = F.expr(f"shiftright(_bits, cast(xxhash64({value}) & 63 as int)) & 1")
+    marked = cells.withColumn("_word", slot).join(F.broadcast(words), "_word")
+    return marked.where(bit == 1).select(*cells.columns)
+
+
 def scan_plaintext_values(
     outputs: dict[str, DataFrame], raw_ids: DataFrame, id_col: str
 ) -> DataFrame:
     """(relation, column, rows) where a text column holds a raw identifier.
 
-    Values are counted per (relation, column, value) before the lookup, so a value
+    Cells are first held against a bit filter of all ids where they are read, so that hardly any
+    but the hits move. (With hundreds of millions of ids the filter lets most cells pass; the result is
+    the same.) Values are counted per (relation, column, value) before the lookup, so a value
     repeated in most rows moves as one row.
     """
+    ids = raw_ids.select(F.col(id_col).alias("value")).where(F.col("value").isNotNull()).distinct()
+    words = materialize(id_filter(ids, "value"), "id-filter")
     parts = []
     for relation, df in outputs.items():
         texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
@@ -85,13 +109,12 @@ def scan_plaintext_values(
                 "relation", "cell.column", "cell.value"
             )
         )
+    cells = reduce(DataFrame.unionByName, parts).where(F.col("value").isNotNull())
     values = (
-        reduce(DataFrame.unionByName, parts)
-        .where(F.col("value").isNotNull())
+        may_be_ids(cells, words, "value")
         .groupBy("relation", "column", "value")
         .agg(F.count(F.lit(1)).alias("rows"))
     )
-    ids = raw_ids.select(F.col(id_col).alias("value")).distinct()
     return (
         values.join(ids, "value", "left_semi")
         .groupBy("relation", "column")

@@ -113,3 +113,14 @@ def test_topn_keeps_ties(spark):
     df = spark.createDataFrame([("a", 5), ("b", 4), ("c", 4), ("d", 1), ("e", None)], "g string, n int")
     assert values(topn.topn_with_ties(df, "n", 2), "g") == [("a",), ("b",), ("c",)]
     assert topn.topn_with_ties(df, "n", 50).count() == 4
+
+
+def test_only_cells_that_may_be_ids_move(spark):
+    ids = spark.range(5000).select(F.concat(F.lit("id"), F.col("id").cast("string")).alias("value"))
+    cells = spark.range(20000).select(F.concat(F.lit("id"), (F.col("id") * 1000).cast("string")).alias("value"), F.lit("r").alias("relation"))
+    words = scans.id_filter(ids, "value")
+    passed = scans.may_be_ids(cells, words, "value")
+    hits = {f"id{k}" for k in range(0, 5000, 1000)}
+    found = [r["value"] for r in passed.collect()]
+    assert hits <= set(found) and len(found) < 50 and passed.columns == cells.columns
+    assert words.count() <= scans.FILTER_BITS // 64
