@@ -13,8 +13,10 @@ names after a title, gender and script (Latin, Cyrillic, Greek).
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import hmac
+import ipaddress
 import re
 from collections.abc import Iterator
 
@@ -41,24 +43,37 @@ TITLES = {
     "госпожа": "f", "г-жа": "f", "Госпожа": "f", "κυρία": "f", "Κυρία": "f",
     "Dr": "x", "Prof": "x",
 }
+TITLES |= {title.upper(): gender for title, gender in TITLES.items() if title[0].isupper()}
+# What people say before their name.
+TITLES |= dict.fromkeys(
+    ["My name is", "my name is", "Mein Name ist", "mein Name ist", "Ich heiße", "ich heiße", "Je m'appelle", "je m'appelle",
+     "Me llamo", "me llamo", "Mi nombre es", "mi nombre es", "Меня зовут", "меня зовут"], "x",
+)
+# Two-digit country codes of telephone numbers (fixed values); 1 and 7 have one digit, all others three.
+COUNTRIES = frozenset(
+    "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 "
+    "90 91 92 93 94 95 98".split()
+)
 _NAME = r"[A-ZÀ-ÖØ-ÞΑ-ΫΆΈΉΊΌΎΏА-ЯЁ][\w'’-]*"
 PATTERN = re.compile(
-    r"(?P<email>[A-Za-z0-9_%+][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})"
+    r"(?P<email>[\w%+][\w.%+-]*@[\w-]+(?:\.[\w-]+)*\.[^\W\d_]{2,})"
     r"|(?P<assigned>(?i:pass(?:word|wd)?|pwd|secret|token|api[_-]?key|access[_-]?key)[\"']?\s*[=:]\s*[\"']?)(?P<secret>(?=[^\s\"',;]*[^\W_])[^\s\"',;]{6,})"
     r"|(?<![A-Za-z0-9])(?P<cloud>(?:AKIA|ASIA)[A-Z0-9]{16}|gh[opsu]_[A-Za-z0-9]{20,}|sk-[A-Za-z0-9_-]{16,})(?![A-Za-z0-9])"
     r"|(?<![A-Za-z0-9])(?P<iban>[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])"
     r"|(?<![\w:])(?P<ipv6>(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4})(?![\w:])"
+    r"|(?<![\w:])(?P<short6>(?=[0-9A-Fa-f:]*::)(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4})(?![\w:])"
     r"|(?<![\w:])(?P<mac>(?:[0-9A-Fa-f]{2}[:-]){5}[0-9A-Fa-f]{2})(?![\w:])"
     r"|(?<![\w.])(?P<ipv4>(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3})(?!\.?\d)"
     r"|(?<![\w-])(?P<ssn>\d{3}-\d{2}-\d{4})(?![\w-])"
     r"|(?<![\w.,])(?P<card>\d{4}(?:[ -]?\d{4}){2}(?:[ -]?\d{1,7})|\d{13,19})(?!\w)"
-    r"|(?<![\w.])(?P<country>\+\d{1,3}[ .-]?)?(?P<phone>\(?\d{2,4}\)?[ .-]?\d{3,4}[ .-]\d{3,4})(?!\w)"
+    r"|(?<![\w.+])(?P<abroad>\+\d{1,4}(?:[ .-]?\(?\d{1,5}\)?){1,5})(?!\w)"
+    r"|(?<![\w.-])(?P<phone>\(?\d{2,4}\)?[ .-]?\d{3,4}[ .-]\d{3,4}|0\d(?:[ .-]\d{2}){4}|0\d{2,4}[ /-]\d{5,8}|[2-9]\d{9})(?!\w)"
     r"|(?<![A-Za-z0-9])(?P<hex>[0-9a-f]{32,}|[0-9A-F]{32,})(?![A-Za-z0-9])"
     rf"|\b(?P<title>{'|'.join(sorted(TITLES, key=len, reverse=True))})\.?\s+(?P<name>{_NAME}(?:\s{_NAME}){{0,2}})"
 )
 # A text without any of these has no match; Spark tests it before the text goes to Python.
 HINT = (
-    r"[0-9@=:]|(?=[" + "".join(sorted({t[0] for t in TITLES})) + r"])(?<![\p{L}])(?:" + "|".join(TITLES) + ")"
+    r"[\p{Nd}@=:]|sk-|gh[opsu]_|AKIA|ASIA|[a-f]{32}|[A-F]{32}|(?=[" + "".join(sorted({t[0] for t in TITLES})) + r"])(?<![\p{L}])(?:" + "|".join(TITLES) + ")"
 )
 _CLOUD = re.compile(r"(?:AKIA|ASIA)[A-Z0-9]{16}|gh[opsu]_[A-Za-z0-9]{20,}|sk-[A-Za-z0-9_-]{16,}")
 
@@ -167,7 +182,7 @@ def stand_in(key: bytes, kind: str, form: str, attempt: int) -> str:
         return ".".join(map(str, octets[:fixed] + drawn[fixed:]))
     if kind == "ssn":
         return f"{100 + draw.below(500)}{1 + draw.below(99):02d}{1 + draw.below(9999):04d}{more(_DIGITS)}"
-    if kind == "phone":
+    if kind.startswith("phone"):
         return draw.of("23456789") + like(form[1:], draw) + more(_DIGITS)
     if kind == "cloud":
         head = re.match(r"AKIA|ASIA|gh._|sk-", form).group()
@@ -187,7 +202,7 @@ def stand_in(key: bytes, kind: str, form: str, attempt: int) -> str:
 
 
 def canonical(kind: str, text: str) -> str:
-    if kind in ("card", "phone", "ssn"):
+    if kind in ("card", "ssn") or kind.startswith("phone"):
         return re.sub(r"\D", "", text)
     if kind == "iban":
         return text.replace(" ", "")
@@ -200,7 +215,7 @@ def canonical(kind: str, text: str) -> str:
 
 def rendered(kind: str, text: str, form: str) -> str:
     """A stand-in written the way ``text`` is."""
-    if kind in ("card", "phone", "ssn", "iban"):
+    if kind in ("card", "ssn", "iban") or kind.startswith("phone"):
         left = iter(form)
         return "".join(next(left) if c.isalnum() else c for c in text) + "".join(left)
     if kind in ("email", "ipv6", "mac"):
@@ -215,33 +230,97 @@ def rendered(kind: str, text: str, form: str) -> str:
     return form
 
 
+def country_of(digits: str) -> str:
+    """The country code that a number written with a plus begins with."""
+    return digits[:1] if digits[:1] in "17" else digits[:2] if digits[:2] in COUNTRIES else digits[:3]
+
+
+def family_gender(word: str) -> str:
+    """The gender that the form of a family name shows, whatever title stands before it."""
+    script, end = script_of(word), word.lower()
+    if script == "c":
+        return "f" if end.endswith(("а", "я")) else "x" if end.endswith(("о", "и", "ы", "х")) else "m"
+    if script == "g":
+        return "m" if end.endswith(("ς", "σ")) else "f" if end.endswith(("ου", "α", "ά", "η", "ή")) else "x"
+    return "x"
+
+
+def _name_kinds(titled: list[tuple[str, str, str]]) -> dict[str, str]:
+    """Kind of each word of a text's titled names, given as (word, role, gender).
+
+    A word is one name throughout a text: after a title alone it is what it is beside other names, a family name
+    if nothing else is known. A given name has the gender that its titles agree on. The kind of a family
+    name does not depend on titles, so that Mr, Mrs and Dr Smith share one.
+    """
+    roles: dict[str, set[str]] = {}
+    genders: dict[str, set[str]] = {}
+    for word, role, gender in titled:
+        roles.setdefault(word.lower(), set()).add(role)
+        genders.setdefault(word.lower(), set()).add(gender)
+    kinds = {}
+    for word, found in roles.items():
+        if "family" in found or "given" not in found:
+            kinds[word] = f"family_{family_gender(word)}_{script_of(word)}"
+        else:
+            known = genders[word] - {"x"}
+            kinds[word] = f"given_{known.pop() if len(known) == 1 else 'x'}_{script_of(word)}"
+    return kinds
+
+
+def _plain_word(text: str) -> bool:
+    """What follows "password:" in a sentence is a word, not a password."""
+    return re.fullmatch(r"[^\W\d_]?[^\W\d_A-Z]+[.!?)]*", text) is not None
+
+
 def mentions(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the entities of a text, in order, without overlap."""
-    found, names = [], {}
+    found: list[tuple[int, int, str]] = []
+    titled: list[tuple[int, int, str, str, str]] = []
     for m in PATTERN.finditer(text):
         kind = m.lastgroup
         if kind == "name":
-            gender = TITLES[m["title"]]
             words = list(re.finditer(_NAME, m["name"]))
             words = [w for w in words if script_of(w.group()) == script_of(words[0].group())]
             for k, w in enumerate(words):
-                part = "given" if len(words) > 1 and k < len(words) - 1 else "family"
-                kind = f"{part}_{gender}_{script_of(w.group())}"
-                found.append((m.start("name") + w.start(), m.start("name") + w.end(), kind))
-                names.setdefault(w.group(), kind)
-                names.setdefault(w.group().upper(), kind)
-        elif kind == "phone" and not 7 <= len(re.sub(r"\D", "", m["phone"])) <= 12:
+                role = "single" if len(words) == 1 else "family" if k == len(words) - 1 else "given"
+                at = m.start("name")
+                titled.append((at + w.start(), at + w.end(), w.group(), role, TITLES[m["title"]]))
+        elif kind == "abroad":
+            digits = re.sub(r"\D", "", m[kind])
+            if not 8 <= len(digits) <= 15:
+                continue
+            code = country_of(digits)
+            start = re.match(r"\+" + r"\D*".join(code) + r"[ .-]*", m[kind]).end()
+            # numbers are written with or without +1
+            found.append((m.start() + start, m.end(), "phone" if code == "1" else f"phone_{code}"))
+        elif kind == "phone":
+            if 7 <= len(re.sub(r"\D", "", m[kind])) <= 12 and not re.fullmatch(r"\d{1,3}(?:\.\d{3})+", m[kind]):
+                found.append((*m.span(kind), kind))
+        elif kind == "short6":
+            try:
+                digits = m[kind].replace(":", "")
+                if len(digits) > 3 and any(c.isdigit() for c in digits):
+                    ipaddress.IPv6Address(m[kind])
+                    found.append((*m.span(kind), "ipv6"))
+            except ValueError:
+                continue
+        elif kind == "secret" and _plain_word(m[kind]):
             continue
         else:
             span = m.span(kind)
             if kind in ("secret", "hex", "cloud"):  # one value is one entity, however it is introduced
                 kind = "cloud" if _CLOUD.fullmatch(m[kind]) else "secret"
             found.append((*span, kind))
-    if names:  # later mentions without a title
-        taken = [(a, b) for a, b, _ in found]
-        for m in re.finditer(r"\b(?:" + "|".join(map(re.escape, sorted(names, key=len, reverse=True))) + r")\b", text):
-            if not any(a < m.end() and m.start() < b for a, b in taken):
-                found.append((*m.span(), names[m.group()]))
+    if titled:
+        kinds = _name_kinds([t[2:] for t in titled])
+        found += [(a, b, kinds[word.lower()]) for a, b, word, _, _ in titled]
+        taken = sorted((a, b) for a, b, _ in found)
+        spellings = {s for _, _, w, _, _ in titled for s in (w, w.upper(), w.capitalize() if w.isupper() else w)}
+        # later mentions without a title
+        for m in re.finditer(r"\b(?:" + "|".join(map(re.escape, sorted(spellings, key=len, reverse=True))) + r")\b", text):
+            at = bisect.bisect_left(taken, (m.end(),))
+            if not (at and taken[at - 1][1] > m.start()):
+                found.append((*m.span(), kinds[m.group().lower()]))
         found.sort()
     return found
 

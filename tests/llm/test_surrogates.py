@@ -138,3 +138,59 @@ def test_empty_table(spark):
 def test_canonical_forms():
     assert canonical("phone", "(743) 555-3824") == "7435553824"
     assert canonical("iban", "DE89 3704 0044 0532 0130 00") == "DE89370400440532013000"
+
+
+def test_one_person_is_one_name():
+    def of(text):
+        return [(t.lower(), k) for k, t in kinds(text)]
+
+    assert len({k for _, k in of("Dr Smith came. Mr Smith left. Smith stayed. MRS. SMITH too, and Mrs Smith.")}) == 1
+    found = dict(of("Mr John came with Mr John Smith; John Smith left."))
+    assert found["john"] == "given_m_l" and found["smith"] == "family_x_l"
+    assert set(of("Mr John came with Mr John Smith; John Smith left.")) == set(found.items())
+    assert dict(of("Dr Anna Lee and Mrs Anna Lee."))["anna"] == "given_f_l"
+    # across texts a family name does not depend on its title either
+    names = {rendered(k, "Smith", stand_in(b"k", k, "smith", 0)) for t in ("Mr Smith", "Mrs Smith", "Prof. Smith") for _, k in of(t)}
+    assert len(names) == 1
+    assert dict(of("г-н Иванов и госпожа Иванова")) == {"иванов": "family_m_c", "иванова": "family_f_c"}
+
+
+@pytest.mark.parametrize(
+    "text,kind",
+    [
+        ("+14155550123", "phone"), ("5551234567", "phone"), ("06 12 34 56 78", "phone"), ("030 12345678", "phone"),
+        ("+49 30 1234567", "phone_49"), ("+351 21 123 4567", "phone_351"), ("2001:db8::1", "ipv6"), ("fe80::1ff:fe23:4567:890a", "ipv6"),
+        ("user@münchen.de", "email"), ("jürgen.groß@example.org", "email"),
+    ],
+)
+def test_more_formats(text, kind):
+    for line in (f"call {text} now", f"({text})", text, f"a: {text}."):
+        assert [k for k, _ in kinds(line)] == [kind], line
+    new = rendered(kind, text, stand_in(b"k", kind, canonical(kind, text), 0))
+    assert new != text
+
+
+def test_what_is_nobodys():
+    for text in ("12.345.678 people", "on 2020-10-2030 1234", "password: required", "Token: Optional.", "a::b", "std::vector", "12:30", "::"):
+        assert kinds(text) == [], text
+    assert [t for _, t in kinds("My name is Alice Johnson and MRS. JONES is here")] == ["Alice", "Johnson", "JONES"]
+
+
+def test_country_codes_tell_numbers_apart():
+    same = {canonical(*k) + k[0] for t in ("+1 415 555 0123", "415-555-0123", "+14155550123", "4155550123") for k in kinds(t)}
+    assert len(same) == 1
+    assert {k for t in ("+49 415 555 0123", "+1 415 555 0123") for k, _ in kinds(t)} == {"phone", "phone_49"}
+
+
+def test_every_match_has_a_hint(spark):
+    """Texts with a match, without and with digits of other scripts: the prefilter lets all pass."""
+    texts = [
+        "use ghp_" + "abcdefghij" * 3 + " now", "sk-abcdefghijklmnopqrst", "AKIA" + "ABCDEFGHIJKLMNOP", "x " + "abcdef" * 6, "ABCDEF" * 7,
+        "٠١٢٣-٤٥٦-٧٨٩٠", "Mr Smith", "MRS. JONES", "my name is Alice", "г-н Иванов", "Κυρία Παππά", "user@münchen.de", "2001:db8::1",
+        "(٠١٢) ٣٤٥-٦٧٨٩", "password=geheimnis!", "+٤٩ ٣٠ ١٢٣٤٥٦٧",
+    ]
+    from pyspark.sql import functions as F
+
+    passed = {r.text for r in documents(spark, list(enumerate(texts))).where(F.col("text").rlike(surrogates.HINT)).collect()}
+    assert [t for t in texts if kinds(t) and t not in passed] == []
+    assert sum(bool(kinds(t)) for t in texts) >= 12
