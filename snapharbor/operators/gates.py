@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from snapharbor.functions.keys import packed, unpacked
 from snapharbor.spec import GATE_PLAIN_ID_COLUMNS
 
 TEXT = (T.StringType,)
@@ -96,12 +97,13 @@ def staging_gate(
         (F.col("registration_year") < 1900)
         | (F.col("registration_year") > F.year(F.current_date()) + 1)
     )
+    short = packed(key).alias("vehicle_id_hash")
     stacked = vehicles.select(
-        key, F.lit(1).alias("v"), zero.alias("f"), F.when(bad_year, 1).otherwise(0).alias("y")
-    ).unionByName(fuels.select(key, zero.alias("v"), F.lit(1).alias("f"), zero.alias("y")))
+        short, F.lit(1).alias("v"), zero.alias("f"), F.when(bad_year, 1).otherwise(0).alias("y")
+    ).unionByName(fuels.select(short, zero.alias("v"), F.lit(1).alias("f"), zero.alias("y")))
     per_key = stacked.groupBy("vehicle_id_hash").agg(
         F.sum("v").alias("v"), F.sum("f").alias("f"), F.sum("y").alias("y")
-    )
+    ).withColumn("vehicle_id_hash", unpacked(key))
 
     def total(col) -> F.Column:
         return F.coalesce(F.sum(col), zero).cast("long")

@@ -8,6 +8,9 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from snapharbor.functions.keys import packed, unpacked
+from snapharbor.session import materialize
+
 
 class DataQualityError(RuntimeError):
     """At least one data test found violations."""
@@ -29,7 +32,10 @@ def dq_unique_expr(df: DataFrame, expr: Column, name: str = "value") -> DataFram
 
 
 def dq_unique(df: DataFrame, col: str) -> DataFrame:
-    return dq_unique_expr(df, F.col(col), col)
+    """The same of a column; text keys are packed on their way."""
+    if dict(df.dtypes)[col] != "string":
+        return dq_unique_expr(df, F.col(col), col)
+    return dq_unique_expr(df, packed(F.col(col)), col).withColumn(col, unpacked(F.col(col)))
 
 
 def dq_relationship(
@@ -37,8 +43,17 @@ def dq_relationship(
 ) -> DataFrame:
     """Non-NULL child keys without a parent, with the number of child rows.
 
-    Both sides are reduced to one row per key before they meet.
+    Both sides are reduced to one row per key before they meet; text keys are packed on their way.
     """
+    if dict(child.dtypes)[child_key] == dict(parent.dtypes)[parent_key] == "string":
+        child = child.select(packed(F.col(child_key)).alias(child_key))
+        parent = parent.select(packed(F.col(parent_key)).alias(parent_key))
+        lost = _without_parent(child, child_key, parent, parent_key)
+        return lost.withColumn(child_key, unpacked(F.col(child_key)))
+    return _without_parent(child, child_key, parent, parent_key)
+
+
+def _without_parent(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     keys = (
         child.where(F.col(child_key).isNotNull())
         .groupBy(child_key)
@@ -96,11 +111,15 @@ def multiset_diff(expected: DataFrame, actual: DataFrame) -> DataFrame:
     )
 
 
-def bucket_checksums(df: DataFrame, buckets: int) -> DataFrame:
-    """(bucket, rows, two sums of row hashes) of a table; one row per bucket and task is moved."""
+def bucket_checksums(df: DataFrame, buckets: int | None = None, by: str | None = None) -> DataFrame:
+    """(bucket, rows, two sums of row hashes) of a table; one row per bucket and task is moved.
+
+    Rows are dealt into ``buckets`` by a hash of all columns, or by the column ``by``.
+    """
     cols = [F.col(c) for c in df.columns]
+    dealt = F.col(by) if by else F.pmod(F.xxhash64(*cols, F.lit("bucket")), F.lit(buckets))
     hashed = df.select(
-        F.pmod(F.xxhash64(*cols, F.lit("bucket")), F.lit(buckets)).alias("bucket"),
+        dealt.alias("bucket"),
         F.xxhash64(*cols).cast("decimal(38,0)").alias("x"),
         F.xxhash64(F.lit("again"), *cols).cast("decimal(38,0)").alias("y"),
     )
@@ -109,6 +128,22 @@ def bucket_checksums(df: DataFrame, buckets: int) -> DataFrame:
     )
 
 
+def differing_buckets(
+    expected: DataFrame, actual: DataFrame, buckets: int | None = None, by: str | None = None
+) -> DataFrame:
+    """(bucket) of those whose checksums differ. Columns must have the same types on both sides."""
+    actual = actual.select(*expected.columns)
+    if [f.dataType for f in expected.schema] != [f.dataType for f in actual.schema]:
+        raise TypeError("the two sides differ in the type of a column")
+    sums = bucket_checksums(expected, buckets, by).unionByName(
+        bucket_checksums(actual, buckets, by).select(
+            "bucket", (-F.col("rows")).alias("rows"), (-F.col("x")).alias("x"), (-F.col("y")).alias("y")
+        )
+    )
+    net = sums.groupBy("bucket").agg(*[F.sum(c).alias(c) for c in ("rows", "x", "y")])
+    return net.where("rows <> 0 or x <> 0 or y <> 0").select("bucket")
+
+
 def bucketed_diff(expected: DataFrame, actual: DataFrame, buckets: int = 4096) -> DataFrame:
     """``multiset_diff`` for tables that are mostly equal.
 
@@ -117,16 +152,7 @@ def bucketed_diff(expected: DataFrame, actual: DataFrame, buckets: int = 4096) -
     bucket. Columns must have the same types on both sides. Both tables are read twice.
     """
     cols = expected.columns
-    actual = actual.select(*cols)
-    if [f.dataType for f in expected.schema] != [f.dataType for f in actual.schema]:
-        raise TypeError("the two sides differ in the type of a column")
-    sums = bucket_checksums(expected, buckets).unionByName(
-        bucket_checksums(actual, buckets).select(
-            "bucket", (-F.col("rows")).alias("rows"), (-F.col("x")).alias("x"), (-F.col("y")).alias("y")
-        )
-    )
-    net = sums.groupBy("bucket").agg(*[F.sum(c).alias(c) for c in ("rows", "x", "y")])
-    apart = [r["bucket"] for r in net.where("rows <> 0 or x <> 0 or y <> 0").select("bucket").collect()]
+    apart = [r["bucket"] for r in differing_buckets(expected, actual, buckets).collect()]
 
     def part(df: DataFrame) -> DataFrame:
         bucket = F.pmod(F.xxhash64(*[F.col(c) for c in cols], F.lit("bucket")), F.lit(buckets))
@@ -175,6 +201,31 @@ def verify_expected(
     return reduce(DataFrame.unionByName, findings).where(F.col("violations") > 0)
 
 
+def run_unique_tests(tests: dict[str, tuple[DataFrame, Column]]) -> DataFrame:
+    """(check, violations) of tests that the values of an expression are unique, NULL ignored.
+
+    A first pass counts hashes, of all tests together; only values whose hash is there twice
+    are grouped by themselves.
+    """
+    names = list(tests)
+    hashes = [
+        df.select(F.lit(i).alias("test"), expr.alias("v")).where("v is not null").select("test", F.xxhash64("v").alias("_hash"))
+        for i, (df, expr) in enumerate(tests.values())
+    ]
+    counted = reduce(DataFrame.unionByName, hashes).groupBy("test", "_hash").agg(F.count(F.lit(1)).alias("n"))
+    twice = materialize(counted.where("n > 1").select("test", "_hash"), "repeated-hashes")
+    found = {names[r["test"]]: r["test"] for r in twice.select("test").distinct().collect()}
+    exact = {}
+    for name, i in found.items():
+        df, expr = tests[name]
+        rows = df.select(expr.alias("value")).withColumn("_hash", F.xxhash64("value"))
+        rows = rows.join(twice.where(F.col("test") == i), "_hash", "left_semi")
+        exact[name] = dq_unique(rows, "value")
+    clean = [(name, 0) for name in names if name not in found]
+    parts = [twice.sparkSession.createDataFrame(clean, "check string, violations bigint")]
+    return reduce(DataFrame.unionByName, [*parts, *([run_tests(exact)] if exact else [])])
+
+
 def run_tests(tests: dict[str, DataFrame]) -> DataFrame:
     """(check, violations) of every test."""
     parts = [

@@ -11,13 +11,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapharbor.functions.keys import date_key, md5_key
+from snapharbor.functions.keys import date_key, md5_key, packed, unpacked
 from snapharbor.functions.text import blank_to_null, round_half_away
 from snapharbor.operators.joins import lookup_join
 from snapharbor.session import materialize
 from snapharbor.spec import SnapshotSpec
 
 METRIC_KEYS = ["fuel_type", "brand", "model", "registration_year", "powertrain_category"]
+# Vehicles are joined by their packed hash, which is unpacked where it is part of a result.
+SHORT = "_vehicle"
 FLAGS = ["has_electric", "has_hydrogen", "has_other_fuel"]
 OVERVIEW_COLUMNS = [
     "vehicle_snapshot_key",
@@ -324,8 +326,12 @@ def wide_fuels(
     """Fuel rows with the key and the metric attributes of their vehicle snapshot."""
     names = ["brand", "model", "registration_year", "powertrain_category"]
     names = [n for n in names if n in wide.columns or n in _snapshot_columns(spec)]
-    parents = _cut(wide, [key, "ingestion_id", "vehicle_snapshot_key", *names], spec)
-    return fuels.join(parents, [key, "ingestion_id"])
+    parents = _cut(wide, [key, "ingestion_id", *names], spec)
+    rows = fuels.join(parents, [key, "ingestion_id"])
+    if key == SHORT:
+        rows = rows.withColumn("vehicle_id_hash", unpacked(F.col(SHORT)))
+    # vehicle and run are those of the snapshot, so its key need not move
+    return rows.withColumn("vehicle_snapshot_key", snapshot_key(spec))
 
 
 def mart_ev_metrics(fuel_rows: DataFrame, key: str = "vehicle_id_hash") -> DataFrame:
@@ -352,33 +358,40 @@ def star_rows(snapshot: DataFrame, star: dict[str, DataFrame]) -> DataFrame:
     dates = star["dim_registration_date"].select(
         "registration_date_key", "registration_date", "registration_year"
     )
-    # Published relations are files: Spark sees how large they are.
-    rows = snapshot.join(star["dim_vehicle_model"], "vehicle_model_key")
+    rows = lookup_join(snapshot, star["dim_vehicle_model"], "vehicle_model_key", "inner")
     rows = rows.join(powertrain, "powertrain_key")
-    return rows.join(dates, "registration_date_key", "left")
+    return lookup_join(rows, dates, "registration_date_key", "left")
 
 
 def star_overview(star: dict[str, DataFrame]) -> DataFrame:
     """The overview mart, joined back together from the published star."""
-    snapshot = star["fact_vehicle_snapshot"].join(star["dim_vehicle"], "vehicle_key")
-    return star_rows(snapshot, star).select(*OVERVIEW_COLUMNS)
+    short = packed(F.col("vehicle_key"))
+    vehicles = star["dim_vehicle"].withColumn("vehicle_key", short)
+    snapshot = star["fact_vehicle_snapshot"].withColumn("vehicle_key", short)
+    snapshot = snapshot.withColumn("vehicle_snapshot_key", packed(F.col("vehicle_snapshot_key")))
+    # the small dimensions first: their keys then need not move with the rows
+    rows = star_rows(snapshot, star).join(vehicles, "vehicle_key")
+    for name in ("vehicle_key", "vehicle_snapshot_key"):
+        rows = rows.withColumn(name, unpacked(F.col(name)))
+    return rows.select(*OVERVIEW_COLUMNS)
 
 
 def star_metrics(star: dict[str, DataFrame]) -> DataFrame:
     """The metrics mart, recomputed from the published star."""
+    short = packed(F.col("vehicle_snapshot_key")).alias("vehicle_snapshot_key")
     fuel = star["fact_vehicle_fuel"].select(
-        "vehicle_snapshot_key", "fuel_type", "co2_combined_g_km", "net_max_power_kw"
+        short, "fuel_type", "co2_combined_g_km", "net_max_power_kw"
     )
     snapshot = star["fact_vehicle_snapshot"].select(
-        "vehicle_snapshot_key",
-        "vehicle_key",
+        short,
+        packed(F.col("vehicle_key")).alias("vehicle_key"),
         "vehicle_model_key",
         "registration_date_key",
         "powertrain_key",
     )
-    return aggregate_metrics(
-        star_rows(fuel.join(snapshot, "vehicle_snapshot_key"), star), "vehicle_key"
-    )
+    # attributes are looked up once a vehicle, before its fuel rows meet it
+    snapshot = star_rows(snapshot, star).select("vehicle_snapshot_key", "vehicle_key", *METRIC_KEYS[1:])
+    return aggregate_metrics(fuel.join(snapshot, "vehicle_snapshot_key"), "vehicle_key")
 
 
 # --- the whole set ---------------------------------------------------------------
@@ -398,27 +411,37 @@ def build_models(
         "stg_fuels": stg_fuels(staging["fuels"]),
         "stg_ingestion_runs": stg_ingestion_runs(staging["ingestion_runs"]),
     }
-    out["int_vehicle_fuel_profile"] = keep(
-        type_profile(out["stg_fuels"], spec), "int_vehicle_fuel_profile"
+    key = "vehicle_id_hash"
+    vehicles, fuels = (
+        out[n].withColumn(SHORT, packed(F.col(key))).drop(key) for n in ("stg_vehicles", "stg_fuels")
     )
+    profile = keep(type_profile(fuels, spec, SHORT), "int_vehicle_fuel_profile")
+    named = unpacked(F.col(SHORT)).alias(key)
+    out["int_vehicle_fuel_profile"] = profile.select(named, *[c for c in profile.columns if c != SHORT])
     out["int_snapshot_context"] = snapshot_context(
         out["stg_vehicles"], out["stg_ingestion_runs"]
     )
     wide = keep(
         wide_snapshot(
-            out["stg_vehicles"],
-            out["int_vehicle_fuel_profile"],
+            vehicles,
+            profile,
             out["stg_ingestion_runs"],
+            SHORT,
         ),
         "wide_snapshot",
-    )
+    ).withColumn(key, unpacked(F.col(SHORT)))
     out["dim_vehicle"] = dim_vehicle(out["stg_vehicles"])
     out["dim_vehicle_model"] = dim_vehicle_model(out["stg_vehicles"], spec)
     out["dim_registration_date"] = dim_registration_date(out["stg_vehicles"])
     out["dim_powertrain"] = dim_powertrain(out["int_vehicle_fuel_profile"], spec)
     out["fact_vehicle_snapshot"] = fact_vehicle_snapshot(wide, spec)
-    fuel_rows = keep(wide_fuels(out["stg_fuels"], wide, spec), "wide_fuels")
+    fuel_rows = wide_fuels(fuels, wide, spec, SHORT)
+    if write:
+        derived = [key, "vehicle_snapshot_key"]
+        fuel_rows = keep(fuel_rows.drop(*derived), "wide_fuels")
+        fuel_rows = fuel_rows.withColumn(key, unpacked(F.col(SHORT)))
+        fuel_rows = fuel_rows.withColumn("vehicle_snapshot_key", snapshot_key(spec))
     out["fact_vehicle_fuel"] = fact_vehicle_fuel(fuel_rows, spec)
     out["mart_ev_overview"] = mart_ev_overview(wide, spec)
-    out["mart_ev_metrics"] = mart_ev_metrics(fuel_rows)
+    out["mart_ev_metrics"] = mart_ev_metrics(fuel_rows, SHORT)
     return out
