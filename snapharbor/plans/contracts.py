@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from snapharbor.functions.keys import packed
 from snapharbor.operators import gates, quality
 from snapharbor.plans import models as m
 from snapharbor.spec import PLAIN_ID_COLUMNS, SnapshotSpec, VEHICLE_SPEC
@@ -42,7 +43,9 @@ CONTRACTS = {
     "stg_fuels": Contract(
         not_null=("vehicle_id_hash", "fuel_sequence", "fuel_type", "ingestion_id"),
         unique_expr={
-            "vehicle_and_sequence": lambda: joined(":", "vehicle_id_hash", "fuel_sequence")
+            "vehicle_and_sequence": lambda: F.concat(
+                packed(F.col("vehicle_id_hash")), F.concat(F.lit(":"), "fuel_sequence").cast("binary")
+            )
         },
         parents={"vehicle_id_hash": ("stg_vehicles", "vehicle_id_hash")},
     ),
@@ -143,20 +146,24 @@ def contract_checks(
     models: dict[str, DataFrame], contracts: dict[str, Contract] | None = None
 ) -> DataFrame:
     """(check, violations) of every declared test."""
-    parts, keyed = [], {}
+    parts, keyed, unique = [], {}, {}
     for model, contract in (contracts or CONTRACTS).items():
         df = models[model]
         if contract.not_null or contract.accepted:
             parts.append(row_checks(df, model, contract))
         for column in contract.unique:
-            keyed[f"unique:{model}.{column}"] = quality.dq_unique(df, column)
+            unique[f"unique:{model}.{column}"] = (df, F.col(column))
         for name, expr in contract.unique_expr.items():
-            keyed[f"unique:{model}.{name}"] = quality.dq_unique_expr(df, expr())
+            unique[f"unique:{model}.{name}"] = (df, expr())
         for column, (parent, parent_column) in contract.parents.items():
             keyed[f"relationships:{model}.{column}"] = quality.dq_relationship(
                 df, column, models[parent], parent_column
             )
-    return reduce(DataFrame.unionByName, [*parts, quality.run_tests(keyed)])
+    if unique:
+        parts.append(quality.run_unique_tests(unique))
+    if keyed:
+        parts.append(quality.run_tests(keyed))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def grain_pairs(models: dict[str, DataFrame]) -> dict[str, tuple[DataFrame, DataFrame]]:
