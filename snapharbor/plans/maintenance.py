@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from snapharbor.functions.text import round_half_away
 from snapharbor.operators.joins import keep_ids
-from snapharbor.operators.quality import bucketed_diff
+from snapharbor.operators.quality import differing_buckets
 from snapharbor.plans.models import METRIC_KEYS
+from snapharbor.session import materialize
 
 # Measures and how many decimals of them are summed: sums that are added to and taken from must be exact.
 MEASURES = {"co2_combined_g_km": "co2", "net_max_power_kw": "power"}
@@ -33,14 +34,18 @@ def metric_state(fuel_rows: DataFrame, vehicle: str) -> DataFrame:
 
 
 def changed_vehicles(before: DataFrame, after: DataFrame, vehicle: str) -> DataFrame:
-    """Vehicles whose fuel rows differ between two snapshots, in either direction."""
+    """Vehicles whose fuel rows differ between two snapshots, in either direction.
+
+    A vehicle is a bucket of its own: its checksums are moved and not its rows.
+    """
     columns = [vehicle, *[c for c in METRIC_KEYS if c != vehicle], *MEASURES]
-    return bucketed_diff(before.select(*columns), after.select(*columns)).select(vehicle).distinct()
+    apart = differing_buckets(before.select(*columns), after.select(*columns), by=vehicle)
+    return apart.withColumnRenamed("bucket", vehicle)
 
 
 def maintained_state(state: DataFrame, before: DataFrame, after: DataFrame, vehicle: str) -> DataFrame:
     """The state of snapshot ``after``, from that of ``before`` and what differs."""
-    changed = changed_vehicles(before, after, vehicle)
+    changed = materialize(changed_vehicles(before, after, vehicle), "changed")
     gone = metric_state(keep_ids(before, changed, vehicle), vehicle)
     come = metric_state(keep_ids(after, changed, vehicle), vehicle)
     minus = [(-F.col(c)).cast(SUMMED if c.endswith("sum") else "bigint").alias(c) for c in COUNTS]
