@@ -282,7 +282,12 @@ def _age(spark: SparkSession, location: str, levels: int = 4) -> float:
         return found
 
     fs, top = _fs(spark, location)
-    written = max(fs.getFileStatus(top).getModificationTime(), last(top, levels))
+    try:
+        written = max(fs.getFileStatus(top).getModificationTime(), last(top, levels))
+    except Py4JJavaError as error:
+        if "FileNotFoundException" in str(error.java_exception):
+            return 0.0  # another writer is moving or removing it just now
+        raise
     return time.time() - written / 1000
 
 
