@@ -1,6 +1,7 @@
 """What moves and what is stored stays small; results are those of the plain way."""
 
 import glob
+import os
 
 from conftest import values
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from snapharbor.functions.keys import packed, unpacked
 from snapharbor.operators import matching, quality, upsert
 from snapharbor.plans import contracts, maintenance
 from snapharbor.plans import models as m
-from snapharbor.session import materialize
+from snapharbor.session import configure, materialize, stored_meanwhile
 from snapharbor.sources import raw as raw_source
 
 
@@ -109,3 +110,29 @@ def test_models_join_by_packed_keys(models):
     plan = m.star_metrics(models)._jdf.queryExecution().analyzed().toString()
     assert "unhex" in plan
     assert values(m.star_metrics(models)) == values(models["mart_ev_metrics"])
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = [files.apply(i).getName() for i in range(files.size())]
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def test_a_stored_step_leaves_no_shuffle_files(spark):
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    held, before = spark.conf.get(setting), shuffle_files(spark)
+    configure(spark, steps=True)
+    try:
+        counts = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+        assert materialize(counts, "counts").count() == 7
+        assert [counts.count(), len(counts.collect()), len(counts.collect())] == [7, 7, 7]
+        assert not shuffle_files(spark) - before
+    finally:
+        spark.conf.set(setting, held)
+
+
+def test_a_copy_for_a_block_of_code_is_deleted_behind_it(spark):
+    with stored_meanwhile(spark.range(3), "copy") as copy:
+        folder = os.path.dirname(copy.inputFiles()[0].removeprefix("file://"))
+        assert copy.count() == 3 and glob.glob(f"{folder}/*")
+    assert not os.path.exists(folder)
