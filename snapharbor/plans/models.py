@@ -391,7 +391,42 @@ def star_metrics(star: dict[str, DataFrame]) -> DataFrame:
     )
     # attributes are looked up once a vehicle, before its fuel rows meet it
     snapshot = star_rows(snapshot, star).select("vehicle_snapshot_key", "vehicle_key", *METRIC_KEYS[1:])
-    return aggregate_metrics(fuel.join(snapshot, "vehicle_snapshot_key"), "vehicle_key")
+    several = vehicles_of_several(star["fact_vehicle_snapshot"])
+    once = F.lit(True)
+    if several is not None:
+        snapshot = snapshot.join(several, F.xxhash64("vehicle_key") == F.col("_hash"), "left")
+        once = F.col("_hash").isNull()
+    rows = fuel.join(snapshot.withColumn("_once", once).drop("_hash"), "vehicle_snapshot_key")
+    return metrics_of_snapshots(rows, exact=several is not None)
+
+
+def vehicles_of_several(snapshot: DataFrame) -> DataFrame | None:
+    """Hashes of packed vehicle keys that stand in several snapshots; None if there are none."""
+    vehicle, key = packed(F.col("vehicle_key")), F.xxhash64("vehicle_snapshot_key")
+    spans = snapshot.groupBy(F.xxhash64(vehicle).alias("_hash")).agg(F.min(key).alias("a"), F.max(key).alias("b"))
+    found = materialize(spans.where("a < b").select("_hash"), "several-snapshots")
+    return None if found.isEmpty() else found
+
+
+def metrics_of_snapshots(rows: DataFrame, exact: bool) -> DataFrame:
+    """``aggregate_metrics`` of fuel rows that lie together by their snapshot key.
+
+    They are first added up to a row per snapshot and metric key, where they are. Vehicles that
+    stand in one snapshot only (``_once``) are then counted as rows, and only the others
+    move with their key to be counted as distinct ones.
+    """
+    measures = ("co2_combined_g_km", "net_max_power_kw")
+    sums = [c for m in measures for c in (F.sum(m).alias(f"s_{m}"), F.count(m).alias(f"n_{m}"))]
+    found = rows.groupBy("vehicle_snapshot_key", "vehicle_key", "_once", *METRIC_KEYS).agg(*sums)
+    vehicle = F.col("vehicle_key")
+    count = F.count(F.when(F.col("_once"), vehicle))
+    if exact:
+        count = count + F.countDistinct(F.when(~F.col("_once"), vehicle))
+    means = [
+        round_half_away(F.sum(f"s_{m}") / F.nullif(F.sum(f"n_{m}"), F.lit(0)), 2).alias(f"avg_reported_{m}")
+        for m in measures
+    ]
+    return found.groupBy(*METRIC_KEYS).agg(count.alias("vehicle_count"), *means)
 
 
 # --- the whole set ---------------------------------------------------------------

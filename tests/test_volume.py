@@ -136,3 +136,43 @@ def test_a_copy_for_a_block_of_code_is_deleted_behind_it(spark):
         folder = os.path.dirname(copy.inputFiles()[0].removeprefix("file://"))
         assert copy.count() == 3 and glob.glob(f"{folder}/*")
     assert not os.path.exists(folder)
+
+
+def star(spark, snapshots, fuels):
+    """A star whose models, dates and powertrains are those the snapshots name."""
+    keys = "vehicle_snapshot_key string, vehicle_key string, vehicle_model_key string"
+    fact = spark.createDataFrame(snapshots, f"{keys}, registration_date_key int, powertrain_key string")
+    models = spark.createDataFrame([("m1", "A", "x"), ("m2", None, "y")], "vehicle_model_key string, brand string, model string")
+    dates = spark.createDataFrame([(1, None, 2020)], "registration_date_key int, registration_date date, registration_year int")
+    kinds = spark.createDataFrame([("p", "battery")], "powertrain_key string, powertrain_category string")
+    measures = "co2_combined_g_km double, net_max_power_kw double"
+    return {
+        "fact_vehicle_snapshot": fact, "dim_vehicle_model": models, "dim_registration_date": dates, "dim_powertrain": kinds,
+        "fact_vehicle_fuel": spark.createDataFrame(fuels, f"vehicle_snapshot_key string, fuel_type string, {measures}"),
+    }
+
+
+def plain_metrics(star):
+    rows = star["fact_vehicle_fuel"].join(star["fact_vehicle_snapshot"], "vehicle_snapshot_key")
+    rows = rows.join(star["dim_vehicle_model"], "vehicle_model_key").join(star["dim_powertrain"], "powertrain_key")
+    return m.aggregate_metrics(rows.join(star["dim_registration_date"], "registration_date_key", "left"), "vehicle_key")
+
+
+def test_star_metrics_moves_no_vehicle_keys_to_count_them(spark):
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        once = [("s1", "v1", "m1", 1, "p"), ("s2", "v2", "m1", 1, "p"), ("s3", "v3", "m2", None, "p"), ("s4", None, "m2", 1, "p")]
+        # v1 in a second snapshot with the same and in a third with other attributes; s2 stands there twice
+        twice = [*once, ("s5", "v1", "m1", 1, "p"), ("s6", "v1", "m2", 1, "p"), ("s2", "v2", "m1", 1, "p")]
+        fuels = [("s1", "E", 1.0, None), ("s1", "E", 2.0, 3.0), ("s1", "H", None, None), ("s2", "E", 4.0, 5.0), ("s9", "E", 9.0, 9.0)]
+        fuels += [(s, "E", 6.0, None) for s in ("s3", "s4", "s5", "s6")] + [("s5", None, 1.0, 1.0), (None, "E", 1.0, 1.0)]
+        for snapshots in (once, twice):
+            tables = star(spark, snapshots, fuels)
+            got, want = m.star_metrics(tables), plain_metrics(tables)
+            assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        plan = m.star_metrics(star(spark, once, fuels))._jdf.queryExecution().executedPlan().toString()
+        dealt = [line.split("hashpartitioning(")[1] for line in plan.splitlines() if "hashpartitioning(" in line]
+        assert dealt and not any("vehicle_key#" in d for d in dealt)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
