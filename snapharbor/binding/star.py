@@ -127,9 +127,14 @@ class StarBinding:
             measures = ["l_quantity", "l_discount", "l_tax"]
             self._lines = materialize(self.lines().select(*columns, *measures), "lines")
 
-    def fuels(self, lineage: bool = True, keyed: bool = False) -> DataFrame:
-        """Staged fuels; without ``lineage`` the join that finds the run is left out."""
+    def fuels(
+        self, lineage: bool = True, keyed: bool = False, only: DataFrame | None = None
+    ) -> DataFrame:
+        """Staged fuels; without ``lineage`` the join that finds the run is left out. ``only`` holds
+        the short keys that are wanted: lines meet them before they have a hash, which need not move."""
         lines = self.lines() if self._lines is None else self._lines
+        if only is not None:
+            lines = lines.join(only, F.col("l_orderkey") == F.col(KEY), "left_semi")
         if lineage:
             runs = self.table("orders").select(
                 F.col("o_orderkey").alias("l_orderkey"),
@@ -251,7 +256,7 @@ class StarBinding:
         ids = materialize(self.keyed_profile().select(KEY), "profile_ids")
         return {
             "vehicles": self.vehicles(only=ids),
-            "fuels": self.fuels(keyed=True).join(ids, KEY, "left_semi").drop(KEY),
+            "fuels": self.fuels(only=ids),
             "ingestion_runs": self.runs(),
         }
 

@@ -2,10 +2,12 @@
 
 import glob
 import os
+from datetime import date
 
 from conftest import values
 from pyspark.sql import functions as F
 
+from snapharbor.binding.star import KEY, StarBinding
 from snapharbor.functions.keys import packed, unpacked
 from snapharbor.operators import matching, quality, upsert
 from snapharbor.plans import contracts, maintenance
@@ -176,3 +178,30 @@ def test_star_metrics_moves_no_vehicle_keys_to_count_them(spark):
         assert dealt and not any("vehicle_key#" in d for d in dealt)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+
+
+def test_only_wanted_line_items_are_hashed_and_no_hash_moves(spark, tmp_path):
+    """Line items meet the wanted vehicles by their short key; their hash is taken behind all joins."""
+    names = "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_quantity double"
+    names += ", l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate date"
+    day = date(1996, 1, 2)
+    lines = [(1, 1, "A"), (1, 2, "R"), (2, 1, "R"), (3, 1, "N"), (3, 1, "N"), (None, 1, "A"), (4, 1, "A")]
+    rows = [(k, n, 1, 1, 5.0, 9.0, 0.1, 0.0, f, "O", day) for k, n, f in lines]
+    orders = [(k, 1, "O", date(1995, 1, 1), "1-URGENT") for k in (1, 2, 3, 3, None)]  # order 4 is unknown
+    made = {
+        "lineitem": (rows, names),
+        "orders": (orders, "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate date, o_orderpriority string"),
+        "customer": ([(1, 1, "AUTO")], "c_custkey bigint, c_nationkey bigint, c_mktsegment string"),
+        "nation": ([(1, "PERU")], "n_nationkey bigint, n_name string"),
+    }
+    for name, (data, kinds) in made.items():
+        spark.createDataFrame(data, kinds).write.parquet(f"{tmp_path}/{name}.parquet")
+    binding = StarBinding(spark, str(tmp_path))
+    staged = binding.snapshot_staging()["fuels"]
+    plan = staged._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    hashed = [i for i, line in enumerate(plan) if "sha2(" in line]
+    joined = [i for i, line in enumerate(plan) if " Join " in line or line.startswith("Join ")]
+    assert len(hashed) == 1 and len(joined) == 2 and hashed[0] < min(joined)  # a plan is read from its end
+    every = binding.fuels(keyed=True).where(F.col(KEY).isin(1, 3)).drop(KEY)
+    assert values(staged) == values(every)
+    assert staged.count() == 4  # two of order 1; order 3 is there twice
