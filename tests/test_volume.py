@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from snapharbor.binding.star import KEY, StarBinding
 from snapharbor.functions.keys import packed, unpacked
-from snapharbor.operators import matching, quality, upsert
-from snapharbor.plans import contracts, maintenance
+from snapharbor.operators import matching, paging, quality, upsert
+from snapharbor.plans import contracts, ingestion, maintenance
 from snapharbor.plans import models as m
 from snapharbor.session import configure, materialize, stored_meanwhile
 from snapharbor.sources import raw as raw_source
@@ -205,3 +205,21 @@ def test_only_wanted_line_items_are_hashed_and_no_hash_moves(spark, tmp_path):
     every = binding.fuels(keyed=True).where(F.col(KEY).isin(1, 3)).drop(KEY)
     assert values(staged) == values(every)
     assert staged.count() == 4  # two of order 1; order 3 is there twice
+
+
+def test_anchors_are_not_broadcast_when_pages_are_cut(spark, spec, raw, monkeypatch):
+    """However small their files are: ids in order take a byte or two each there, and many more in memory."""
+    plans, write = [], paging.materialize
+
+    def noted(df, tag, *more):
+        plans.append(df._jdf.queryExecution().optimizedPlan())
+        return write(df, tag, *more)
+
+    monkeypatch.setattr(paging, "materialize", noted)
+    vehicles, fuels = raw
+    anchors = vehicles.select(spec.raw_id).where(F.col(spec.raw_id) != "ODD").distinct()
+    pages = ingestion.cut_pages(anchors, vehicles, fuels, spec, 2)
+    joins = [p.toString() for p in plans if "Join Inner" in p.toString()]
+    assert len(joins) == 2 and all("rightHint=(strategy=merge)" in p for p in joins)
+    rows = {r["dataset"]: r["n"] for r in pages.groupBy("dataset").agg(F.sum("row_count").alias("n")).collect()}
+    assert rows == {"anchors": 5, "vehicles": 5, "fuels": 8}
