@@ -3,7 +3,9 @@
 import glob
 import os
 from datetime import date
+from urllib.parse import urlparse
 
+import pyarrow.parquet as pq
 from conftest import values
 from pyspark.sql import functions as F
 
@@ -12,7 +14,7 @@ from snapharbor.functions.keys import packed, unpacked
 from snapharbor.operators import matching, paging, quality, upsert
 from snapharbor.plans import contracts, ingestion, maintenance
 from snapharbor.plans import models as m
-from snapharbor.session import configure, materialize, stored_meanwhile
+from snapharbor.session import ROW_GROUP_BYTES, configure, materialize, stored_meanwhile, stored_writer
 from snapharbor.sources import raw as raw_source
 
 
@@ -34,6 +36,23 @@ def test_stored_steps_are_compressed(spark):
     assert files and all(f.endswith(".zstd.parquet") for f in files)
 
 
+def test_row_groups_of_stored_steps_are_bounded(spark, tmp_path):
+    """A task holds a row group while it writes, and fetches one at once when it reads."""
+    rows = spark.range(0, 400_000, 1, 1).select(F.sha2(F.col("id").cast("string"), 256).alias("h"))
+    stored_writer(rows, "overwrite").parquet(str(tmp_path / "log"))
+    for files in (materialize(rows, "groups").inputFiles(), spark.read.parquet(str(tmp_path / "log")).inputFiles()):
+        found = [pq.ParquetFile(urlparse(f).path).metadata for f in files]
+        sizes = [m.row_group(i).total_byte_size for m in found for i in range(m.num_row_groups)]
+        assert sum(m.num_rows for m in found) == 400_000 and len(sizes) > 1
+        assert max(sizes) < 1.1 * ROW_GROUP_BYTES
+
+
+def test_a_block_is_sorted_by_several_tasks(spark):
+    pages = spark.range(600).select((F.col("id") / 2).cast("long").alias("page"))
+    found = [(r["page"], r["number"], r["part"]) for r in raw_source.page_slots(pages, 400).orderBy("page").collect()]
+    assert found == [(p, 2 * p // 400, 2 * p % 400 // raw_source.PAYLOADS_PER_TASK) for p in range(300)]
+
+
 def test_files_of_payloads_hold_few_of_them(spark, tmp_path):
     """A reader holds up to 4,096 rows of a file at once, and a payload is a whole page."""
     text = F.concat(F.lit('[{"kenteken":"'), F.col("id").cast("string"), F.lit('"}]'))
