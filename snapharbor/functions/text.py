@@ -14,8 +14,14 @@ WHITESPACE = (
 
 
 def strip(col: Column) -> Column:
-    """Remove all leading and trailing whitespace (SQL ``trim`` removes spaces only)."""
-    return F.btrim(col, F.lit(WHITESPACE))
+    """Remove all leading and trailing whitespace (SQL ``trim`` removes spaces only).
+
+    Trimming a set of characters looks each of them up; text whose ends are visible ASCII once its spaces
+    are gone needs none of that.
+    """
+    text = F.trim(col)
+    visible = [F.substring(text, at, 1).between(F.lit("!"), F.lit("~")) for at in (1, -1)]
+    return F.when(visible[0] & visible[1], text).otherwise(F.btrim(text, F.lit(WHITESPACE)))
 
 
 def not_blank(col: Column) -> Column:
@@ -49,7 +55,7 @@ def parse_decimal_comma(col: Column) -> Column:
 
     The pattern keeps out ``NaN``, ``Infinity`` and Java suffixes such as ``12d``.
     """
-    text = F.translate(strip(col), ",", ".")
+    text = F.replace(strip(col), F.lit(","), F.lit("."))
     return F.when(
         text.rlike("^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"),
         text.try_cast("double"),

@@ -107,19 +107,18 @@ def cut_pages(
     # Ids in order compress so well that Spark would take millions of them for a small table: a
     # broadcast of them fills every executor, so they are merged.
     key = spec.raw_id
-    ids = materialize(number_pages(anchors, key, page_size).select(key, "page"), "anchors")
-    parts = []
+    numbered = materialize(number_pages(anchors, key, page_size), "anchors")
+    ids = numbered.select(key, "page")
+    # The anchors have their places already: a page of them is one chunk.
+    cut = numbered.withColumn("chunk", F.lit(0).cast("long"))
+    parts = [page_digest(cut, ["page", "chunk"], "pos", [key]).withColumn("dataset", F.lit("anchors"))]
     sets = (
-        ("anchors", ids, [key], []),
         ("vehicles", vehicles, spec.raw_vehicle_columns, []),
         ("fuels", fuels, spec.raw_fuel_columns, [spec.raw_sequence]),
     )
     for dataset, rows, columns, order in sets:
-        if dataset == "anchors":
-            rows = rows.withColumn("_id", F.col(key))
-        else:
-            rows = rows.withColumn("_id", strip(F.col(key)))
-            rows = rows.join(ids.withColumnRenamed(key, "_id").hint("merge"), "_id")
+        rows = rows.withColumn("_id", strip(F.col(key)))
+        rows = rows.join(ids.withColumnRenamed(key, "_id").hint("merge"), "_id")
         cut = detail_pages(rows, "page", ["_id", *order], page_size)
         pages = page_digest(cut, ["page", "chunk"], "pos", columns)
         parts.append(pages.withColumn("dataset", F.lit(dataset)))
